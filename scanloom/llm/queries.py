@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scanloom.llm.common import table
 from scanloom.llm.mixing import mix_to_weights
+from scanloom.llm import urls
 from scanloom.llm.quality import quality_report
+from scanloom.llm.warc import archived_pages
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,11 +31,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op2_urls": op2_urls,
     "op8_quality": op8_quality,
     "op10_mixing": op10_mixing,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < first THEN first END AS refers_to
+FROM f
+""",
+    "op2_urls": urls.oracle(),
     "op8_quality": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
