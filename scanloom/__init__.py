@@ -1 +1,8 @@
 """scanloom: sensor-stream and point-cloud analytics as Spark DataFrame jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so that nothing has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
