@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from scanloom.llm.common import table
 from scanloom.llm.mixing import mix_to_weights
 from scanloom.llm import urls
+from scanloom.llm.licenses import scan_licenses
+from scanloom.llm.omh import near_duplicates
 from scanloom.llm.quality import quality_report
 from scanloom.llm.warc import archived_pages
 
@@ -21,6 +23,14 @@ def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
@@ -33,6 +43,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_urls": op2_urls,
+    "op3_order_minhash": op3_order_minhash,
+    "op5_licenses": op5_licenses,
     "op8_quality": op8_quality,
     "op10_mixing": op10_mixing,
 }
