@@ -32,12 +32,13 @@ def small_pairs(rows: DataFrame, small: int = SMALL) -> DataFrame:
 
 
 def star_links(rows: DataFrame, links_of: Callable[[DataFrame], DataFrame], small: int = SMALL) -> DataFrame | None:
-    """Links within large blocks whose nodes are all alike in what a key can tell. rows: (key, node, owns)."""
+    """Links within large blocks whose nodes are all alike in what a key can tell. rows: (key, node, owns); the
+    text that the others are compared with is an owner as long as there is one."""
     found = None
-    rows = materialise(rows.select("key", "node", F.lit(True).alias("owns")).distinct(), "blocks")
+    rows = materialise(rows.groupBy("key", "node").agg(F.max("owns").alias("owns")), "blocks")
     while not rows.isEmpty():
         now = sized(rows)
-        middle = rows.groupBy("key").agg(F.min_by("node", F.xxhash64("key", "node")).alias("middle"))
+        middle = rows.groupBy("key").agg(F.min_by("node", F.struct(~F.col("owns"), F.xxhash64("key", "node"))).alias("middle"))
         large = materialise(now.filter(F.col("n") > small).join(middle, "key").filter("node <> middle"), "stars")
         pairs = large.select(F.least("node", "middle").alias("a"), F.greatest("node", "middle").alias("b")).distinct()
         links = materialise(links_of(pairs.unionByName(small_pairs(now, small)).distinct()), "links")

@@ -10,6 +10,7 @@ from scanloom.llm.common import table
 from scanloom.llm.mixing import mix_to_weights
 from scanloom.llm import urls
 from scanloom.llm.licenses import scan_licenses
+from scanloom.llm.lines import line_report
 from scanloom.llm.omh import near_duplicates
 from scanloom.llm.quality import quality_report
 from scanloom.llm.warc import archived_pages
@@ -31,6 +32,10 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_urls": op2_urls,
     "op3_order_minhash": op3_order_minhash,
     "op5_licenses": op5_licenses,
+    "op6_lines": op6_lines,
     "op8_quality": op8_quality,
     "op10_mixing": op10_mixing,
 }
