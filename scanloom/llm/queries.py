@@ -10,6 +10,7 @@ from scanloom.llm.common import table
 from scanloom.llm.mixing import mix_to_weights
 from scanloom.llm import urls
 from scanloom.llm.licenses import scan_licenses
+from scanloom.llm.decontaminate import find_leaks
 from scanloom.llm.lines import line_report
 from scanloom.llm.omh import near_duplicates
 from scanloom.llm.quality import quality_report
@@ -40,6 +41,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_to_weights(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -52,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_licenses": op5_licenses,
     "op6_lines": op6_lines,
     "op8_quality": op8_quality,
+    "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
 }
 
