@@ -193,10 +193,10 @@ def find_leaks(
     out = None
     for k in range(shards):
         part = items if shards == 1 else items.filter(F.pmod(F.xxhash64("text"), F.lit(shards)) == k)
-        shared = spark.sparkContext.broadcast(build_index([(r["item"], r["text"]) for r in part.collect()]))
+        shared = spark.sparkContext.broadcast(vars(build_index([(r["item"], r["text"]) for r in part.collect()])))  # plain arrays, as workers need not have this package
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, types = shared.value, None
+            index = Index(**shared.value)
             for batch in batches:
                 for at, texts in steps(batch.column("text")):
                     hits = search(texts, index, width, threshold, overlap)
