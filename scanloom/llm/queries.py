@@ -14,6 +14,7 @@ from scanloom.llm.decontaminate import find_leaks
 from scanloom.llm.lines import line_report
 from scanloom.llm.omh import near_duplicates
 from scanloom.llm.quality import quality_report
+from scanloom.llm.toxicity import score_toxicity
 from scanloom.llm.warc import archived_pages
 
 
@@ -37,6 +38,11 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_order_minhash": op3_order_minhash,
     "op5_licenses": op5_licenses,
     "op6_lines": op6_lines,
+    "op7_toxicity": op7_toxicity,
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
