@@ -14,6 +14,7 @@ from scanloom.llm.decontaminate import find_leaks
 from scanloom.llm.lines import line_report
 from scanloom.llm.omh import near_duplicates
 from scanloom.llm.quality import quality_report
+from scanloom.llm.secrets import scan_corpus
 from scanloom.llm.toxicity import score_toxicity
 from scanloom.llm.warc import archived_pages
 
@@ -30,6 +31,10 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_corpus(table(spark, sf_dir, "documents"))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_urls": op2_urls,
     "op3_order_minhash": op3_order_minhash,
+    "op4_secrets": op4_secrets,
     "op5_licenses": op5_licenses,
     "op6_lines": op6_lines,
     "op7_toxicity": op7_toxicity,
