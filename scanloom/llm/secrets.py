@@ -36,8 +36,10 @@ DICTIONARY = ("test", "example", "sample", "dummy", "the", "and", "for", "name",
 #: Words before a value that speak for a key, and against one.
 NAMES = r"(?i)(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential|private)"
 DIGESTS = r"(?i)(commit|sha-?\d*|md5|digest|checksum|hash|integrity|etag|revision|uuid|build)"
+#: How keys of well-known providers begin. Fixed values.
+PROVIDERS = r"^(AKIA|ASIA|AIza|ghp_|gho_|glpat-|xox[abp]-|sk-|sk_live_|rk_live_|SG\.|eyJ)"
 PATHS = r"(?i)(test|example|sample|fixture|mock|doc)"
-FEATURES = ("length", "digits", "lowers", "uppers", "hex", "distinct", "transitions", "vowel_pairs", "covered", "path_test", "named", "digest", "assigned", "quoted", "dots")
+FEATURES = ("length", "digits", "lowers", "uppers", "hex", "distinct", "transitions", "vowel_pairs", "covered", "path_test", "named", "digest", "assigned", "quoted", "dots", "provider")
 CONTEXT = 48
 
 
@@ -79,12 +81,13 @@ def with_features(found: DataFrame, dictionary: Sequence[str] = DICTIONARY) -> D
             "assigned": F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double"),
             "quoted": F.col("before").rlike("[\"']$").cast("double"),
             "dots": share(r"[.@]"),
+            "provider": v.rlike(PROVIDERS).cast("double"),
         }
     )
 
 
 def derived_findings(docs: DataFrame, rows: int = 400, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """(id, path, value, before, after, label), at most 12 per document taken."""
+    """(id, path, value, before, after, label), at most 14 per document taken."""
     text = text_of(text_col)
     some = docs.filter(F.length(text) >= 200).limit(rows)
     some = some.select(F.col(id_col).cast("string").alias("id"), (F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")).alias("path"), F.substring(text, 60, CONTEXT - 12).alias("lead"), F.split(F.regexp_replace(F.substring(text, 1, 400), "[^A-Za-z]+", " "), " ").alias("words"))
@@ -92,7 +95,7 @@ def derived_findings(docs: DataFrame, rows: int = 400, id_col: str = "doc_id", t
     base = lambda salt: F.translate(F.substring(F.base64(F.sha2(F.concat(F.lit(salt), "id").cast("binary"), 256).cast("binary")), 5, 32), "=", "a")
     word = lambda i: F.coalesce(F.get("words", F.lit(i)), F.lit("word"))
     made = [
-        (key("a"), ' token = "', 1), (base("b"), ' api_key: "', 1), (F.concat(F.lit("AKIA"), F.upper(F.substring(key("c"), 1, 16))), " secret=", 1), (key("d"), ' password = "', 1),
+        (key("a"), ' token = "', 1), (base("b"), ' api_key: "', 1), (F.concat(F.lit("AKIA"), F.upper(F.substring(key("c"), 1, 16))), " secret=", 1), (F.concat(F.lit("AKIA"), F.upper(F.substring(key("h"), 3, 16))), " ", 1), (F.concat(F.lit("ghp_"), base("i")), " ", 1), (key("d"), ' password = "', 1),
         (base("e"), " Authorization: Bearer ", 1), (key("f"), " commit ", 0), (key("g"), ' "sha1": "', 0), (F.concat(word(3), F.lit("-"), word(4), F.lit("-"), word(5), F.lit("-2024")), ' id = "', 0),
         (F.concat(word(6), F.lit("26.mail6.example.com")), " at ", 0), (F.concat(F.abs(F.xxhash64("id", F.lit(1))).cast("string"), F.lit("0000")), " of ", 0),
         (F.concat(F.lit("/"), word(7), F.lit("/"), word(8), F.lit("/page_17.html")), ' href="', 0), (F.concat(word(9), F.lit("_"), word(10), F.lit("_version_2")), ' token = "', 0),
