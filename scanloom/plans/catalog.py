@@ -368,7 +368,7 @@ def join8_shift_errors(spark, sf):
 
 @query(
     "q1_measure_tau",
-    prelude("points", "camera") + f", {LIDAR}, cam AS (FROM camera), lid AS (FROM lidar), {SHIFT} SELECT tau_idx, round(tau, 6) AS tau, round(mse, 6) AS mse, n FROM err ORDER BY round(mse, 9), tau_idx LIMIT 1",
+    prelude("points", "camera") + f", {LIDAR}, cam AS (FROM camera), lid AS (FROM lidar), {SHIFT}, best AS (SELECT * FROM err ORDER BY round(mse, 9), tau_idx LIMIT 1) SELECT tau_idx, coalesce(round(tau, 6), 0) AS tau, coalesce(round(mse, 6), 'Infinity'::DOUBLE) AS mse, coalesce(n, 0) AS n FROM (SELECT 1) LEFT JOIN best ON true",
 )
 def q1_measure_tau(spark, sf):
     return tau.best_shift(proxy.camera_curve(spark, sf), lidar_curve(spark, sf))
