@@ -216,5 +216,5 @@ def find_leaks(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input without documents in which an item was found; rows without id stay."""
     found = find_leaks(docs, benchmark, id_col, text_col)
-    leaked = materialise(found.select(F.col(id_col).alias("_leaked")).distinct(), "leaked")
-    return docs.join(leaked, docs[id_col] == leaked["_leaked"], "left_anti")
+    leaked = materialise(found.select(F.col(id_col).alias("__leaked")).distinct(), "leaked")
+    return docs.join(leaked, docs[id_col] == leaked["__leaked"], "left_anti")

@@ -6,7 +6,7 @@ probes the keys that lines as long or up to `edits` shorter would own. Lines tha
 bit-parallel edit distance; classes are the connected components of the links.
 
 Data flow: exact copies meet first, as (digest, keys, count) rows that are aggregated map-side; one join on the key
-follows. Blocks of more than 24 lines are not paired out. With one edit they are split again by the same rule on
+follows. Blocks of more than 12 lines are not paired out. With one edit they are split again by the same rule on
 what the shared segment leaves of the lines, which halves it each round, until blocks are small or differ in one
 character only and are links throughout. With more edits, large blocks are compared with one of their lines each
 round (blocks.py). Line texts travel once and for candidates only. Pairs, links and classes stay in tables in the
@@ -121,11 +121,11 @@ def line_links(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
             while not level.isEmpty():
                 now = materialise(blocks.sized(_halves(level)), "line-halves")
                 found.append(check(materialise(blocks.small_pairs(now), "line-pairs")))
-                ends = now.filter((F.col("n") > blocks.SMALL) & F.col("last"))
+                ends = now.filter((F.col("n") > blocks.SMALL) & F.col("last")).withColumn("level", F.lit(0))
                 if (more := blocks.star_links(ends, check)) is not None:
                     found.append(more)
                 level = now.filter((F.col("n") > blocks.SMALL) & ~F.col("last")).select("key", "node", "rest")
-        elif (more := blocks.star_links(large, check)) is not None:
+        elif (more := blocks.star_links(large.withColumn("level", F.lit(0)), check)) is not None:
             found.append(more)
     out = found[0]
     for more in found[1:]:
@@ -170,10 +170,10 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per document: id, n_lines, n_linked, n_removed, removed."""
     found = repeated_lines(docs, id_col, text_col, **options)
     return (
-        docs.select(F.col(id_col).alias("_id"), F.size(F.split(text_of(text_col), "\n", -1)).cast("long").alias("n_lines"))
-        .join(found, F.col("_id").eqNullSafe(F.col(id_col)), "left")
+        docs.select(F.col(id_col).alias("__line_doc"), F.size(F.split(text_of(text_col), "\n", -1)).cast("long").alias("n_lines"))
+        .join(found, F.col("__line_doc").eqNullSafe(F.col(id_col)), "left")
         .select(
-            F.col("_id").alias(id_col), "n_lines",
+            F.col("__line_doc").alias(id_col), "n_lines",
             F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
             F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
             F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
@@ -183,7 +183,7 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input with repeated lines removed from the text; documents without any to remove are unchanged."""
-    found = materialise(repeated_lines(docs, id_col, text_col, **options).filter(F.size("removed") > 0).select(F.col(id_col).alias("_id"), F.col("removed").alias("_removed")), "line-removed")
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col("_removed"), i)), "\n")
-    joined = docs.join(found, F.col(id_col) == F.col("_id"), "left")
-    return joined.withColumn(text_col, F.when(F.col("_removed").isNotNull(), kept).otherwise(F.col(text_col))).drop("_id", "_removed")
+    found = materialise(repeated_lines(docs, id_col, text_col, **options).filter(F.size("removed") > 0).select(F.col(id_col).alias("__line_doc"), F.col("removed").alias("__line_removed")), "line-removed")
+    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col("__line_removed"), i)), "\n")
+    joined = docs.join(found, F.col(id_col) == F.col("__line_doc"), "left")
+    return joined.withColumn(text_col, F.when(F.col("__line_removed").isNotNull(), kept).otherwise(F.col(text_col))).drop("__line_doc", "__line_removed")
