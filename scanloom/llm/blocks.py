@@ -1,8 +1,8 @@
 """From blocks of texts that share a key to pairs to compare, without all pairs of a large block.
 
-A block of at most `small` texts gives all its pairs. A larger one goes to `refine`, which splits it by a further
-condition that linked texts meet; where that is exhausted, all its texts are compared with one text of it, and
-those that don't link with that one go on as a block of their own. Each round shrinks what is left, so it ends
+A block of at most `small` texts gives all its pairs. In a larger one, all its texts are compared
+with one text of it, and those that don't link with that one go on as a block of their own, or as several where a further
+condition that linked texts meet can split them. Each round shrinks what is left, so it ends
 with every text either linked or compared in a small block."""
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from scanloom.llm.common import materialise
 
 #: Texts of a block up to which all pairs are compared: at most half as many pairs for each text.
-SMALL = 24
+SMALL = 12
+#: The same for texts that didn't link with the one that their block was compared with.
+LATER = 64
 
 
 def sized(rows: DataFrame) -> DataFrame:
@@ -31,19 +33,24 @@ def small_pairs(rows: DataFrame, small: int = SMALL) -> DataFrame:
     return own.join(of.select("key", F.col("node").alias("y"), F.col("owns").alias("too")), "key").filter("x < y OR (x > y AND NOT too)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def star_links(rows: DataFrame, links_of: Callable[[DataFrame], DataFrame], small: int = SMALL) -> DataFrame | None:
-    """Links within large blocks whose nodes are all alike in what a key can tell. rows: (key, node, owns); the
-    text that the others are compared with is an owner as long as there is one."""
+def star_links(
+    rows: DataFrame,
+    links_of: Callable[[DataFrame], DataFrame],
+    refine: Callable[[DataFrame], DataFrame] | None = None,
+    small: int = SMALL,
+) -> DataFrame | None:
+    """Links within large blocks. rows: (key, node, owns, level). All texts of a block are compared with one of them,
+    the smallest, an owner as long as there is one, so that blocks with the same texts give the same pairs; those that don't link with it go on, through `refine` if given, which splits
+    blocks by a further condition and raises the level."""
     found = None
-    rows = materialise(rows.groupBy("key", "node").agg(F.max("owns").alias("owns")), "blocks")
+    rows = materialise(rows.select("key", "node", "owns", "level"), "blocks")
     while not rows.isEmpty():
-        now = sized(rows)
-        middle = rows.groupBy("key").agg(F.min_by("node", F.struct(~F.col("owns"), F.xxhash64("key", "node"))).alias("middle"))
-        large = materialise(now.filter(F.col("n") > small).join(middle, "key").filter("node <> middle"), "stars")
-        pairs = large.select(F.least("node", "middle").alias("a"), F.greatest("node", "middle").alias("b")).distinct()
-        links = materialise(links_of(pairs.unionByName(small_pairs(now, small)).distinct()), "links")
+        of_key = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(~F.col("owns"), "node"))["node"].alias("middle")).filter("n > 1")
+        now = materialise(rows.join(of_key, "key"), "stars")
+        large = now.filter((F.col("n") > small) & (F.col("node") != F.col("middle"))).withColumns({"a": F.least("node", "middle"), "b": F.greatest("node", "middle")})
+        links = materialise(links_of(large.select("a", "b").unionByName(small_pairs(now, small)).distinct()), "links")
+        small = max(small, LATER)
         found = links if found is None else found.unionByName(links)
-        linked = links.select(F.col("a"), F.col("b"), F.lit(True).alias("ok"))
-        left = large.withColumns({"a": F.least("node", "middle"), "b": F.greatest("node", "middle")}).join(linked, ["a", "b"], "left").filter("ok IS NULL")
-        rows = materialise(left.select("key", "node", F.lit(True).alias("owns")), "blocks")
+        left = large.join(links.withColumn("ok", F.lit(True)), ["a", "b"], "left").filter("ok IS NULL").select("key", "node", F.lit(True).alias("owns"), "level")
+        rows = materialise(left if refine is None else refine(left), "blocks")
     return found

@@ -1,7 +1,7 @@
 """Connected components of a link table, by alternating large-star and small-star steps (Kiveris et al. 2014).
 
 Every step is an aggregation to each node's smallest neighbour and a join; nothing is collected, hubs are split by
-the adaptive skew join, and the state is cut with checkpoint() each round. Rounds end when a round changes
+the adaptive skew join, and the state is a table in the shared folder after each round. Rounds end when a round changes
 nothing; their number grows with the logarithm of the longest path."""
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanloom.llm.common import shared_dir
+from scanloom.llm.common import materialise
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -27,13 +27,12 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """links: (a, b). Returns (node, root) for every node with a link, root being the smallest node of its
     component."""
-    shared_dir(links.sparkSession)
-    state = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct().checkpoint()
+    state = materialise(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "components")
     before = None
     while True:
         now = state.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")).collect()[0]
         if now == before or not now["n"]:
             break
         before = now
-        state = _star(_star(state, True), False).checkpoint()
+        state = materialise(_star(_star(state, True), False), "components")
     return state.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(state.select("b", "b").distinct())
