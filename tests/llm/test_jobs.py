@@ -112,9 +112,10 @@ def test_line_links_equal_brute_force(spark, edits):
 
 def test_only_the_first_of_many_lines_stays(spark):
     often, twice = "a line that stands everywhere", "a line that stands in two documents"
-    rows = [(i, f"{often if i % 2 else often + '.'}\nown line number {i} of its document\nhi") for i in range(10)] + [(10, twice), (11, twice), (12, "hi\nhi\nhi")]
+    own = [f"{c * 9} is what this document says" for c in "abcdefghij"]
+    rows = [(i, f"{often if i % 2 else often + '.'}\n{own[i]}\nhi") for i in range(10)] + [(10, twice), (11, twice), (12, "hi\nhi\nhi")]
     got = {r["doc_id"]: r["text"] for r in lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[0] == rows[0][1] and all(got[i] == f"own line number {i} of its document\nhi" or i < 1 for i in range(10))
+    assert got[0] == rows[0][1] and all(got[i] == f"{own[i]}\nhi" for i in range(1, 10))
     assert got[10] == got[11] == twice and got[12] == "hi\nhi\nhi"
 
 
