@@ -1,23 +1,29 @@
-"""From blocks of texts that share a key to pairs to compare, without all pairs of a large block.
+"""From blocks of texts that share a key to links, without a row for each pair of a large block.
 
-A block of at most `small` texts gives all its pairs. In a larger one, all its texts are compared
-with one text of it, and those that don't link with that one go on as a block of their own, or as several where a further
-condition that linked texts meet can split them. Each round shrinks what is left, so it ends
-with every text either linked or compared in a small block."""
+A block of at most `small` texts gives all its pairs. In a larger one all texts are first compared with one of them.
+Only links between different classes matter for the classes, so what follows looks at pairs of a block that no chain of links
+joins yet, and at all of these: tiles of the block meet in one group each, an exact bound (words in common) rules pairs out
+there, and what it leaves is compared, each text's most promising partner first. No text leaves a block before it is in one class
+with all the others."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanloom.llm.common import materialise
+from scanloom.llm.components import components
 
 #: Texts of a block up to which all pairs are compared: at most half as many pairs for each text.
 SMALL = 12
-#: The same for texts that didn't link with the one that their block was compared with.
-LATER = 64
+#: About so many texts of a block meet as many others in one group.
+TILE = 512
+#: Counts of a bag up to which words in common are counted by bucket; beyond, by their sum.
+LEVELS = 24
 
 
 def sized(rows: DataFrame) -> DataFrame:
@@ -33,24 +39,107 @@ def small_pairs(rows: DataFrame, small: int = SMALL) -> DataFrame:
     return own.join(of.select("key", F.col("node").alias("y"), F.col("owns").alias("too")), "key").filter("x < y OR (x > y AND NOT too)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def star_links(
-    rows: DataFrame,
-    links_of: Callable[[DataFrame], DataFrame],
-    refine: Callable[[DataFrame], DataFrame] | None = None,
-    small: int = SMALL,
-) -> DataFrame | None:
-    """Links within large blocks. rows: (key, node, owns, level). All texts of a block are compared with one of them,
-    the smallest, an owner as long as there is one, so that blocks with the same texts give the same pairs; those that don't link with it go on, through `refine` if given, which splits
-    blocks by a further condition and raises the level."""
-    found = None
-    rows = materialise(rows.select("key", "node", "owns", "level"), "blocks")
-    while not rows.isEmpty():
-        of_key = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(~F.col("owns"), "node"))["node"].alias("middle")).filter("n > 1")
-        now = materialise(rows.join(of_key, "key"), "stars")
-        large = now.filter((F.col("n") > small) & (F.col("node") != F.col("middle"))).withColumns({"a": F.least("node", "middle"), "b": F.greatest("node", "middle")})
-        links = materialise(links_of(large.select("a", "b").unionByName(small_pairs(now, small)).distinct()), "links")
-        small = max(small, LATER)
-        found = links if found is None else found.unionByName(links)
-        left = large.join(links.withColumn("ok", F.lit(True)), ["a", "b"], "left").filter("ok IS NULL").select("key", "node", F.lit(True).alias("owns"), "level")
-        rows = materialise(left if refine is None else refine(left), "blocks")
-    return found
+def star_links(rows: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links of each block's texts with one of them. rows: (key, node, owns). That one is an owner as long as there is one, and
+    of these the one with the most company in all its blocks, as an original has among its copies."""
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
+    company = rows.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("company"))
+    middles = rows.join(company, "node").groupBy("key").agg(F.max(F.struct("owns", "company", "node"))["node"].alias("middle"))
+    pairs = rows.join(middles, "key").filter(F.col("node") != F.col("middle"))
+    return links_of(pairs.select(F.least("node", "middle").alias("a"), F.greatest("node", "middle").alias("b")).distinct())
+
+
+def apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """rows with `root`, for blocks whose nodes are in several classes. roots: (node, root)."""
+    rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
+    return rooted.join(several, "key")
+
+
+def tiles(rows: DataFrame) -> DataFrame:
+    """rows: (key, band, node, ..). With (cell, side): tiles of about TILE nodes of a block and a band, each of which meets
+    itself and those of its own and of the neighbouring bands once. A block that fits one tile isn't split."""
+    sizes = rows.groupBy("key", "band").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("key").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("n") / TILE).cast("int").alias("m")))).alias("m"))
+    held = rows.join(sizes, "key").withColumn("whole", F.col("total") <= TILE)
+    m = lambda step: F.when(F.col("whole"), F.lit(1 if not step else 0)).otherwise(F.coalesce(F.try_element_at("m", F.col("band") + step), F.lit(0)))
+    band = F.when(F.col("whole"), F.lit(0).cast("long")).otherwise(F.col("band"))
+    held = held.withColumn("h", F.pmod(F.xxhash64("node"), m(0).cast("long")).cast("int"))
+    each = lambda n, f: F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), f)).otherwise(F.array().cast("array<struct<b:bigint,x:int,y:int,step:int,side:int>>"))
+    cell = lambda b, x, y, step, side: F.struct(b.cast("long").alias("b"), x.cast("int").alias("x"), y.cast("int").alias("y"), F.lit(step).alias("step"), side.cast("int").alias("side"))
+    h = F.col("h")
+    own = each(m(0), lambda i: cell(band, F.least(h, i), F.greatest(h, i), 0, (h > i)))
+    above = each(m(1), lambda i: cell(band, h, i, 1, F.lit(0)))
+    below = each(m(-1), lambda i: cell(band - 1, i, h, 1, F.lit(1)))
+    out = held.withColumn("c", F.explode(F.concat(own, above, below)))
+    return out.withColumns({"cell": F.xxhash64("key", "c.b", "c.x", "c.y", "c.step"), "side": F.col("c.side"), "self": (F.col("c.step") == 0) & (F.col("c.x") == F.col("c.y"))}).drop("c", "h", "m", "whole", "total")
+
+
+def in_common(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
+    """(len(x), len(y)): at least as much as the words that two bags (counts by bucket, of nx and ny words) have in common."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    for t in range(1, LEVELS + 1):
+        p, q = x >= t, y >= t
+        some = np.flatnonzero(p.any(axis=0) & q.any(axis=0))
+        if not len(some):
+            break
+        out += p[:, some].astype(np.float32) @ q[:, some].astype(np.float32).T
+    beyond = lambda bag, n: n - np.minimum(bag, LEVELS).sum(axis=1, dtype=np.int64)
+    return out + np.minimum.outer(beyond(x, nx), beyond(y, ny))
+
+
+def unlinked_pairs(rows: DataFrame, similarity: float, best: bool) -> DataFrame:
+    """(a, b): nodes of a block in different classes, an owner among them, that may be similar enough by their bags; with
+    `best` only each node's partner with the most words in common, in each tile. rows: (key, node, owns, root, band, words, bag)."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        side, own = table["side"].to_numpy(), table["owns"].to_numpy()
+        root = np.unique(np.array(table["root"].to_pylist(), object), return_inverse=True)[1]
+        same = table["self"][0].as_py()
+        at = np.flatnonzero(side == 0)
+        to = at if same else np.flatnonzero(side == 1)
+        ok = (root[at][:, None] != root[to]) & (own[at][:, None] | own[to])
+        share = np.zeros(ok.shape, np.float32)
+        if table["bag"][0].is_valid and ok.any():
+            n = table["words"].to_numpy()
+            bag = np.frombuffer(b"".join(table["bag"].to_pylist()), np.uint8).reshape(len(n), -1)
+            longer = np.maximum.outer(n[at], n[to])
+            share = in_common(bag[at], bag[to], n[at], n[to])
+            share = np.minimum(share, np.minimum.outer(n[at], n[to]))
+            ok &= longer - share <= np.floor((1 - similarity) * longer + 1e-9) + 0.5
+            share = share / longer
+        if best and ok.size:
+            share = np.where(ok, share, -1)
+            keep = np.zeros(ok.shape, bool)
+            keep[np.arange(len(at)), share.argmax(axis=1)] = True
+            keep[share.argmax(axis=0), np.arange(len(to))] = True
+            ok &= keep
+        i, j = np.nonzero(ok)
+        i, j = at[i], to[j]
+        if same and not best:
+            i, j = i[i < j], j[i < j]
+        return pa.table({"x": table["node"].take(pa.array(i)), "y": table["node"].take(pa.array(j))})
+
+    cells = tiles(rows).select("cell", "side", "self", "node", "owns", "root", "words", "bag")
+    found = cells.groupBy("cell").applyInArrow(meet, "x binary, y binary")
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def large_links(rows: DataFrame, links_of: Callable[[DataFrame], DataFrame], found: DataFrame, bags: Callable[[DataFrame], DataFrame] | None = None, similarity: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """(links, roots): links that give the same classes as `found` and all links within large blocks, and each node's class. rows: (key, node, owns). bags: from
+    (node) to (node, words, band, bag), bag being word counts by bucket as bytes and similar texts in the same or neighbouring bands."""
+    links = materialise(found.unionByName(star_links(rows, links_of)), "star-links")
+    roots = components(links)
+    for best in (True, False):
+        left = apart(rows, roots)
+        if bags is None:
+            left = left.withColumns({"words": F.lit(0).cast("long"), "band": F.lit(0).cast("long"), "bag": F.lit(None).cast("binary")})
+        left = materialise(left, "apart")
+        if left.isEmpty():
+            break
+        if bags is not None:
+            left = left.join(materialise(bags(left.select("node").distinct()), "bags"), "node")
+        more = materialise(links_of(materialise(unlinked_pairs(left, similarity, best), "apart-pairs")), "links")
+        links = links.unionByName(more)
+        roots = components(materialise(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), "links"))
+    return links, roots

@@ -8,8 +8,8 @@ bit-parallel edit distance; classes are the connected components of the links.
 Data flow: exact copies meet first, as (digest, keys, count) rows that are aggregated map-side; one join on the key
 follows. Blocks of more than 12 lines are not paired out. With one edit they are split again by the same rule on
 what the shared segment leaves of the lines, which halves it each round, until blocks are small or differ in one
-character only and are links throughout. With more edits, large blocks are compared with one of their lines each
-round (blocks.py). Line texts travel once and for candidates only. Pairs, links and classes stay in tables in the
+character only and are links throughout. With more edits, large blocks are compared with one of their lines, then all
+pairs that are still in different classes (blocks.py). Line texts travel once and for candidates only. Pairs, links and classes stay in tables in the
 shared folder.
 
 A class that occurs more than `max_copies` times is boilerplate: only its first line, by (document id, place), stays.
@@ -121,12 +121,12 @@ def line_links(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
             while not level.isEmpty():
                 now = materialise(blocks.sized(_halves(level)), "line-halves")
                 found.append(check(materialise(blocks.small_pairs(now), "line-pairs")))
-                ends = now.filter((F.col("n") > blocks.SMALL) & F.col("last")).withColumn("level", F.lit(0))
-                if (more := blocks.star_links(ends, check)) is not None:
-                    found.append(more)
+                ends = now.filter((F.col("n") > blocks.SMALL) & F.col("last"))
+                if not ends.isEmpty():
+                    found.append(blocks.star_links(ends, check))
                 level = now.filter((F.col("n") > blocks.SMALL) & ~F.col("last")).select("key", "node", "rest")
-        elif (more := blocks.star_links(large.withColumn("level", F.lit(0)), check)) is not None:
-            found.append(more)
+        else:
+            found = [blocks.large_links(large.select("key", "node", "owns"), check, materialise(found[0], "line-links"))[0]]
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

@@ -9,8 +9,9 @@ components of the links.
 
 Data flow: exact copies meet by digest in one aggregation; all that follows works on distinct texts, so a text
 that a third of all rows share is one node. Samples are (hash, digest) rows. In blocks of more than 12 texts,
-all are compared with one of them; those that don't link with it stay together only where they agree in one of the next
-four samples and their numbers of words allow a link, and so on (blocks.py). No block is paired out. Texts travel once, for candidates only, to be aligned. Pairs, links and
+all are compared with one of them; then all pairs that are still in different classes are, if their numbers of words and the
+words that they have in common allow a link, which tiles of the block find without a row for each pair (blocks.py). So a pair that agrees
+in one sample ends in one class if it is similar, however large the block is. Texts travel once, for candidates only, to be aligned. Pairs, links and
 classes stay in tables in the shared folder.
 
 With 20 samples, a pair with Jaccard similarity J of its k-mers is a candidate with a probability of about
@@ -40,6 +41,8 @@ from scanloom.llm.tokens import Words, mix, steps, words
 K = 5
 SAMPLES = 20
 SIMILARITY = 0.8
+#: Buckets of the word counts that rule pairs out before they are aligned.
+BUCKETS = 1024
 _ODD = np.random.default_rng(7).integers(0, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -133,6 +136,23 @@ def align(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return joined.mapInArrow(check, "a binary, b binary")
 
 
+def bags(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(node, words, band, bag): counts of words by hash, up to 255. Texts that are similar enough have word counts in the same or in
+    neighbouring bands."""
+    rows = texts.withColumnRenamed("digest", "node").join(nodes, "node", "left_semi").select("node", "text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, left in steps(batch.column("text")):
+                w = words(left)
+                n = np.diff(w.bounds)
+                held = np.bincount(np.repeat(np.arange(len(n)), n) * BUCKETS + (mix(w.hashes, 9) % np.uint64(BUCKETS)).astype(np.int64), minlength=len(n) * BUCKETS)
+                flat = np.minimum(held, 255).astype(np.uint8).reshape(len(n), BUCKETS)
+                yield pa.record_batch([batch.column("node").slice(at, len(left)), pa.array(n, pa.int64()), pa.array([x.tobytes() for x in flat], pa.binary())], names=["node", "words", "bag"])
+
+    return rows.mapInArrow(count, "node binary, words long, bag binary").withColumn("band", F.floor(F.log("words") / -math.log(min(similarity, 0.999))))
+
+
 def alike(x: np.ndarray, y: np.ndarray, similarity: float = SIMILARITY) -> bool:
     """Whether the word-level edit similarity reaches `similarity`."""
     longer = max(len(x), len(y))
@@ -167,24 +187,16 @@ def near_duplicates(
     pairs = blocks.small_pairs(first)
     large = first.filter(F.col("n") > blocks.SMALL)
 
-    def refine(rows: DataFrame) -> DataFrame:
-        # Texts stay together only if they agree in one of the next four samples, so blocks of texts that share a passage fall apart.
-        more = rows.withColumnRenamed("level", "last").join(held, "node").select("key", "node", "last", "band", F.posexplode("sketch").alias("level", "v")).filter("level > last AND level <= last + 4")
-        # Texts that are similar enough have word counts in the same or in neighbouring bands.
-        more = more.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
-        return more.select(F.xxhash64("key", "level", "v", "band").alias("key"), "node", F.lit(True).alias("owns"), "level")
-
-    held = materialise(nodes.select(F.col("digest").alias("node"), "sketch", F.floor(F.log("words") / -math.log(min(similarity, 0.999))).alias("band")).join(large.select("node").distinct(), "node"), "omh-large")
     pairs = materialise(pairs, "omh-pairs")
     needed = pairs.select(F.col("a").alias("digest")).unionAll(pairs.select("b")).unionAll(large.select("node"))
     texts = docs.select(digest_of(text_of(text_col)).alias("digest"), F.lower(text_of(text_col)).alias("text"))
     texts = texts.join(needed.distinct(), "digest", "left_semi").groupBy("digest").agg(F.any_value("text").alias("text"))
     texts = materialise(texts, "omh-texts")
-    links = align(pairs, texts, similarity)
-    stars = large.select("key", "node", "owns", F.col("s").alias("level"))
-    if (more := blocks.star_links(stars, lambda p: align(p, texts, similarity), refine)) is not None:
-        links = links.unionByName(more)
-    roots = components(materialise(links.distinct(), "omh-links"))
+    links = materialise(align(pairs, texts, similarity), "omh-links")
+    if large.isEmpty():
+        roots = components(links)
+    else:
+        _, roots = blocks.large_links(large.select("key", "node", "owns"), lambda p: align(p, texts, similarity), links, lambda nodes: bags(nodes, texts, similarity), similarity)
     classes = rows.select("id", "digest").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     lowest = classes.groupBy("root").agg(F.min("id").alias("class_id"))
     return classes.join(lowest, "root").select(F.col("id").alias(id_col), "class_id", F.lower(F.hex("digest")).alias("digest"))
