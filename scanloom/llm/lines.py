@@ -12,7 +12,9 @@ character only and are links throughout. With more edits, large blocks are compa
 pairs that are still in different classes (blocks.py). Line texts travel once and for candidates only. Pairs, links and classes stay in tables in the
 shared folder.
 
-A class that occurs more than `max_copies` times is boilerplate: only its first line, by (document id, place), stays.
+Every line whose class occurs more than once is reported, with its class and the class's number of copies. A class with a line of more
+than `long_words` words keeps only its first line, by (document id, place), from the second copy on; one of shorter lines does if it
+occurs more than `max_copies` times, as boilerplate. Two lines of at least 200 characters are the same up to two edits.
 Lines of fewer than `min_chars` characters stay.
 
 Cases: a null text is empty and has one empty line; a document that loses all lines with a word keeps its row, with what is left;
@@ -30,12 +32,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scanloom.llm import blocks
-from scanloom.llm.common import materialise, text_of
+from scanloom.llm.common import materialise, n_words, text_of
 from scanloom.llm.components import components
 from scanloom.llm.editdistance import distance_within
 
 MIN_CHARS = 16
 MAX_COPIES = 6
+LONG_WORDS = 50
+#: (least characters of both lines, edits): from there on more edits than by default count as the same.
+LONGER = ((200, 2),)
 
 
 def segment_keys(line: Column, n: Column, edits: int, under: Column | None = None) -> list[tuple[Column, bool, Column, Column]]:
@@ -140,34 +145,44 @@ def repeated_lines(
     edits: int = 1,
     min_chars: int = MIN_CHARS,
     max_copies: int = MAX_COPIES,
+    long_words: int = LONG_WORDS,
 ) -> DataFrame:
-    """Per document id with a line that counts: id, n_linked (its lines within `edits` of a different line) and
-    removed (places of the lines to remove, from 0, ascending)."""
+    """Per document id with a repeated line: id, n_linked (its lines within `edits` of a different line),
+    removed (places of the lines to remove, from 0, ascending) and repeated (place, class and number of copies of each line whose
+    class occurs more than once; a class is named by the md5 of one of its lines)."""
     lines = occurrences(docs, id_col, text_col, min_chars)
-    keyed = lines.select("digest", *[key.alias(f"k{j}") for j, (key, _, _, _) in enumerate(segment_keys(F.col("line"), F.col("n"), edits))])
-    names = [c for c in keyed.columns if c != "digest"]
-    distinct = materialise(keyed.groupBy("digest").agg(F.count("*").alias("copies"), *[F.min(c).alias(c) for c in names]), "line-digests")
-    roots = materialise(components(materialise(line_links(lines, distinct, edits), "line-links")).withColumnRenamed("node", "digest"), "line-roots")
-
-    counts = distinct.select("digest", "copies")
-    linked = counts.join(roots, "digest")
-    often = linked.groupBy("root").agg(F.sum("copies").alias("total")).filter(F.col("total") > max_copies)
-    marks = (
-        roots.join(often, "root", "left").select("digest", F.when(F.col("total").isNotNull(), F.col("root")).alias("class"), F.lit(True).alias("linked"))
-        .unionByName(counts.filter(F.col("copies") > max_copies).join(roots, "digest", "left_anti").select("digest", F.col("digest").alias("class"), F.lit(False).alias("linked")))
-    )
-    marks = materialise(marks, "line-marks")
+    # n characters hold (n + 1) / 2 words at most
+    n_long = F.when(F.col("n") >= 2 * long_words, n_words(F.col("line"))).otherwise(F.lit(0).cast("long"))
+
+    def distinct_of(rows: DataFrame, edits: int) -> DataFrame:
+        keys = {f"k{j}": key for j, (key, _, _, _) in enumerate(segment_keys(F.col("line"), F.col("n"), edits))}
+        keyed = rows.select("digest", n_long.alias("words"), *[key.alias(c) for c, key in keys.items()])
+        return materialise(keyed.groupBy("digest").agg(F.count("*").alias("copies"), F.min("words").alias("words"), *[F.min(c).alias(c) for c in keys]), "line-digests")
+
+    distinct = distinct_of(lines, edits)
+    links = line_links(lines, distinct, edits)
+    for least, more in LONGER:
+        if more > edits:
+            long = lines.filter(F.col("n") >= max(least, min_chars))
+            links = links.unionByName(line_links(long, distinct_of(long, more), more))
+    roots = materialise(components(materialise(links.distinct(), "line-links")).withColumnRenamed("node", "digest"), "line-roots")
+
+    classes = distinct.select("digest", "copies", "words").join(roots, "digest", "left").select("digest", "copies", "words", F.coalesce("root", "digest").alias("class"), F.col("root").isNotNull().alias("linked"))
+    totals = classes.groupBy("class").agg(F.sum("copies").alias("total"), F.max("words").alias("longest")).filter("total > 1")
+    often = F.col("total") > F.when(F.col("longest") > long_words, 1).otherwise(max_copies)
+    marks = materialise(classes.join(totals, "class").select("digest", "class", "linked", "total", often.alias("often")), "line-marks")
     marked = materialise(lines.select("id", "pos", "digest").join(marks, "digest"), "line-marked")
-    first = marked.filter("class IS NOT NULL").groupBy("class").agg(F.min(F.struct("id", "pos")).alias("first"))
+    first = marked.filter("often").groupBy("class").agg(F.min(F.struct("id", "pos")).alias("first"))
     decided = marked.join(first, "class", "left").withColumn("gone", F.col("id").isNotNull() & F.col("first").isNotNull() & (F.struct("id", "pos") != F.col("first")))
     return decided.groupBy("id").agg(
         F.count_if("linked").alias("n_linked"),
         F.array_sort(F.array_distinct(F.collect_list(F.when(F.col("gone"), F.col("pos"))))).alias("removed"),
+        F.array_sort(F.array_distinct(F.collect_list(F.struct("pos", F.lower(F.hex("class")).alias("class"), F.col("total").alias("copies"))))).alias("repeated"),
     ).withColumnRenamed("id", id_col)
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Per document: id, n_lines, n_linked, n_removed, removed."""
+    """Per document: id, n_lines, n_linked, n_removed, removed, repeated."""
     found = repeated_lines(docs, id_col, text_col, **options)
     return (
         docs.select(F.col(id_col).alias("__line_doc"), F.size(F.split(text_of(text_col), "\n", -1)).cast("long").alias("n_lines"))
@@ -177,6 +192,7 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
             F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
             F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+            F.coalesce("repeated", F.array().cast("array<struct<pos:int,class:string,copies:bigint>>")).alias("repeated"),
         )
     )
 
