@@ -22,7 +22,7 @@ def dedupe_stamps(df: DataFrame, stamp: str, order: str, by: Sequence[str] = ())
 
 def bracket(samples: DataFrame, queries: DataFrame, stamp: str = "ns", by: Sequence[str] = (), bucket: int = 60_000_000_000) -> DataFrame:
     """Queries with `before` and `after`: structs of the sample at or before, and at or after, the query's stamp; null where there is none.
-    Stamps of samples must be unique within `by`."""
+    Stamps of samples must be unique within `by`. Queries without a stamp stay, with nothing around them."""
     by = list(by)
     names = [stamp, *[c for c in samples.columns if c not in (stamp, *by)]]
     kept = [c for c in queries.columns if c not in by]
@@ -30,7 +30,7 @@ def bracket(samples: DataFrame, queries: DataFrame, stamp: str = "ns", by: Seque
     of_sample = F.struct(*names)
     left = samples.select(*by, F.col(stamp).alias("_t"), F.lit(0).alias("_kind"), of_sample.alias("_s"), F.lit(None).cast(f"struct<{kind}>").alias("_q"))
     right = queries.select(*by, F.col(stamp).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast(left.schema["_s"].dataType).alias("_s"), F.struct(*kept).alias("_q"))
-    both = left.unionByName(right).withColumn("_b", F.floor(F.col("_t") / bucket))
+    both = left.filter("_t IS NOT NULL").unionByName(right).withColumn("_b", F.floor(F.col("_t") / bucket))
     rows = Window.partitionBy(*by, "_b")
     past = rows.orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     coming = rows.orderBy(F.desc("_t"), "_kind").rowsBetween(Window.unboundedPreceding, 0)
@@ -42,7 +42,13 @@ def bracket(samples: DataFrame, queries: DataFrame, stamp: str = "ns", by: Seque
         F.last("_high", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"),
         F.first("_low", ignorenulls=True).over(across.rowsBetween(1, Window.unboundedFollowing)).alias("_later"),
     )
-    joined = near.join(ends, [*by, "_b"])
+    # a query without a stamp has nothing around it; one without `by` belongs with samples without it
+    near = near.withColumns({"before": F.when(F.col("_t").isNotNull(), F.col("before")), "after": F.when(F.col("_t").isNotNull(), F.col("after"))})
+    ends = ends.select(*[F.col(c).alias(f"_{c}_") for c in by], F.col("_b").alias("_at"), "_earlier", "_later")
+    same = F.col("_b") == F.col("_at")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}_"))
+    joined = near.join(ends, same, "left")
     return joined.select(*by, "_q.*", F.coalesce("before", "_earlier").alias("before"), F.coalesce("after", "_later").alias("after"))
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanloom.functions import geo
 from scanloom.functions.calibration import Calibration
+from scanloom.operators.ordered import numbered, quantiles
+from scanloom.operators.scan import nearest_k
+from scanloom.sources.clouds import decode_image
 
 
 def finite_points(points: DataFrame) -> DataFrame:
@@ -15,10 +20,12 @@ def finite_points(points: DataFrame) -> DataFrame:
 
 def extents(points: DataFrame, room: float = 3.5) -> DataFrame:
     """One row: points, robust (1st to 99th percentile, exact) and full extent per axis, and whether the least robust extent is
-    that of a room. Percentiles are aggregated by value with map-side combine."""
-    robust = lambda a: (F.percentile(a, F.lit(0.99)) - F.percentile(a, F.lit(0.01))).alias(f"robust_{a}")
-    full = lambda a: (F.max(a) - F.min(a)).alias(f"full_{a}")
-    out = finite_points(points).agg(F.count("*").alias("n"), *[robust(a) for a in "xyz"], *[full(a) for a in "xyz"])
+    that of a room."""
+    kept = finite_points(points)
+    q = quantiles(kept, {f"{a}{p}": (F.col(a), p / 100) for a in "xyz" for p in (1, 99)})
+    robust = q.select(*[(F.col(f"{a}99") - F.col(f"{a}1")).alias(f"robust_{a}") for a in "xyz"])
+    out = kept.agg(F.count("*").alias("n"), *[(F.max(a) - F.min(a)).alias(f"full_{a}") for a in "xyz"])
+    out = out.join(F.broadcast(robust), F.lit(True), "left").select("n", *[f"robust_{a}" for a in "xyz"], *[f"full_{a}" for a in "xyz"])
     return out.withColumn("plausible", F.least("robust_x", "robust_y", "robust_z") < room)
 
 
@@ -40,7 +47,7 @@ def time_field(columns: list[str]) -> str | None:
 
 def colourise(points: DataFrame, pixels: DataFrame, cal: Calibration, keep_all: bool = False) -> DataFrame:
     """Points with rgb from the pixel they fall on, rounded half to even, and with a time (0 if the driver gives none). pixels: image_id, u, v, b, g, r; points have image_id.
-    Points behind the camera go; those outside the image go too, or keep rgb 0 with `keep_all`."""
+    Points behind the camera go; those outside the image go too, or keep rgb 0 and `inside` false with `keep_all`."""
     t = time_field(points.columns)
     q = geo.transform(cal.rotation, cal.shift, geo.cols("x", "y", "z"))
     p = points.withColumn("_time", F.col(t).cast("double") if t else F.lit(0.0)).withColumn("_p", geo.pixel(cal, q)).filter("_p IS NOT NULL")
@@ -50,7 +57,36 @@ def colourise(points: DataFrame, pixels: DataFrame, cal: Calibration, keep_all:
     joined = p.join(pixels, ["image_id", "u", "v"], "left" if keep_all else "inner")
     rgb = F.when(F.col("r").isNull(), F.lit(0).cast("long")).otherwise(geo.pack_rgb(F.col("r"), F.col("g"), F.col("b")))
     kept = [c for c in points.columns if c not in ("image_id", t)]
-    return joined.select("image_id", *kept, F.col("_time").alias("time"), rgb.alias("rgb"))
+    inside = [geo.in_frame(cal, F.col("u"), F.col("v")).alias("inside")] if keep_all else []
+    return joined.select("image_id", *kept, F.col("_time").alias("time"), rgb.alias("rgb"), *inside)
+
+
+def colourise_frames(points: DataFrame, images: DataFrame, cal: Calibration, keep_all: bool = False) -> DataFrame:
+    """The same from whole images (image_id, data, height, width, encoding), one for each scan: an image travels as one row
+    and meets its scan's points once, and three of its bytes are read for each."""
+    t = time_field(points.columns)
+    q = geo.transform(cal.rotation, cal.shift, geo.cols("x", "y", "z"))
+    p = points.withColumns({"_time": F.col(t).cast("double") if t else F.lit(0.0), "_p": geo.pixel(cal, q)}).filter("_p IS NOT NULL")
+    p = p.withColumns({"u": F.rint("_p.u").try_cast("int"), "v": F.rint("_p.v").try_cast("int")}).drop("_p")
+    if not keep_all:
+        p = p.filter(geo.in_frame(cal, F.col("u"), F.col("v")))
+    kept = [c for c in points.columns if c not in ("image_id", t)]
+    p = p.select("image_id", *kept, F.col("_time").alias("time"), F.coalesce("u", F.lit(-1)).alias("u"), F.coalesce("v", F.lit(-1)).alias("v"))
+    names = ["image_id", *kept, "time"]
+    kinds = ", ".join(f"`{c}` {p.schema[c].dataType.simpleString()}" for c in names)
+
+    def gather(part: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
+        rgb = np.zeros(len(part), np.int64)
+        if len(part) and len(frame):
+            f = frame.iloc[0]
+            image = decode_image(bytes(f["data"]), int(f["height"]), int(f["width"]), f["encoding"])
+            u, v = part["u"].to_numpy(), part["v"].to_numpy()
+            ok = (u >= 0) & (v >= 0) & (u < image.shape[1]) & (v < image.shape[0])
+            b, g, r = image[v[ok], u[ok]].astype(np.int64).T
+            rgb[ok] = (255 << 24) | (r << 16) | (g << 8) | b
+        return part[names].assign(rgb=rgb)
+
+    return p.groupBy("image_id").cogroup(images.groupBy("image_id")).applyInPandas(gather, f"{kinds}, rgb long")
 
 
 def rolling_overlay(points: DataFrame, cal: Calibration, scans: int = 25, by: str = "scan_id") -> DataFrame:
@@ -58,7 +94,7 @@ def rolling_overlay(points: DataFrame, cal: Calibration, scans: int = 25, by: st
     and farthest of them in front: frame, u, v, b, g, red.
 
     The window runs over scans, not points; points are joined to the frames that hold their scan."""
-    ids = points.select(by).distinct().withColumn("n", F.row_number().over(Window.orderBy(by)))
+    ids = numbered(points.select(by).distinct(), by, "n")
     last = ids.agg(F.max("n").alias("last"))
     frames = ids.crossJoin(F.broadcast(last)).withColumn("m", F.explode(F.sequence("n", F.least(F.col("n") + scans - 1, F.col("last"))))).select(by, "m")
     frames = frames.join(ids.select(F.col(by).alias("frame"), F.col("n").alias("m")), "m").select(by, "frame")
@@ -66,26 +102,21 @@ def rolling_overlay(points: DataFrame, cal: Calibration, scans: int = 25, by: st
     front = points.withColumn("_p", geo.pixel(cal, q)).filter("_p IS NOT NULL")
     front = front.select(by, F.rint("_p.u").try_cast("int").alias("u"), F.rint("_p.v").try_cast("int").alias("v"), F.col("_p.z").alias("d"))
     ranges = front.groupBy(by).agg(F.min("d").alias("lo"), F.max("d").alias("hi")).join(frames, by).groupBy("frame").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    # A pixel's dots are counted per frame by depth before colours are made.
     dots = front.filter(geo.in_frame(cal, F.col("u"), F.col("v"))).join(frames, by).join(ranges, "frame")
     b, g, r = geo.depth_colour(F.col("d"), F.col("lo"), F.col("hi"))
     return dots.select("frame", "u", "v", b.alias("b"), g.alias("g"), r.alias("red"))
 
 
 def nearest_distance(queries: DataFrame, points: DataFrame, cell: float) -> DataFrame:
-    """(id, distance) to the nearest point within the 27 cells around; null where there is none. Exact for distances up to `cell`."""
-    grid = points.select(*[F.floor(F.col(a) / cell).alias(f"c{a}") for a in "xyz"], *[F.col(a).alias(f"{a}2") for a in "xyz"])
-    around = queries.select("id", "x", "y", "z", *[F.floor(F.col(a) / cell).alias(f"c{a}") for a in "xyz"])
-    for a in "xyz":
-        around = around.withColumn("o", F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)]))).withColumn(f"c{a}", F.col(f"c{a}") + F.col("o")).drop("o")
-    d = geo.norm(geo.sub(geo.cols("x", "y", "z"), geo.cols("x2", "y2", "z2")))
-    found = around.join(grid, ["cx", "cy", "cz"]).groupBy("id").agg(F.min(d).alias("distance"))
-    return queries.select("id").join(found, "id", "left")
+    """(id, distance) to the nearest point, however far; null if there are no points. Cells should hold tens of points."""
+    found = nearest_k(queries, points, cell, 1, False)
+    return found.select("id", F.get("distances", F.lit(0)).alias("distance"))
 
 
 def distance_quantiles(distances: DataFrame) -> DataFrame:
     d = F.col("distance")
-    return distances.agg(F.median(d).alias("median"), F.percentile(d, F.lit(0.95)).alias("p95"), F.max(d).alias("max"))
+    q = quantiles(distances, {"median": (d, 0.5), "p95": (d, 0.95), "max": (d, 1.0)})
+    return distances.limit(0).agg(F.count("*").alias("_n")).join(F.broadcast(q), F.lit(True), "left").drop("_n")
 
 
 def yaw_spread(poses: DataFrame, quat: str = "quat") -> DataFrame:
@@ -98,5 +129,5 @@ def yaw_spread(poses: DataFrame, quat: str = "quat") -> DataFrame:
 
 def quantile_trim(df: DataFrame, value: str, q: float = 0.05) -> DataFrame:
     """Rows whose value isn't below the exact quantile."""
-    limit = df.agg(F.percentile(value, F.lit(q)).alias("_q"))
+    limit = quantiles(df, {"_q": (F.col(value), q)})
     return df.crossJoin(F.broadcast(limit)).filter(F.col(value) >= F.col("_q")).drop("_q")

@@ -1,18 +1,20 @@
-"""Health of timestamped streams: gaps between messages, rates, liveness. Streams are partitions; a stream's order is
-explicit."""
+"""Health of timestamped streams: gaps between messages, rates, liveness. A stream's order is
+explicit; a long stream is many tasks (ordered.py)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scanloom.operators.ordered import beside, numbered, quantiles
+
 
 def with_intervals(df: DataFrame, by: Sequence[str], order: str, us: str, out: str = "dt_ms") -> DataFrame:
     """First difference of `us` in milliseconds, in order of `order`; null for a stream's first row."""
-    w = Window.partitionBy(*by).orderBy(order)
-    return df.withColumn(out, (F.col(us) - F.lag(us).over(w)) / 1000.0)
+    near = beside(df, order, {"_before": us}, by)
+    return near.withColumn(out, (F.col(us) - F.col("_before")) / 1000.0).drop("_before")
 
 
 def interval_stats(df: DataFrame, by: Sequence[str], order: str, us: str, limits_ms: dict[str, float]) -> DataFrame:
@@ -38,14 +40,18 @@ def normal_and_gaps(df: DataFrame, by: Sequence[str], order: str, us: str, gap_m
 def rate_and_dropout(df: DataFrame, by: Sequence[str], order: str, us: str, gap_ms: float) -> DataFrame:
     """Median interval and its rate, extremes, and the share of intervals above `gap_ms`."""
     d = F.col("dt_ms")
-    out = with_intervals(df, by, order, us).filter(d.isNotNull()).groupBy(*by).agg(F.count("*").alias("n"), F.median(d).alias("median_ms"), F.min(d).alias("min_ms"), F.max(d).alias("max_ms"), F.count_if(d > gap_ms).alias("n_gaps"))
+    steps = with_intervals(df, by, order, us).filter(d.isNotNull())
+    out = steps.groupBy(*by).agg(
+        F.count("*").alias("n"), F.min(d).alias("min_ms"), F.max(d).alias("max_ms"), F.count_if(d > gap_ms).alias("n_gaps")
+    )
+    out = out.join(quantiles(steps, {"median_ms": (d, 0.5)}, by), list(by))
     return out.withColumn("rate_hz", F.try_divide(F.lit(1000.0), "median_ms")).withColumn("gap_percent", 100.0 * F.col("n_gaps") / F.col("n"))
 
 
 def first_intervals(df: DataFrame, by: Sequence[str], order: str, us: str, n: int = 15) -> DataFrame:
     """The first n intervals of each stream."""
-    w = Window.partitionBy(*by).orderBy(order)
-    return with_intervals(df, by, order, us).withColumn("place", F.row_number().over(w) - 1).filter((F.col("place") >= 1) & (F.col("place") <= n)).select(*by, "place", "dt_ms")
+    steps = numbered(with_intervals(df, by, order, us), order, "place", by)
+    return steps.filter((F.col("place") >= 1) & (F.col("place") <= n)).select(*by, "place", "dt_ms")
 
 
 def gates(df: DataFrame, stream: str, us: str, wanted: Sequence[str], window_us: int) -> DataFrame:

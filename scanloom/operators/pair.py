@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from scanloom.operators.ordered import numbered
+
 
 def pair_nearest(left: DataFrame, right: DataFrame, slop_us: int, left_id: str = "seq", right_id: str = "seq", us: str = "us") -> DataFrame:
     """(left_id, right_id, left_us, right_us, dt_us): pairs at most `slop_us` apart that are each other's nearest; ties go to
@@ -27,8 +29,7 @@ def pair_exact(left: DataFrame, right: DataFrame, us: str = "us", id_col: str =
 
 def zip_by_order(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:
     """Row i of one with row i of the other, as far as the shorter goes."""
-    number = lambda df, order: df.withColumn("idx", F.row_number().over(Window.orderBy(order)) - 1)
-    return number(left, left_order).join(number(right, right_order), "idx")
+    return numbered(left, left_order).join(numbered(right, right_order), "idx")
 
 
 def count_check(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scanloom.operators.ordered import beside
+
 
 def segments(camera: DataFrame, t: str = "t", x: str = "x") -> DataFrame:
     """(t0, x0, t1, x1): neighbouring samples of the curve, by time; the last one ends where it begins."""
-    w = Window.orderBy(t)
-    return camera.select(F.col(t).alias("t0"), F.col(x).alias("x0"), F.coalesce(F.lead(t).over(w), F.col(t)).alias("t1"), F.coalesce(F.lead(x).over(w), F.col(x)).alias("x1"))
+    near = beside(camera.select(F.col(t).alias("t0"), F.col(x).alias("x0")), "t0", {"t1": "t0", "x1": "x0"}, after=True)
+    return near.select("t0", "x0", F.coalesce("t1", "t0").alias("t1"), F.coalesce("x1", "x0").alias("x1"))
 
 
 def errors_by_shift(camera: DataFrame, lidar: DataFrame, low: float = -0.3, step: float = 0.001, count: int = 601, least: int = 10) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from scanloom.functions import calibration as C
 from scanloom.functions import geo
-from scanloom.operators import asof, cloud, imu, interval, pair, scan, tau, texture
+from scanloom.operators import asof, cloud, curves, imu, interval, pair, scan, tau, texture
 from scanloom.sources import proxy, proxy_mesh
 from scanloom.sources.proxy import prelude
 
@@ -384,18 +384,28 @@ def krn1_board_plane(spark, sf):
     return scan.board_plane(proxy.points(spark, sf), FLAT, scan.BANDS["near"], 0.02, 1.2, 0.08)
 
 
-def curve_rows(spark, sf):
-    """Tagged rows of camera, LiDAR and inertial curves, formatted as in the CSV sink."""
-    lid = scan.core_centroid(proxy.points(spark, sf), FLAT)
-    cam = proxy.camera_curve(spark, sf).select(F.lit("CAM").alias("kind"), F.format_string("%.6f", "t").alias("stamp"), F.format_string("%.3f", "x").alias("a"), F.lit("0").alias("b"))
-    lid = lid.select(F.lit("LID").alias("kind"), F.format_string("%.6f", F.col("scan_id") * 0.1 + F.col("mean_time")).alias("stamp"), F.format_string("%.3f", F.round("board_x", 6)).alias("a"), F.format_string("%.6f", F.col("scan_id") * 0.1).alias("b"))
-    return cam.unionByName(lid)
+def curve_parts(spark, sf):
+    """Camera, LiDAR and inertial curves of the test tables."""
+    lid = scan.core_centroid(proxy.points(spark, sf), FLAT).select((F.col("scan_id") * 0.1).alias("t"), F.round("board_x", 6).alias("x"), "depth", "mean_time")
+    w = proxy.imu(spark, sf).select((F.col("us") / 1e6).alias("t"), *[F.round(F.col("gyro")[i], 5).alias(f"w{a}") for i, a in enumerate("xyz")])
+    return proxy.camera_curve(spark, sf), lid, w
 
 
-@query("q2_dump_curves", prelude("points", "camera") + f""", {CORE} SELECT 'CAM' AS kind, printf('%.6f', t) AS stamp, printf('%.3f', x) AS a, '0' AS b FROM camera
-UNION ALL SELECT 'LID', printf('%.6f', scan_id * 0.1::DOUBLE + mean_time), printf('%.3f', round(board_x, 6)), printf('%.6f', scan_id * 0.1::DOUBLE) FROM board""")
+IMU_ROWS = ", ".join(f"printf('%.5f', round(gyro[{i}], 5)) AS w{a}" for i, a in enumerate("xyz", 1))
+
+
+@query("q2_dump_curves", prelude("points", "camera", "imu") + f""", {CORE} SELECT 'CAM' AS kind, printf('%.6f', t) AS stamp, printf('%.3f', x) AS a, '0' AS b FROM camera
+UNION ALL SELECT 'LID', printf('%.6f', round(scan_id * 0.1::DOUBLE + mean_time, 9)), printf('%.3f', round(board_x, 6)), printf('%.6f', scan_id * 0.1::DOUBLE) FROM board
+UNION ALL SELECT 'IMU', stamp, wx, wy FROM (SELECT printf('%.6f', us / 1e6) AS stamp, {IMU_ROWS} FROM imu)""")
 def q2_dump_curves(spark, sf):
-    return curve_rows(spark, sf)
+    return curves.tagged_curves(*curve_parts(spark, sf))
+
+
+@query("q2_dump_curves_v3", prelude("points", "camera", "imu") + f""", {CORE} SELECT 'CAM' AS kind, printf('%.6f', t) AS stamp, printf('%.3f', x) AS a, '0' AS b, '0' AS c FROM camera
+UNION ALL SELECT 'LID', printf('%.6f', scan_id * 0.1::DOUBLE), printf('%.3f', round(board_x, 6)), printf('%.3f', depth), '0' FROM board
+UNION ALL SELECT 'IMU', stamp, wx, wy, wz FROM (SELECT printf('%.6f', us / 1e6) AS stamp, {IMU_ROWS} FROM imu)""")
+def q2_dump_curves_v3(spark, sf):
+    return curves.tagged_curves(*curve_parts(spark, sf), layout=3)
 
 
 # Clouds
@@ -475,7 +485,15 @@ def geo3_projection(spark, sf):
 
 
 
-@query("geo20_static_transform")
+SX, SY, SZ, SW = (c / sum(x * x for x in C.STATIC_QUAT) ** 0.5 for c in C.STATIC_QUAT)
+STATIC = (
+    (1 - 2 * (SY * SY + SZ * SZ), 2 * (SX * SY - SZ * SW), 2 * (SX * SZ + SY * SW)),
+    (2 * (SX * SY + SZ * SW), 1 - 2 * (SX * SX + SZ * SZ), 2 * (SY * SZ - SX * SW)),
+    (2 * (SX * SZ - SY * SW), 2 * (SY * SZ + SX * SW), 1 - 2 * (SX * SX + SY * SY)),
+)
+
+
+@query("geo20_static_transform", prelude("points") + " SELECT scan_id, " + ", ".join(f"round(sum({e}), 4) AS s{a}" for e, a in zip(transform_sql(STATIC, C.STATIC_SHIFT), "xyz")) + " FROM points GROUP BY scan_id")
 def geo20_static_transform(spark, sf):
     m = geo.quat_matrix(geo.quat_unit(geo.lit3(C.STATIC_QUAT)))
     q = geo.transform(m, C.STATIC_SHIFT, geo.cols("x", "y", "z"))
@@ -504,15 +522,7 @@ SELECT image_id, count(*) AS n, sum(rgb)::BIGINT AS total FROM (SELECT image_id,
 )
 def q6_colourise(spark, sf):
     out = cloud.colourise(proxy.points(spark, sf).withColumnRenamed("scan_id", "image_id"), frame_pixels(spark, sf), CAL, keep_all=True)
-    inside = cloud.colourise(proxy.points(spark, sf).withColumnRenamed("scan_id", "image_id").withColumn("one", F.lit(1)), all_pixels(spark, sf), CAL)
-    return inside.groupBy("image_id").agg(F.count("*").alias("n")).join(out.groupBy("image_id").agg(F.sum("rgb").alias("total")), "image_id")
-
-
-def all_pixels(spark, sf):
-    """A grey image for each scan where points fall, so that the inner join keeps all that are in frame."""
-    q = geo.transform(R, T, geo.cols("x", "y", "z"))
-    p = proxy.points(spark, sf).select(F.col("scan_id").alias("image_id"), geo.pixel(CAL, q).alias("p"))
-    return p.select("image_id", F.rint("p.u").try_cast("int").alias("u"), F.rint("p.v").try_cast("int").alias("v")).dropna().distinct().select("*", F.lit(9).alias("b"), F.lit(9).alias("g"), F.lit(9).alias("r"))
+    return out.filter("inside").groupBy("image_id").agg(F.count("*").alias("n"), F.sum("rgb").alias("total"))
 
 
 @query(

@@ -12,7 +12,7 @@ import re
 import sqlite3
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,14 +30,19 @@ class _Part(InputPartition):
     topic_id: int
     topic: str
     kind: str
+    low: int | None = None
+    high: int | None = None
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, topics: set[str] | None, must: str | None) -> None:
-        self.path, self.topics, self.must = path, topics, must
-        self.where: list[tuple[str, int]] = []
+    def __init__(self, path: str, topics: set[str] | None, must: str | None, splits: int = 1, only_topics: bool = False, pushdown: bool = False) -> None:
+        self.path, self.topics, self.must, self.splits, self.only_topics = path, topics, must, splits, only_topics
+        self.pushdown, self.where = pushdown, []  # where: (sign, record time)
 
     def pushFilters(self, filters):  # noqa: N802
+        if not self.pushdown:
+            yield from filters
+            return
         signs = {GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
         for f in filters:
             if isinstance(f, EqualTo | In) and f.attribute == ("topic",):
@@ -56,23 +61,43 @@ class _Reader(DataSourceReader):
                 for topic_id, name, kind in db.execute("SELECT id, name, type FROM topics ORDER BY id"):
                     seen.add(name)
                     if self.topics is None or name in self.topics:
-                        parts.append(_Part(file, topic_id, name, kind))
+                        parts += self.split(db, _Part(file, topic_id, name, kind))
         if self.must and self.must not in seen:
             raise ValueError(f"no topic {self.must}; there are: {', '.join(sorted(seen))}")
         return parts or [_Part("", 0, "", "")]
 
+    def split(self, db: sqlite3.Connection, part: _Part) -> list[InputPartition]:
+        """The topic in `splits` parts of equal time."""
+        if self.splits < 2 or self.only_topics:
+            return [part]
+        low, high = db.execute("SELECT min(timestamp), max(timestamp) FROM messages WHERE topic_id = ?", (part.topic_id,)).fetchone()
+        if low is None or low == high:
+            return [part]
+        cuts = sorted({low + (high - low) * i // self.splits for i in range(1, self.splits)} - {low})
+        return [replace(part, low=a, high=b) for a, b in zip([None, *cuts], [*cuts, None])]
+
     def read(self, part: _Part) -> Iterator[tuple]:
         if not part.file:
             return
-        more = "".join(f" AND timestamp {sign} ?" for sign, _ in self.where)
+        if self.only_topics:
+            yield part.file, part.topic, part.kind, None, part.topic_id, None
+            return
+        # A message's number is its place in the whole topic, whatever is filtered.
+        sql = """SELECT timestamp, seq, data FROM messages JOIN
+            (SELECT rowid AS r, row_number() OVER (ORDER BY timestamp, rowid) - 1 AS seq FROM messages WHERE topic_id = ?) n
+            ON messages.rowid = n.r WHERE true"""
+        where = [*self.where, *([(">=", part.low)] if part.low is not None else []), *([("<", part.high)] if part.high is not None else [])]
+        sql += "".join(f" AND timestamp {sign} ?" for sign, _ in where)
         with sqlite3.connect(f"file:{part.file}?mode=ro", uri=True) as db:
-            rows = db.execute(f"SELECT timestamp, data FROM messages WHERE topic_id = ?{more} ORDER BY timestamp", (part.topic_id, *[v for _, v in self.where]))
-            for seq, (ns, data) in enumerate(rows):
+            for ns, seq, data in db.execute(sql, (part.topic_id, *[v for _, v in where])):
                 yield part.file, part.topic, part.kind, ns, seq, bytearray(data)
 
 
 class BagDataSource(DataSource):
-    """spark.read.format("bag").load(path); options topics (comma-separated), must (a topic that has to exist)."""
+    """spark.read.format("bag").load(path); options topics (comma-separated), must (a topic that has to exist),
+    fromNs and toNs (record times, the latter exclusive), splits (parts by time that a topic is read in), onlyTopics (a row for each
+    topic, its id as seq, no messages). pushdown="true" takes topics and times from filters of the frame as well; as Spark 4.1
+    keeps one reader for a frame, such a frame must serve one query only."""
 
     @classmethod
     def name(cls) -> str:
@@ -83,7 +108,10 @@ class BagDataSource(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         topics = {x for x in self.options.get("topics", "").split(",") if x} or None
-        return _Reader(self.options["path"], topics, self.options.get("must"))
+        splits, only = int(self.options.get("splits", "1")), self.options.get("onlyTopics", "false").lower() == "true"
+        reader = _Reader(self.options["path"], topics, self.options.get("must"), splits, only, self.options.get("pushdown", "") == "true")
+        reader.where = [(sign, int(self.options[name])) for name, sign in (("fromNs", ">="), ("toNs", "<")) if name in self.options]
+        return reader
 
 
 def read_bag(spark: SparkSession, path: str, **options: str) -> DataFrame:
@@ -92,10 +120,10 @@ def read_bag(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.read.format("bag").options(**options).load(path)
 
 
-def imu_topic(bag: DataFrame) -> str | None:
-    """The last topic, by name, with imu in its name whatever the case."""
-    names = bag.filter(F.lower("topic").contains("imu")).agg(F.max("topic").alias("t")).collect()
-    return names[0]["t"]
+def imu_topic(spark: SparkSession, path: str) -> str | None:
+    """The last topic in the recording's own order with imu in its name whatever the case. Reads no messages."""
+    topics = read_bag(spark, path, onlyTopics="true").filter(F.lower("topic").contains("imu"))
+    return topics.agg(F.max_by("topic", F.struct("file", "seq")).alias("t")).collect()[0]["t"]
 
 
 def decode_imu_bytes(data: bytes) -> tuple | None:

@@ -29,6 +29,8 @@ def parse_pcd(content: bytes) -> np.ndarray:
     if head["DATA"][0] == "ascii":
         table = np.loadtxt(stream, ndmin=2)
         xyz = np.stack([table[:, fields.index(a)] for a in "xyz"], axis=1) if table.size else np.zeros((0, 3))
+    elif head["DATA"][0] != "binary":
+        raise ValueError(f"PCD data {head['DATA'][0]}")
     else:
         row = np.dtype([(f, _KINDS[k, int(s)]) for f, k, s in zip(fields, head["TYPE"], head["SIZE"])])
         table = np.frombuffer(stream.read(), row, count=int(head["POINTS"][0]))

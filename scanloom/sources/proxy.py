@@ -48,7 +48,7 @@ def imu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def camera_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """t, x: a camera's board positions, one for every tenth of a second"""
-    return table(spark, sf_dir, "events").filter("event_id < 60").select((F.col("event_id") * 0.1).cast("double").alias("t"), (F.col("value") * 4).cast("double").alias("x"))
+    return table(spark, sf_dir, "events").select((F.col("event_id") * 0.1).cast("double").alias("t"), (F.col("value") * 4).cast("double").alias("x"))
 
 
 SQL = {
@@ -59,7 +59,7 @@ SQL = {
        (l_extendedprice / 40000)::DOUBLE AS z, l_tax::DOUBLE AS "time" FROM lineitem)""",
     "imu": """imu AS (SELECT vec_id AS seq, vec_id * 4000 + (vec_id % 7) * 300 AS us, embedding[1:4]::DOUBLE[] AS quat, embedding[5:7]::DOUBLE[] AS gyro,
        [x * 40 FOR x IN embedding[8:10]::DOUBLE[]] AS accel FROM embeddings)""",
-    "camera": "camera AS (SELECT (event_id * 0.1)::DOUBLE AS t, (value * 4)::DOUBLE AS x FROM events WHERE event_id < 60)",
+    "camera": "camera AS (SELECT (event_id * 0.1)::DOUBLE AS t, (value * 4)::DOUBLE AS x FROM events)",
 }
 
 

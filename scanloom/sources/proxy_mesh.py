@@ -26,8 +26,8 @@ def faces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """idx, r, t: eight identity-rotation poses that move with the first embeddings"""
-    e = table(spark, sf_dir, "embeddings").filter("vec_id < 8")
+    """idx, r, t: identity-rotation poses that move with the embeddings"""
+    e = table(spark, sf_dir, "embeddings")
     one = F.array(*[F.lit(float(i % 4 == 0)) for i in range(9)])
     return e.select(F.col("vec_id").alias("idx"), one.alias("r"), F.transform(F.slice("embedding", 5, 3).cast("array<double>"), lambda x: x * 0.5).alias("t"))
 
@@ -36,5 +36,5 @@ SQL = {
     "vertices": f"vertices AS (SELECT vec_id AS vid, ((vec_id % {SIDE}) * 0.1 - 0.95)::DOUBLE AS x, ((vec_id // {SIDE}) * 0.1 - 1.2)::DOUBLE AS y, embedding[1]::DOUBLE * 0.2 + 3.0 AS z FROM embeddings)",
     "faces": f"""cells AS (SELECT vec_id AS v FROM embeddings WHERE vec_id % {SIDE} < {SIDE - 1} AND vec_id + {SIDE} IN (SELECT vec_id FROM embeddings)),
 faces AS (SELECT v * 2 AS fid, v AS i0, v + 1 AS i1, v + {SIDE} AS i2 FROM cells UNION ALL SELECT v * 2 + 1, v + 1, v + {SIDE} + 1, v + {SIDE} FROM cells)""",
-    "images": "images AS (SELECT vec_id AS idx, [x * 0.5 FOR x IN embedding[5:7]::DOUBLE[]] AS t FROM embeddings WHERE vec_id < 8)",
+    "images": "images AS (SELECT vec_id AS idx, [x * 0.5 FOR x IN embedding[5:7]::DOUBLE[]] AS t FROM embeddings)",
 }

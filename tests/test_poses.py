@@ -10,7 +10,7 @@ from scanloom.functions import geo
 from scanloom.functions.calibration import Calibration
 from scanloom.operators.asof import bracket, match_poses
 
-P0, V, AXIS, RATE = np.array([1, 2, -0.5]), np.array([0.4, -0.15, 0.05]), np.array([0.2, 0.3, 1.0]), 0.9
+P0, V, AXIS, RATE = np.array([-3, 0.25, 7]), np.array([-0.7, 0.55, 0.2]), np.array([1.0, -0.6, 0.4]), 0.35
 AXIS = AXIS / np.linalg.norm(AXIS)
 
 
@@ -20,7 +20,7 @@ def quat(t):
 
 @pytest.fixture(scope="module")
 def track(spark):
-    stamps = sorted(set((np.random.default_rng(42).uniform(0, 5, 300) * 1e9).astype(int).tolist()))
+    stamps = sorted(set((np.random.default_rng(917).uniform(0, 8, 410) * 1e9).astype(int).tolist()))
     rows = [(i, ns, quat(ns / 1e9), (P0 + V * ns / 1e9).tolist()) for i, ns in enumerate(stamps)]
     return stamps, spark.createDataFrame(rows, "seq long, ns long, quat array<double>, pos array<double>")
 
@@ -46,6 +46,13 @@ def test_exact_hit_span_and_gap(spark):
     assert got[3][:3] == ("gap", False, None)
 
 
+def test_queries_without_a_stamp_or_group_stay(spark):
+    odom = spark.createDataFrame([("a", 0, 0, [0.0, 0.0, 0.0, 1.0], [1.0, 0.0, 0.0]), (None, 1, 5, [0.0, 0.0, 0.0, 1.0], [2.0, 0.0, 0.0])], "run string, seq long, ns long, quat array<double>, pos array<double>")
+    shots = spark.createDataFrame([("a", 0, 0), ("a", 1, None), (None, 2, 5), ("b", 3, 5), (None, 4, None)], "run string, idx long, ns long")
+    got = {r["idx"]: (r["ok"], r["reason"], r["px"]) for r in match_poses(odom, shots, by=["run"]).collect()}
+    assert got == {0: (True, "exact", 1.0), 1: (False, "empty", None), 2: (True, "exact", 2.0), 3: (False, "empty", None), 4: (False, "empty", None)}
+
+
 def test_empty_odometry_and_duplicate_stamps(spark):
     schema = "seq long, ns long, quat array<double>, pos array<double>"
     shots = spark.createDataFrame([(0, 5)], "idx long, ns long")
@@ -63,7 +70,7 @@ def test_both_covers_of_a_rotation_give_one_midpoint(spark):
 
 def test_buckets_give_the_same_brackets(spark, track):
     _, odom = track
-    shots = spark.range(0, 5_200_000_000, 37_000_000).select(F.col("id").alias("idx"), F.col("id").alias("ns"))
+    shots = spark.range(0, 8_200_000_000, 37_000_000).select(F.col("id").alias("idx"), F.col("id").alias("ns"))
     of = lambda bucket: sorted((r["idx"], r["before"] and r["before"]["ns"], r["after"] and r["after"]["ns"]) for r in bracket(odom.select("ns", "seq"), shots, bucket=bucket).collect())
     assert of(10**12) == of(100_000_000) == of(7_000_000)
 

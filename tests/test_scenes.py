@@ -53,7 +53,9 @@ def test_plane_and_core_find_a_board(spark):
     assert [r["scan_id"] for r in got] == [1] and got[0]["n"] >= 200 and got[0]["depth"] == pytest.approx(0.8, abs=0.005)
     core = scan.core_centroid(points, FLAT, scan.BANDS["near"]).collect()
     assert [r["scan_id"] for r in core] == [1] and core[0]["depth"] == pytest.approx(0.8, abs=0.02)
-    assert scan.plane_inliers(np.zeros((5, 3)), 0.1) is None
+    assert scan.dominant_plane(points.filter("scan_id = 2"), 0.1).count() == 0  # one point spans no plane
+    whole, parts = (scan.dominant_plane(points, 0.02, chunk_rows=n).collect() for n in (10**6, 37))
+    assert whole == parts and abs(whole[0]["plane"][2]) > 0.99
 
 
 def test_time_offset_is_found(spark):

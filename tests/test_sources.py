@@ -1,3 +1,4 @@
+import io
 import sqlite3
 import struct
 
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scanloom.sources.bag import decode_imu, decode_imu_bytes, imu_topic, read_bag, read_calibration, stamp
-from scanloom.sources.clouds import decode_image, pixel_table, read_clouds
+from scanloom.sources.clouds import decode_image, parse_npy, parse_pcd, pixel_table, read_clouds
 from scanloom.sources.sinks import write_curves
 
 
@@ -33,10 +34,16 @@ def bag(tmp_path):
 
 def test_bag_topics_filters_and_order(spark, bag):
     df = read_bag(spark, bag)
-    assert df.count() == 12 and imu_topic(df) == "/x/IMU"
+    assert df.count() == 12 and imu_topic(spark, bag) == "/x/IMU"
     assert read_bag(spark, bag, topics="/cloud").count() == 1
-    got = df.filter((F.col("topic") == "/x/IMU") & (F.col("record_ns") > 995)).orderBy("seq").collect()
+    got = read_bag(spark, bag, pushdown="true").filter((F.col("topic") == "/x/IMU") & (F.col("record_ns") > 995)).orderBy("seq").collect()
     assert [r["record_ns"] for r in got] == [996, 997, 998, 999, 1000, 5000]
+    assert read_bag(spark, bag, topics="/x/IMU", fromNs="996", toNs="5001").count() == 6
+    both = df.filter("record_ns = 7").union(df.filter("record_ns = 991"))
+    assert sorted(r["record_ns"] for r in both.collect()) == [7, 991] and df.count() == 12  # one frame, several queries
+    assert [r["seq"] for r in got] == [5, 6, 7, 8, 9, 10]  # places in the whole topic
+    split = read_bag(spark, bag, splits="3")
+    assert split.rdd.getNumPartitions() > 2 and sorted(map(tuple, split.drop("data").collect())) == sorted(map(tuple, df.drop("data").collect()))
     with pytest.raises(Exception, match="/cloud"):
         read_bag(spark, bag, must="/nothing").count()
 
@@ -63,6 +70,12 @@ def test_clouds_and_images(spark, tmp_path):
     assert decode_image(bytes([1, 2, 3]), 1, 1, "rgb8").tolist() == [[[3, 2, 1]]]
     with pytest.raises(ValueError):
         decode_image(b"", 1, 1, "yuv")
+    with pytest.raises(ValueError, match="compressed"):
+        parse_pcd(head.encode() + b"DATA binary_compressed\n" + xyz.tobytes())
+    np.save(tmp_path / "c.npy", np.arange(6000.0).reshape(1500, 4))
+    assert read_clouds(spark, str(tmp_path / "c.npy")).count() == 1500
+    with pytest.raises(ValueError, match="needs 1000"):
+        parse_npy((lambda b: (np.save(b, np.zeros((3, 3))), b.getvalue())[1])(io.BytesIO()))
     df = spark.createDataFrame([(1, bytearray([1, 2, 3, 4]), 2, 2, "mono8")], "image_id long, data binary, height int, width int, encoding string")
     assert sorted(tuple(r) for r in pixel_table(df).collect())[1] == (1, 0, 1, 3, 3, 3)
 
