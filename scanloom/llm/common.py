@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scanloom.shared import fresh_path, materialise, shared_dir
+
+__all__ = ["BLANK", "WORD", "fresh_path", "materialise", "n_words", "shared_dir", "table", "text_of"]
+
 #: ASCII whitespace, as a Java character class body.
 BLANK = r"\x20\x09-\x0D"
 #: Words of the quality rules and of mixing: runs without ASCII whitespace.
@@ -17,32 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, fallback: str = "/tmp/spark-scanloom-shared") -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or for sessions without it
-    (tests, local mode) a local folder, which is then set as the checkpoint folder as well."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(fallback)
-    return fallback
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, for archives or tables that cut lineage."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write df as a table in the shared folder and read that. Lost executors cost nothing that
-    was written."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_of(col: str | Column) -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

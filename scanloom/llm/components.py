@@ -1,8 +1,8 @@
 """Connected components of a link table, by alternating large-star and small-star steps (Kiveris et al. 2014).
 
 Every step is an aggregation to each node's smallest neighbour and a join; nothing is collected, hubs are split by
-the adaptive skew join, and the state is a table in the shared folder after each round. Rounds end when a round changes
-nothing; their number grows with the logarithm of the longest path."""
+the adaptive skew join, and the state is a table in the shared folder after each round. Rounds end when every node
+has one link, to a node that has none itself; their number grows with the logarithm of the longest path."""
 
 from __future__ import annotations
 
@@ -20,19 +20,24 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         out = near.filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:
         # each node links itself and its smaller neighbours to the smallest of them
-        out = near.filter("b < a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionAll(lowest.select("a", F.col("low").alias("b")))
+        out = near.filter("b < a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        out = out.unionAll(lowest.select("a", F.col("low").alias("b")))
     return out.filter("a <> b").distinct()
 
 
+def _settled(state: DataFrame) -> bool:
+    """Whether each node has one link at most, to a root."""
+    ends = state.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    ends = ends.unionAll(state.select("b", F.lit(0), F.lit(1)))
+    told = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return told.filter("out > 1 OR (out = 1 AND into = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """links: (a, b). Returns (node, root) for every node with a link, root being the smallest node of its
     component."""
-    state = materialise(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "components")
-    before = None
-    while True:
-        now = state.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")).collect()[0]
-        if now == before or not now["n"]:
-            break
-        before = now
+    state = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
+    state = materialise(state, "components")
+    while not _settled(state):
         state = materialise(_star(_star(state, True), False), "components")
     return state.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(state.select("b", "b").distinct())

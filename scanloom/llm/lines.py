@@ -5,25 +5,27 @@ edits around it. Each distinct line therefore owns one key for each of its segme
 probes the keys that lines as long or up to `edits` shorter would own. Lines that meet are compared by banded
 bit-parallel edit distance; classes are the connected components of the links.
 
-Data flow: exact copies meet first, as (digest, keys, count) rows that are aggregated map-side; one join on the key
-follows. Blocks of more than 12 lines are not paired out. With one edit they are split again by the same rule on
-what the shared segment leaves of the lines, which halves it each round, until blocks are small or differ in one
-character only and are links throughout. With more edits, large blocks are compared with one of their lines, then all
-pairs that are still in different classes (blocks.py). Line texts travel once and for candidates only. Pairs, links and classes stay in tables in the
-shared folder.
-
-Every line whose class occurs more than once is reported, with its class and the class's number of copies. A class with a line of more
-than `long_words` words keeps only its first line, by (document id, place), from the second copy on; one of shorter lines does if it
-occurs more than `max_copies` times, as boilerplate. Two lines of at least 200 characters are the same up to two edits.
-Lines of fewer than `min_chars` characters stay.
-
-Cases: a null text is empty and has one empty line; a document that loses all lines with a word keeps its row, with what is left;
-rows that repeat an id share their fate; lines of a row without id count, and stay; an empty table gives an empty
-result; columns of the input are passed on as they are.
+Data flow: exact copies meet first, aggregated map-side to one row (digest, line, keys, copies) each, so that a line which
+a third of all documents share is one row from there on; one join on the key follows. With one edit, blocks of more than
+12 lines are split again by the same rule on what the shared segment leaves of the lines, which halves it each round,
+until blocks are small or differ in one character only and are links throughout. With more edits, all of a block are
+compared with one of its lines, then all pairs that are still in different classes (blocks.py). Pairs, links and classes
+stay in tables in the shared folder.
+
+Every line whose class occurs more than once is reported, with its class and the class's number of copies. A class with
+a line of more than `long_words` words keeps only its first line, by (document id, place), from the second copy on; one
+of shorter lines does if it occurs more than `max_copies` times, as boilerplate. Two lines of at least 200 characters are
+the same up to two edits. Lines of fewer than `min_chars` characters are the same if they are equal; they are reported,
+but stay, as short answers and closing brackets repeat without being copies. Lines without a word are no lines here.
+
+Cases: a null text is empty and has one empty line; a document that loses all lines with a word keeps its row, with what
+is left; very long lines are compared whole; rows that repeat an id share their fate; lines of a row without id count, and
+stay; an empty table gives an empty result; columns of the input are passed on as they are, whatever their names.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scanloom.llm import blocks
-from scanloom.llm.common import materialise, n_words, text_of
+from scanloom.llm.common import WORD, materialise, n_words, text_of
 from scanloom.llm.components import components
 from scanloom.llm.editdistance import distance_within
 
@@ -61,16 +63,25 @@ def segment_keys(line: Column, n: Column, edits: int, under: Column | None = Non
     return out
 
 
-def occurrences(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(id, pos, line, digest, n) of lines long enough to count."""
+def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, pos, line, digest, n) of lines with a word."""
     lines = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_of(text_col), "\n", -1)).alias("pos", "line"))
-    lines = lines.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars)
+    lines = lines.filter(F.col("line").rlike(WORD)).withColumn("n", F.length("line"))
     return lines.withColumn("digest", F.unhex(F.md5(F.col("line").cast("binary"))))
 
 
+def distinct_lines(lines: DataFrame) -> DataFrame:
+    """(digest, line, n, copies, words): words are counted where there may be more than LONG_WORDS."""
+    # n characters hold (n + 1) / 2 words at most
+    words = F.when(F.col("n") >= 2 * LONG_WORDS, n_words(F.col("line"))).otherwise(F.lit(0).cast("long"))
+    held = lines.groupBy("digest").agg(F.count("*").alias("copies"), F.any_value("line").alias("line"))
+    return held.withColumn("n", F.length("line")).withColumn("words", words)
+
+
 def compare(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     """Of pairs (a, b) of digests, those within `edits`."""
-    joined = pairs.join(texts.select(F.col("digest").alias("a"), F.col("line").alias("ta")), "a").join(texts.select(F.col("digest").alias("b"), F.col("line").alias("tb")), "b")
+    side = lambda c, out: texts.select(F.col("digest").alias(c), F.col("line").alias(out))
+    joined = pairs.join(side("a", "ta"), "a").join(side("b", "tb"), "b").select("a", "b", "ta", "tb")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,7 +89,7 @@ def compare(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
             keep = np.fromiter((distance_within(x, y, edits) >= 0 for x, y in both), bool, batch.num_rows)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return joined.select("a", "b", "ta", "tb").mapInArrow(check, "a binary, b binary")
+    return joined.mapInArrow(check, "a binary, b binary")
 
 
 def _halves(large: DataFrame) -> DataFrame:
@@ -104,34 +115,42 @@ def _halves(large: DataFrame) -> DataFrame:
     return large.select("node", F.explode(F.array(*made)).alias("x")).select("node", "x.*").filter("key IS NOT NULL")
 
 
-def line_links(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
-    """(a, b): digests of different lines within `edits`. distinct: (digest, n_lines, k0, k1, ..)."""
-    shape = segment_keys(F.lit(""), F.lit(0), edits)
-    keys = [F.struct(F.col(f"k{j}").alias("key"), F.lit(owns).alias("owns"), F.lit(j).alias("j")) for j, (_, owns, _, _) in enumerate(shape)]
-    rows = distinct.select(F.col("digest").alias("node"), F.explode(F.array(*keys)).alias("x")).select("node", "x.*").filter("key IS NOT NULL")
-    first = materialise(blocks.sized(rows), "line-blocks")
-    pairs = materialise(blocks.small_pairs(first), "line-pairs")
+def line_links(distinct: DataFrame, edits: int) -> DataFrame:
+    """(a, b): digests of different lines, with the classes that all links within `edits` give. distinct: (digest, line, n)."""
+    text, n = F.col("line"), F.col("n")
+    keys = [
+        F.struct(key.alias("key"), F.lit(owns).alias("owns"), F.lit(j).alias("j"))
+        for j, (key, owns, _, _) in enumerate(segment_keys(text, n, edits))
+    ]
+    rows = distinct.select(F.col("digest").alias("node"), F.explode(F.array(*keys)).alias("x"))
+    first = materialise(blocks.sized(rows.select("node", "x.*").filter("key IS NOT NULL")), "line-blocks")
+    needed = first.select(F.col("node").alias("digest")).distinct()
+    texts = materialise(distinct.select("digest", "line").join(needed, "digest", "left_semi"), "line-texts")
+    check = lambda p: compare(materialise(p, "line-pairs"), texts, edits)
+    if edits != 1:
+        held = materialise(blocks.with_middle(first.withColumn("part", F.lit(0))), "line-middles")
+        codes = F.encode("line", "UTF-32")
+        items = texts.select(F.col("digest").alias("node"), codes.alias("codes"))
+        items = items.withColumns({"band": F.lit(0).cast("long"), "sketch": F.lit(None).cast("array<long>")})
+        links = materialise(check(blocks.star_pairs(held)), "line-links")
+        roots = blocks.classes(held, items, links, lambda longer, shorter: 0 * longer + edits)
+        return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b")
+
+    found = [check(blocks.small_pairs(first))]
     large = first.filter(F.col("n") > blocks.SMALL)
-    needed = pairs.select(F.col("a").alias("digest")).unionAll(pairs.select("b")).unionAll(large.select("node")).distinct()
-    texts = materialise(lines.select("digest", "line").join(needed, "digest", "left_semi").groupBy("digest").agg(F.any_value("line").alias("line")), "line-texts")
-    check = lambda p: compare(p, texts, edits)
-    found = [check(pairs)]
     if not large.isEmpty():
-        if edits == 1:
-            text, n = F.col("line"), F.length("line")
-            spans = F.array(*[F.struct(at.alias("at"), size.alias("size")) for _, _, at, size in segment_keys(text, n, 1)])
-            at, size = F.get(spans, F.col("j"))["at"], F.get(spans, F.col("j"))["size"]
-            rest = F.when(F.col("j") % 2 == 0, F.substring(text, at + size + 1, n)).otherwise(F.substring(text, F.lit(1), at))
-            level = large.join(texts.withColumnRenamed("digest", "node"), "node").select("key", "node", rest.alias("rest"))
-            while not level.isEmpty():
-                now = materialise(blocks.sized(_halves(level)), "line-halves")
-                found.append(check(materialise(blocks.small_pairs(now), "line-pairs")))
-                ends = now.filter((F.col("n") > blocks.SMALL) & F.col("last"))
-                if not ends.isEmpty():
-                    found.append(blocks.star_links(ends, check))
-                level = now.filter((F.col("n") > blocks.SMALL) & ~F.col("last")).select("key", "node", "rest")
-        else:
-            found = [blocks.large_links(large.select("key", "node", "owns"), check, materialise(found[0], "line-links"))[0]]
+        n = F.length("line")
+        spans = F.array(*[F.struct(at.alias("at"), size.alias("size")) for _, _, at, size in segment_keys(text, n, 1)])
+        at, size = F.get(spans, F.col("j"))["at"], F.get(spans, F.col("j"))["size"]
+        rest = F.when(F.col("j") % 2 == 0, F.substring(text, at + size + 1, n)).otherwise(F.substring(text, F.lit(1), at))
+        level = large.join(texts.withColumnRenamed("digest", "node"), "node").select("key", "node", rest.alias("rest"))
+        while not level.isEmpty():
+            now = materialise(blocks.sized(_halves(level)), "line-halves")
+            found.append(check(blocks.small_pairs(now)))
+            ends = now.filter((F.col("n") > blocks.SMALL) & F.col("last"))
+            if not ends.isEmpty():
+                found.append(check(blocks.star_pairs(blocks.with_middle(ends))))
+            level = now.filter((F.col("n") > blocks.SMALL) & ~F.col("last")).select("key", "node", "rest")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -148,36 +167,34 @@ def repeated_lines(
     long_words: int = LONG_WORDS,
 ) -> DataFrame:
     """Per document id with a repeated line: id, n_linked (its lines within `edits` of a different line),
-    removed (places of the lines to remove, from 0, ascending) and repeated (place, class and number of copies of each line whose
-    class occurs more than once; a class is named by the md5 of one of its lines)."""
-    lines = occurrences(docs, id_col, text_col, min_chars)
-    # n characters hold (n + 1) / 2 words at most
-    n_long = F.when(F.col("n") >= 2 * long_words, n_words(F.col("line"))).otherwise(F.lit(0).cast("long"))
-
-    def distinct_of(rows: DataFrame, edits: int) -> DataFrame:
-        keys = {f"k{j}": key for j, (key, _, _, _) in enumerate(segment_keys(F.col("line"), F.col("n"), edits))}
-        keyed = rows.select("digest", n_long.alias("words"), *[key.alias(c) for c, key in keys.items()])
-        return materialise(keyed.groupBy("digest").agg(F.count("*").alias("copies"), F.min("words").alias("words"), *[F.min(c).alias(c) for c in keys]), "line-digests")
-
-    distinct = distinct_of(lines, edits)
-    links = line_links(lines, distinct, edits)
+    removed (places of the lines to remove, from 0, ascending) and repeated (place, class and number of copies of each line
+    whose class occurs more than once; a class is named by the md5 of one of its lines)."""
+    lines = occurrences(docs, id_col, text_col)
+    distinct = materialise(distinct_lines(lines), "line-digests")
+    links = line_links(distinct.filter(F.col("n") >= min_chars), edits)
     for least, more in LONGER:
         if more > edits:
-            long = lines.filter(F.col("n") >= max(least, min_chars))
-            links = links.unionByName(line_links(long, distinct_of(long, more), more))
-    roots = materialise(components(materialise(links.distinct(), "line-links")).withColumnRenamed("node", "digest"), "line-roots")
-
-    classes = distinct.select("digest", "copies", "words").join(roots, "digest", "left").select("digest", "copies", "words", F.coalesce("root", "digest").alias("class"), F.col("root").isNotNull().alias("linked"))
-    totals = classes.groupBy("class").agg(F.sum("copies").alias("total"), F.max("words").alias("longest")).filter("total > 1")
+            links = links.unionByName(line_links(distinct.filter(F.col("n") >= max(least, min_chars)), more))
+    roots = materialise(components(links).withColumnRenamed("node", "digest"), "line-roots")
+
+    classes = distinct.join(roots, "digest", "left").select(
+        "digest", "copies", "words", "n", F.coalesce("root", "digest").alias("class"), F.col("root").isNotNull().alias("linked")
+    )
+    totals = classes.groupBy("class").agg(F.sum("copies").alias("total"), F.max("words").alias("longest"))
+    totals = materialise(totals.filter("total > 1"), "line-totals")
     often = F.col("total") > F.when(F.col("longest") > long_words, 1).otherwise(max_copies)
-    marks = materialise(classes.join(totals, "class").select("digest", "class", "linked", "total", often.alias("often")), "line-marks")
-    marked = materialise(lines.select("id", "pos", "digest").join(marks, "digest"), "line-marked")
+    often &= F.col("n") >= min_chars
+    marks = classes.join(totals, "class").select("digest", "class", "linked", "total", often.alias("often"))
+    marked = lines.select("id", "pos", "digest").join(materialise(marks, "line-marks"), "digest")
+    marked = materialise(marked, "line-marked")
     first = marked.filter("often").groupBy("class").agg(F.min(F.struct("id", "pos")).alias("first"))
-    decided = marked.join(first, "class", "left").withColumn("gone", F.col("id").isNotNull() & F.col("first").isNotNull() & (F.struct("id", "pos") != F.col("first")))
+    decided = marked.join(materialise(first, "line-first"), "class", "left")
+    gone = F.col("often") & F.col("id").isNotNull() & F.col("first").isNotNull() & (F.struct("id", "pos") != F.col("first"))
+    place = F.struct("pos", F.lower(F.hex("class")).alias("class"), F.col("total").alias("copies"))
     return decided.groupBy("id").agg(
         F.count_if("linked").alias("n_linked"),
-        F.array_sort(F.array_distinct(F.collect_list(F.when(F.col("gone"), F.col("pos"))))).alias("removed"),
-        F.array_sort(F.array_distinct(F.collect_list(F.struct("pos", F.lower(F.hex("class")).alias("class"), F.col("total").alias("copies"))))).alias("repeated"),
+        F.array_sort(F.array_distinct(F.collect_list(F.when(gone, F.col("pos"))))).alias("removed"),
+        F.array_sort(F.array_distinct(F.collect_list(place))).alias("repeated"),
     ).withColumnRenamed("id", id_col)
 
 
@@ -185,7 +202,10 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per document: id, n_lines, n_linked, n_removed, removed, repeated."""
     found = repeated_lines(docs, id_col, text_col, **options)
     return (
-        docs.select(F.col(id_col).alias("__line_doc"), F.size(F.split(text_of(text_col), "\n", -1)).cast("long").alias("n_lines"))
+        docs.select(
+            F.col(id_col).alias("__line_doc"),
+            F.size(F.split(text_of(text_col), "\n", -1)).cast("long").alias("n_lines"),
+        )
         .join(found, F.col("__line_doc").eqNullSafe(F.col(id_col)), "left")
         .select(
             F.col("__line_doc").alias(id_col), "n_lines",
@@ -199,7 +219,9 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input with repeated lines removed from the text; documents without any to remove are unchanged."""
-    found = materialise(repeated_lines(docs, id_col, text_col, **options).filter(F.size("removed") > 0).select(F.col(id_col).alias("__line_doc"), F.col("removed").alias("__line_removed")), "line-removed")
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col("__line_removed"), i)), "\n")
-    joined = docs.join(found, F.col(id_col) == F.col("__line_doc"), "left")
-    return joined.withColumn(text_col, F.when(F.col("__line_removed").isNotNull(), kept).otherwise(F.col(text_col))).drop("__line_doc", "__line_removed")
+    found = repeated_lines(docs, id_col, text_col, **options).filter(F.size("removed") > 0)
+    of, gone = f"of_{uuid.uuid4().hex}", f"gone_{uuid.uuid4().hex}"  # names that no input has
+    found = materialise(found.select(F.col(id_col).alias(of), F.col("removed").alias(gone)), "line-removed")
+    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(gone), i))
+    text = F.when(F.col(gone).isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_col))
+    return docs.join(found, F.col(id_col) == F.col(of), "left").withColumn(text_col, text).drop(of, gone)

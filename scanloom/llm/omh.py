@@ -1,26 +1,27 @@
 """Near-duplicate documents by Order MinHash (Marçais et al. 2019), verified by banded alignment.
 
-A text's k-mers are its runs of five words without regard to case, each labelled with its occurrence number. A sample ranks them by a
-seeded hash, takes the two lowest and keeps those in text order; two texts agree in a sample if both k-mers and
-their order agree, so that moved passages count as differences, as they do for the edit distance. Texts that agree
-in a sample are candidates. A candidate pair is a link if its word-level edit similarity, 1 - distance / words of
-the longer, is at least 0.8, by a banded bit-parallel alignment of the whole texts. Classes are the connected
-components of the links.
-
-Data flow: exact copies meet by digest in one aggregation; all that follows works on distinct texts, so a text
-that a third of all rows share is one node. Samples are (hash, digest) rows. In blocks of more than 12 texts,
-all are compared with one of them; then all pairs that are still in different classes are, if their numbers of words and the
-words that they have in common allow a link, which tiles of the block find without a row for each pair (blocks.py). So a pair that agrees
-in one sample ends in one class if it is similar, however large the block is. Texts travel once, for candidates only, to be aligned. Pairs, links and
-classes stay in tables in the shared folder.
-
-With 20 samples, a pair with Jaccard similarity J of its k-mers is a candidate with a probability of about
-1 - (1 - J^2)^20: over 0.999 at J = 0.6. Pairs that differ in 14 % of their words have a lower J; some agree in no sample and are
-missed.
+A text's k-mers are its runs of five words without regard to case, each labelled with its occurrence number. A sample
+ranks them by a seeded hash, takes the two lowest and keeps those in text order; two texts agree in a sample if both
+k-mers and their order agree, so that moved passages count as differences, as they do for the edit distance. Texts that
+agree in a sample are candidates. A candidate pair is a link if its word-level edit similarity, 1 - distance / words of
+the longer, is at least 0.8, by a banded bit-parallel alignment of the whole texts. Classes are the connected components
+of the links.
+
+Data flow: one pass in Python gives each row's digest, sketch and word codes (32-bit hashes in text order); all that
+follows works on distinct texts, so a text that a third of all rows share is one node. Samples are (hash, digest) rows.
+Texts of a block are compared with one of them; then all pairs that are still in different classes are, in cells of bounded
+size, with a bound on the words in common before the alignment (blocks.py). No block is passed over, and all blocks go the
+same way: a pair that agrees in one sample ends in one class if it is similar, however large the block is. Pairs, links
+and classes stay in tables in the shared folder.
+
+With 60 samples, a pair with Jaccard similarity J of its k-mers is a candidate with a probability of about
+1 - (1 - J^2)^60. Edits that are spread evenly over the text are the worst case: at an edit similarity of 0.80 that is
+0.9, at 0.85 0.99. tests/llm/test_groups.py measures it against brute force.
 
 Cases: a null text is empty; texts that are equal, empty ones included, share a class; texts of fewer than five
-words have one k-mer of all their words; rows with a null id count, and a class is named by its smallest id
-(null if it has none); repeated rows stay; an empty table gives an empty result.
+words have one k-mer of all their words; very long texts are aligned whole, in a band as wide as the similarity asks; rows
+with a null id count, and a class is named by its smallest id (null if it has none); repeated rows stay; an empty table
+gives an empty result; columns beside id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,16 +36,14 @@ from pyspark.sql import functions as F
 
 from scanloom.llm import blocks
 from scanloom.llm.common import materialise, text_of
-from scanloom.llm.components import components
-from scanloom.llm.editdistance import distance_within
 from scanloom.llm.tokens import Words, mix, steps, words
 
 K = 5
-SAMPLES = 20
+SAMPLES = 60
 SIMILARITY = 0.8
-#: Buckets of the word counts that rule pairs out before they are aligned.
-BUCKETS = 1024
-_ODD = np.random.default_rng(7).integers(0, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
+#: K-mers whose arrays stay in a core's cache.
+PIECE = 1 << 15
+_ODD = np.random.default_rng(7).integers(0, 1 << 63, 64 + SAMPLES, dtype=np.uint64) | np.uint64(1)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -75,137 +74,103 @@ def kmers(w: Words, k: int = K) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(w: Words, samples: int = SAMPLES) -> np.ndarray:
-    """(texts, samples) of 64-bit values; texts without words get zeros."""
+    """(texts, samples) of 64-bit values; texts without words get zeros. A k-mer's rank is the upper bits of a product with
+    an odd number, which leaves the lower ones for its place."""
     h, bounds = kmers(w)
-    n = np.diff(bounds)
-    out = np.zeros((len(n), samples), np.int64)
-    full = np.flatnonzero(n)
-    if not len(full):
-        return out
-    starts, sizes = bounds[:-1][full], n[full]
-    row = np.repeat(np.arange(len(full)), sizes)
-    for s in range(samples):
-        v = h * _ODD[s]
-        v ^= v >> np.uint64(29)
-        low = np.minimum.reduceat(v, starts)
-        at = np.flatnonzero(v == low[row])
-        at = at[np.unique(row[at], return_index=True)[1]] if len(at) > len(full) else at
-        v[at] = _NONE
-        low2 = np.minimum.reduceat(v, starts)
-        at2 = np.flatnonzero(v == low2[row])
-        at2 = at2[np.unique(row[at2], return_index=True)[1]] if len(at2) > len(full) else at2
-        a, b = np.minimum(at, at2), np.maximum(at, at2)
-        out[full, s] = mix(h[a] * _ODD[60] + mix(h[b], 5)).view(np.int64)
+    full = np.flatnonzero(np.diff(bounds))
+    out = np.zeros((len(w), samples), np.int64)
+    starts, at = bounds[:-1][full], 0
+    while at < len(full):
+        to = max(at + 1, int(np.searchsorted(starts, starts[at] + PIECE)))
+        texts, lo = full[at:to], starts[at]
+        x = h[lo : bounds[texts[-1] + 1]]
+        place, first = np.arange(len(x), dtype=np.uint64), starts[at:to] - lo
+        low = np.uint64((1 << len(x).bit_length()) - 1)
+        for s in range(samples):
+            rank = x * _ODD[64 + s % SAMPLES]
+            if s >= SAMPLES:
+                rank = mix(rank, s)
+            rank = (rank & ~low) | place
+            one = (np.minimum.reduceat(rank, first) & low).astype(np.int64)
+            rank[one] = _NONE
+            two = np.minimum.reduceat(rank, first)
+            two = np.where(two == _NONE, one, (two & low).astype(np.int64))
+            out[texts, s] = mix(x[np.minimum(one, two)] * _ODD[60] + mix(x[np.maximum(one, two)], 5)).view(np.int64)
+        at = to
     return out
 
 
+def most_edits(similarity: float) -> blocks.Most:
+    return lambda longer, shorter: np.floor((1 - similarity) * longer + 1e-9)
+
+
 def sketch_table(docs: DataFrame, id_col: str, text_col: str, samples: int) -> DataFrame:
-    """(id, digest, words, sketch) per row."""
-    rows = docs.select(F.col(id_col).alias("id"), digest_of(text_of(text_col)).alias("digest"), F.lower(text_of(text_col)).alias("text"))
+    """(id, digest, words, sketch, codes) per row."""
+    text = text_of(text_col)
+    rows = docs.select(F.col(id_col).alias("id"), digest_of(text).alias("digest"), F.lower(text).alias("text"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in steps(batch.column("text")):
-                w = words(texts)
-                flat = sketches(w, samples).reshape(-1)
-                yield pa.record_batch(
-                    [batch.column("id").slice(at, len(texts)), batch.column("digest").slice(at, len(texts)), pa.array(np.diff(w.bounds)), pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * samples, pa.int32()), pa.array(flat))],
-                    names=["id", "digest", "words", "sketch"],
-                )
+                w, n = words(texts), len(texts)
+                flat = pa.array(sketches(w, samples).reshape(-1))
+                codes = w.hashes.astype(np.uint32)
+                columns = {
+                    "id": batch.column("id").slice(at, n),
+                    "digest": batch.column("digest").slice(at, n),
+                    "words": pa.array(np.diff(w.bounds), pa.int64()),
+                    "sketch": pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * samples, pa.int32()), flat),
+                    "codes": pa.array([codes[i:j].tobytes() for i, j in zip(w.bounds, w.bounds[1:])], pa.binary()),
+                }
+                yield pa.record_batch(list(columns.values()), names=list(columns))
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sketch, f"id {kind}, digest binary, words long, sketch array<long>")
+    return rows.mapInArrow(sketch, f"id {kind}, digest binary, words long, sketch array<long>, codes binary")
 
 
 def digest_of(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def align(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Of pairs (a, b), those whose texts are similar enough. texts: (digest, text), digests unique."""
-    joined = pairs.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("digest").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for at, left in steps(batch.column("ta"), 4 << 20):
-                x, y = words(left), words(batch.column("tb").slice(at, len(left)))
-                for i in range(len(left)):
-                    keep[at + i] = alike(x.hashes[x.bounds[i] : x.bounds[i + 1]], y.hashes[y.bounds[i] : y.bounds[i + 1]], similarity)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return joined.mapInArrow(check, "a binary, b binary")
-
-
-def bags(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """(node, words, band, bag): counts of words by hash, up to 255. Texts that are similar enough have word counts in the same or in
-    neighbouring bands."""
-    rows = texts.withColumnRenamed("digest", "node").join(nodes, "node", "left_semi").select("node", "text")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, left in steps(batch.column("text")):
-                w = words(left)
-                n = np.diff(w.bounds)
-                held = np.bincount(np.repeat(np.arange(len(n)), n) * BUCKETS + (mix(w.hashes, 9) % np.uint64(BUCKETS)).astype(np.int64), minlength=len(n) * BUCKETS)
-                flat = np.minimum(held, 255).astype(np.uint8).reshape(len(n), BUCKETS)
-                yield pa.record_batch([batch.column("node").slice(at, len(left)), pa.array(n, pa.int64()), pa.array([x.tobytes() for x in flat], pa.binary())], names=["node", "words", "bag"])
-
-    return rows.mapInArrow(count, "node binary, words long, bag binary").withColumn("band", F.floor(F.log("words") / -math.log(min(similarity, 0.999))))
-
-
-def alike(x: np.ndarray, y: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    """Whether the word-level edit similarity reaches `similarity`."""
-    longer = max(len(x), len(y))
-    most = int((1 - similarity) * longer + 1e-9)
-    if abs(len(x) - len(y)) > most:
-        return False
-    # Words of one side without a partner on the other are a lower bound on the distance.
-    both = np.sort(np.concatenate((x, y)))
-    pos, neg = np.unique(x, return_counts=True), np.unique(y, return_counts=True)
-    common = np.intersect1d(pos[0], neg[0], assume_unique=True, return_indices=True)
-    shared = int(np.minimum(pos[1][common[1]], neg[1][common[2]]).sum()) if len(both) else 0
-    if longer - shared > most:
-        return False
-    a, b = x.tolist(), y.tolist()
-    narrow = min(most, 48)
-    return distance_within(a, b, narrow) >= 0 or (most > narrow and distance_within(a, b, most) >= 0)
-
-
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     similarity: float = SIMILARITY,
     samples: int = SAMPLES,
+    **cells: int,
 ) -> DataFrame:
-    """Per row: id, class_id (smallest id of its class) and digest of the text (md5)."""
+    """Per row: id, class_id (smallest id of its class) and digest of the text (md5). cells: sizes, as blocks.classes has
+    them; they change the cost only."""
     rows = materialise(sketch_table(docs, id_col, text_col, samples), "omh-sketches")
-    nodes = rows.groupBy("digest").agg(F.min("words").alias("words"), F.any_value("sketch").alias("sketch"))
-    samples_of = nodes.filter("words > 0").select("digest", F.posexplode("sketch").alias("s", "v"))
-    first = blocks.sized(samples_of.select(F.xxhash64("s", "v").alias("key"), F.col("digest").alias("node"), F.lit(True).alias("owns"), "s", "v"))
-    first = materialise(first, "omh-blocks")
-    pairs = blocks.small_pairs(first)
-    large = first.filter(F.col("n") > blocks.SMALL)
-
-    pairs = materialise(pairs, "omh-pairs")
-    needed = pairs.select(F.col("a").alias("digest")).unionAll(pairs.select("b")).unionAll(large.select("node"))
-    texts = docs.select(digest_of(text_of(text_col)).alias("digest"), F.lower(text_of(text_col)).alias("text"))
-    texts = texts.join(needed.distinct(), "digest", "left_semi").groupBy("digest").agg(F.any_value("text").alias("text"))
-    texts = materialise(texts, "omh-texts")
-    links = materialise(align(pairs, texts, similarity), "omh-links")
-    if large.isEmpty():
-        roots = components(links)
-    else:
-        _, roots = blocks.large_links(large.select("key", "node", "owns"), lambda p: align(p, texts, similarity), links, lambda nodes: bags(nodes, texts, similarity), similarity)
-    classes = rows.select("id", "digest").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    lowest = classes.groupBy("root").agg(F.min("id").alias("class_id"))
-    return classes.join(lowest, "root").select(F.col("id").alias(id_col), "class_id", F.lower(F.hex("digest")).alias("digest"))
+    most = most_edits(similarity)
+
+    nodes = rows.filter("words > 0").groupBy("digest").agg(F.any_value("sketch").alias("sketch"))
+    agree = nodes.select(F.posexplode("sketch").alias("part", "value"), F.col("digest").alias("node"))
+    agree = agree.select(F.xxhash64("part", "value").alias("key"), "part", "node", F.lit(True).alias("owns"))
+    held = materialise(blocks.sized(agree), "omh-agree")
+    held = materialise(blocks.with_middle(held), "omh-blocks")
+
+    met = held.select(F.col("node").alias("digest")).distinct()
+    copies = rows.filter("words > 0").groupBy("digest")  # copies of a text come together before it travels
+    items = copies.agg(*[F.any_value(c).alias(c) for c in ("words", "sketch", "codes")]).join(met, "digest", "left_semi")
+    band = F.floor(F.log("words") / -math.log(min(similarity, 0.999)))
+    items = materialise(items.select(F.col("digest").alias("node"), "codes", "sketch", band.alias("band")), "omh-items")
+
+    links = blocks.aligned(materialise(blocks.star_pairs(held), "omh-pairs"), items, most)
+    roots = blocks.classes(held, items, materialise(links, "omh-links"), most, 1 - similarity, **cells)
+
+    lowest = rows.groupBy("digest").agg(F.min("id").alias("low")).join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+    lowest = lowest.withColumn("root", F.coalesce("root", "digest"))
+    named = materialise(lowest.groupBy("root").agg(F.min("low").alias("class_id")), "omh-named")
+    of = materialise(lowest.join(named, "root").select("digest", "class_id"), "omh-classes")
+    return rows.join(of, "digest").select(F.col("id").alias(id_col), "class_id", F.lower(F.hex("digest")).alias("digest"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input without near duplicates: of each class the row with the smallest id stays (rows with null ids and
     repeats of that id stay)."""
     found = near_duplicates(docs, id_col, text_col)
-    drop = materialise(found.filter((F.col(id_col) != F.col("class_id"))).select(F.col(id_col).alias("__near_gone")).distinct(), "omh-gone")
-    return docs.join(drop, docs[id_col] == drop["__near_gone"], "left_anti")
+    gone = found.filter(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("__near_gone")).distinct()
+    gone = materialise(gone, "omh-gone")
+    return docs.join(gone, docs[id_col] == gone["__near_gone"], "left_anti")
