@@ -17,6 +17,7 @@ without records gives no rows; a cut-off record raises, or with mode=PERMISSIVE
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -147,12 +148,16 @@ class _Reader(DataSourceReader):
         self.digest = options.get("digest", "false").lower() == "true"
         self.strict = options.get("mode", "FAILFAST").upper() != "PERMISSIVE"
         self.split = int(options.get("splitbytes", 128 << 20))
+        self.pushdown = options.get("pushdown", "false").lower() == "true"
+        self.headers = {k: set(v) for k, v in json.loads(options.get("headers", "{}")).items()}
         self.uris: set[str] | None = None
-        self.prefixes: tuple[str, ...] = ()
+        self.prefixes: tuple[str, ...] = (options["uriprefix"],) if "uriprefix" in options else ()
 
     def pushFilters(self, filters):  # noqa: N802
         for f in filters:
-            if isinstance(f, EqualTo | In) and f.attribute in (("record_type",), ("target_uri",)):
+            if not self.pushdown:
+                yield f
+            elif isinstance(f, EqualTo | In) and f.attribute in (("record_type",), ("target_uri",)):
                 values = {f.value} if isinstance(f, EqualTo) else set(f.value)
                 name = "types" if f.attribute == ("record_type",) else "uris"
                 setattr(self, name, values & have if (have := getattr(self, name)) is not None else values)
@@ -183,6 +188,7 @@ class _Reader(DataSourceReader):
             (self.types is None or head.get("warc-type") in self.types)
             and (self.uris is None or uri in self.uris)
             and all(uri is not None and uri.startswith(p) for p in self.prefixes)
+            and all(head.get(name) in values for name, values in self.headers.items())
         )
 
     def _rows(self, path: str) -> Iterator[tuple]:
@@ -310,11 +316,24 @@ class WarcDataSource(DataSource):
 
 
 def read_warc(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Records below path. Predicates that are decided on a record's header, before its payload is touched, are options: recordTypes
+    (comma-separated), uriPrefix, headers (JSON of lower-case header names to lists of values). payload="false" skips
+    payloads, digest="true" gives their SHA-1.
+
+    pushdown="true" takes the same predicates from filters of the frame as well. Spark 4.1 keeps one reader for a frame, so such
+    a frame must serve one query only: a second one with another filter, or a union of two, would get the first's rows."""
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("warc").options(**options).load(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, a path without one being in Spark's default file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return "file://" + found[5:] if found.startswith("file:/") and not found.startswith("file://") else found
+
+
 def record_id(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), page_id.cast("string"), F.lit(">"))
 
@@ -358,7 +377,7 @@ def archived_pages(pages: DataFrame) -> DataFrame:
     payload_bytes, payload_digest, record_type, refers_to. Of responses length and digest are those of the bytes
     in the archive, of revisits those that the header states of the payload left out."""
     spark = pages.sparkSession
-    path = fresh_path(spark, "warc")
+    path = qualified(spark, fresh_path(spark, "warc"))
     archive_pages(pages, path)
     got = read_warc(spark, path, payload="false", digest="true")
     response = F.col("record_type") == "response"
