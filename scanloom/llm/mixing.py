@@ -5,10 +5,10 @@ can; for the rest the documents are counted by exact length, each length gives t
 documents, and a bounded-knapsack dynamic program over the lengths still unused fills what is left, nearly
 always to the word. Which documents of a length are taken follows a seeded hash.
 
-Data flow: one scan for (source, length, salt) counts, aggregated map-side; one small group per source
+Data flow: one scan of the texts for (id, source, length) rows, kept as a table; (source, length, salt) counts, aggregated map-side; one small group per source
 (distinct lengths, not documents) for the dynamic program; one shuffle of (id, source, size) rows by
 (source, length, salt) for the seeded choice. A source or length that holds a third of all rows is spread
-over `salts` groups, each with its own quota, so that no task sees it whole.
+over `salts` groups, as many as the table has millions of rows, each with its own quota, so that no task sees it whole.
 
 Cases: a null text has size 0, a null source is a source of its own (last in order), documents of size 0 take
 0 words, repeated rows are separate documents, an empty table gives an empty result. Columns of the input
@@ -24,10 +24,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanloom.llm.common import n_words, text_of
+from scanloom.llm.common import materialise, n_words, text_of
 
 #: Sources whose totals are fitted on the driver, one small row each; more than that raises.
 MAX_SOURCES = 200_000
+#: Rows of all lengths to a salt: a length that a third of all rows have is as many rows a group at most.
+SALT_ROWS = 1_000_000
 
 
 def water_fill(sizes: Sequence[int], weights: Sequence[float], total: float, cap: float) -> list[float]:
@@ -100,7 +102,7 @@ def mix_to_weights(
     share: float = 1.5,
     cap: float = 2.0,
     seed: int = 17,
-    salts: int = 256,
+    salts: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
@@ -114,7 +116,11 @@ def mix_to_weights(
         F.col(id_col).alias("id"),
         F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string"))).alias("src"),
         n_words(text_of(text_col)).alias("size"),
-    ).withColumn("rank", F.xxhash64(F.lit(seed), F.col("id").cast("string"), "src", "size"))
+    )
+    # the words are counted once; what follows reads (id, source, size) rows
+    sized = materialise(sized, "mix-sizes").withColumn("rank", F.xxhash64(F.lit(seed), F.col("id").cast("string"), "src", "size"))
+    if salts is None:
+        salts = max(16, -(-sized.count() // SALT_ROWS))
     sized = sized.withColumn("salt", F.pmod(F.shiftright("rank", 32), F.lit(salts)).cast("int"))
     counts = sized.groupBy("src", "size", "salt").agg(F.count("*").alias("n"))
 
@@ -155,3 +161,22 @@ def mix_to_weights(
             (F.col("copies") * F.col("size")).alias("taken"),
         )
     )
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: the rows that it takes, with the input's columns and `copies`, how often each is taken.
+
+    Rows with the same id, source and size are told apart by their text's hash; which of them counts as which is all the same to
+    the mix."""
+    mixed = mix_to_weights(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    key = [F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"), F.col("size").alias("_size")]
+    place = F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("copies"))
+    taken = materialise(mixed.select(*key, "copies").withColumn("_place", place), "mix-taken").filter("copies > 0")
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    own = docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"), n_words(text_of(text_col)).alias("_size"), F.xxhash64(text_col).alias("_hash"), whole.alias("_row"))
+    own = own.withColumn("_place", F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("_hash")))
+    other = taken.select(*[F.col(c).alias(f"{c}2") for c in ("_id", "_source", "_size", "_place")], "copies")
+    same = F.col("_size") == F.col("_size2")
+    for c in ("_id", "_source", "_place"):
+        same &= F.col(c).eqNullSafe(F.col(f"{c}2"))
+    return own.join(other, same).select("_row.*", "copies")
