@@ -1,9 +1,9 @@
 """Documents to a training mix, in five stages. Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is
-written as Parquet and read again as the next one's docs. All but the last return the columns of `documents`.
+written as Parquet and read again as the next one's docs. All return the columns of `documents`, the last one also `copies`.
 
 Each stage works on all that the one before it kept: texts that a quality rule rejects go; of lines that repeat more
 than a few times, up to one edit, only the first stays; of near-duplicate documents the one with the smallest id stays; documents
-with a benchmark item go; what is left is mixed to the sources' target weights."""
+with a benchmark item go; of what is left the mix to the sources' target weights takes each document `copies` times, or leaves it."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from scanloom.llm.common import fresh_path, table
 from scanloom.llm.decontaminate import drop_contaminated
 from scanloom.llm.lines import drop_repeated_lines
-from scanloom.llm.mixing import mix_to_weights
+from scanloom.llm.mixing import mixed_documents
 from scanloom.llm.omh import keep_one_of_each
 from scanloom.llm.quality import keep_quality
 
@@ -38,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix_to_weights(docs)
+    return mixed_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
