@@ -81,19 +81,51 @@ def test_kmers_carry_occurrence_numbers():
 
 
 def test_templates():
-    a = licenses.compile_template("t", "grant <<var;max=2>> use<<beginOptional>> and copy<<endOptional>> freely")
+    one = lambda markup: licenses.compile_templates([("t", markup)])
+    a = one("grant <<var;max=2>> use<<beginOptional>> and copy<<endOptional>> freely")
     ok = ["grant use freely", "grant x use freely", "grant x y use and copy freely"]
     bad = ["grant x y z use freely", "grant use and freely", "grant use copy freely", "grant use"]
-    assert all(a.match(t.split(), 0) == len(t.split()) for t in ok) and all(a.match(t.split(), 0) < 0 for t in bad)
+    assert all(a.match(t.split(), 0) == {"t": len(t.split())} for t in ok) and not any(a.match(t.split(), 0) for t in bad)
+    y = one("since <<var;match=[0-9]{4};max=2;min=1>> by")
+    assert y.match("since 1999 by".split(), 0) and y.match("since 1999 2001 by".split(), 0)
+    assert not y.match("since by".split(), 0) and not y.match("since then by".split(), 0)
     for markup in ("a <<endOptional>>", "<<beginOptional>> a", "<<var;max=3>> a", ""):
         with pytest.raises(ValueError):
-            licenses.compile_template("t", markup)
+            one(markup)
+
+
+def test_whole_licenses_and_changed_wording():
+    a = licenses.compile_templates(licenses.TEMPLATES)
+    held = dict(licenses.TEMPLATES)
+    for label in ("mit-text", "bsd-3-clause", "bsd-2-clause", "zlib", "unlicense"):
+        text = re.sub("<<beginOptional>>|<<endOptional>>", "", re.sub("<<var.*?>>", "authors", held[label]))
+        found = licenses.scan_text(f"before {text} after", a)
+        assert label in found[4].split(",") and found[5] == 1.0
+        words = licenses.words_of(text)
+        changed = " ".join([*words[:-2], "unlike", words[-1]])
+        assert label not in licenses.scan_text(changed, a)[4].split(",")
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcd"), min_size=1, max_size=4), min_size=1, max_size=4), st.lists(st.sampled_from("abcde"), max_size=10))
+def test_one_automaton_equals_each_alone(templates, words):
+    markup = [(str(i), t[0] + "".join(f"<<beginOptional>> {x}<<endOptional>>" if k % 2 else f" <<var;max=1>> {x}" for k, x in enumerate(t[1:]))) for i, t in enumerate(templates)]
+    pattern = [re.compile(t[0] + " " + "".join(f"(?:{x} )?" if k % 2 else f"(?:. )?{x} " for k, x in enumerate(t[1:]))) for t in templates]
+    for i in range(len(words)):
+        got = licenses.compile_templates(markup).match(words, i)
+        rest = "".join(w + " " for w in words[i:])
+        want = {}
+        for k, p in enumerate(pattern):
+            ends = [n for n in range(len(words) - i + 1) if p.fullmatch(rest[: 2 * n])]
+            if ends:
+                want[str(k)] = i + max(ends)
+        assert got == want
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["MIT", "License", "apache", "general", "public", "x", "license."]), max_size=14))
 def test_license_places(tokens):
-    got = licenses.scan_text(" ".join(tokens), [licenses.compile_template(*t) for t in licenses.TEMPLATES])
+    got = licenses.scan_text(" ".join(tokens), licenses.compile_templates(licenses.TEMPLATES))
     w = [t.lower().strip(".") for t in tokens]
     places = sorted(i for i in range(len(w)) for p, _ in licenses.BASE_PHRASES if w[i : i + len(p.split())] == p.split())
     assert got[0] == len(places) and got[1] == (places[0] if places else None) and got[2] == (places[-1] if places else None)
