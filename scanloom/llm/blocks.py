@@ -24,8 +24,6 @@ from scanloom.llm.common import materialise
 from scanloom.llm.components import components
 from scanloom.llm.editdistance import distance_within
 
-#: Lines of a block up to which all pairs are compared at once: at most half as many pairs for each.
-SMALL = 12
 #: A cell holds at most about twice as many sequences and bytes.
 CELL_ROWS = 2048
 CELL_BYTES = 4 << 20
@@ -45,15 +43,6 @@ def sized(rows: DataFrame) -> DataFrame:
     return rows.join(sizes.filter("n > 1 AND owned").drop("owned"), "key")
 
 
-def small_pairs(rows: DataFrame, small: int = SMALL) -> DataFrame:
-    """(a, b): an owner and another node of the same small block."""
-    of = rows.filter(F.col("n") <= small)
-    own = of.filter("owns").select("key", F.col("node").alias("x"))
-    met = own.join(of.select("key", F.col("node").alias("y"), F.col("owns").alias("too")), "key")
-    met = met.filter("x < y OR (x > y AND NOT too)")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
 def with_middle(held: DataFrame) -> DataFrame:
     """held: (key, node, owns, n, ..). With `middle`: of the block's owners the one with the most company in all its
     blocks, as an original has among its copies."""
@@ -85,7 +74,7 @@ def alike(x: np.ndarray, y: np.ndarray, most: int) -> bool:
     longer = max(len(x), len(y))
     if longer - min(len(x), len(y)) > most:
         return False
-    if longer <= 255 and longer - int(np.minimum(bag_of(x), bag_of(y)).sum()) > most:
+    if most > 2 and longer <= 255 and longer - int(np.minimum(bag_of(x), bag_of(y)).sum()) > most:
         return False
     a, b = x.tolist(), y.tolist()
     narrow = min(most, 48)

@@ -6,11 +6,10 @@ probes the keys that lines as long or up to `edits` shorter would own. Lines tha
 bit-parallel edit distance; classes are the connected components of the links.
 
 Data flow: exact copies meet first, aggregated map-side to one row (digest, line, keys, copies) each, so that a line which
-a third of all documents share is one row from there on; one join on the key follows. With one edit, blocks of more than
-12 lines are split again by the same rule on what the shared segment leaves of the lines, which halves it each round,
-until blocks are small or differ in one character only and are links throughout. With more edits, all of a block are
-compared with one of its lines, then all pairs that are still in different classes (blocks.py). Pairs, links and classes
-stay in tables in the shared folder.
+a third of all documents share is one row from there on; one join on the key follows. All lines of a block are compared with one of them, then all pairs that are still in different classes,
+in cells of bounded size (blocks.py). With one edit, a block of very many lines is first split again by the same rule on
+what the shared segment leaves of the lines, which halves it each round; that finds the same links. Pairs, links and
+classes stay in tables in the shared folder.
 
 Every line whose class occurs more than once is reported, with its class and the class's number of copies. A class with
 a line of more than `long_words` words keeps only its first line, by (document id, place), from the second copy on; one
@@ -26,17 +25,13 @@ stay; an empty table gives an empty result; columns of the input are passed on a
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scanloom.llm import blocks
 from scanloom.llm.common import WORD, materialise, n_words, text_of
 from scanloom.llm.components import components
-from scanloom.llm.editdistance import distance_within
 
 MIN_CHARS = 16
 MAX_COPIES = 6
@@ -78,20 +73,6 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
     return held.withColumn("n", F.length("line")).withColumn("words", words)
 
 
-def compare(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
-    """Of pairs (a, b) of digests, those within `edits`."""
-    side = lambda c, out: texts.select(F.col("digest").alias(c), F.col("line").alias(out))
-    joined = pairs.join(side("a", "ta"), "a").join(side("b", "tb"), "b").select("a", "b", "ta", "tb")
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist())
-            keep = np.fromiter((distance_within(x, y, edits) >= 0 for x, y in both), bool, batch.num_rows)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return joined.mapInArrow(check, "a binary, b binary")
-
-
 def _halves(large: DataFrame) -> DataFrame:
     """Keys within blocks for one edit. large: (key, node, rest), rest being what the block's keys leave of the
     line. Gives (key, node, owns, rest, last): last where the block can't be split further."""
@@ -115,46 +96,39 @@ def _halves(large: DataFrame) -> DataFrame:
     return large.select("node", F.explode(F.array(*made)).alias("x")).select("node", "x.*").filter("key IS NOT NULL")
 
 
-def line_links(distinct: DataFrame, edits: int) -> DataFrame:
-    """(a, b): digests of different lines, with the classes that all links within `edits` give. distinct: (digest, line, n)."""
-    text, n = F.col("line"), F.col("n")
-    keys = [
-        F.struct(key.alias("key"), F.lit(owns).alias("owns"), F.lit(j).alias("j"))
-        for j, (key, owns, _, _) in enumerate(segment_keys(text, n, edits))
-    ]
-    rows = distinct.select(F.col("digest").alias("node"), F.explode(F.array(*keys)).alias("x"))
-    first = materialise(blocks.sized(rows.select("node", "x.*").filter("key IS NOT NULL")), "line-blocks")
+def line_links(distinct: DataFrame, edits: int, split_rows: int = blocks.SPLIT_ROWS) -> DataFrame:
+    """(a, b): digests of different lines, with the classes that all links within `edits` give. distinct: (digest, line, n).
+
+    Keys are made once and kept as numbers; what follows reads lines of blocks of two and more only."""
+    keys = segment_keys(F.col("line"), F.col("n"), edits)
+    numbers = distinct.select(F.col("digest").alias("node"), *[key.alias(f"k{j}") for j, (key, _, _, _) in enumerate(keys)])
+    numbers = materialise(numbers, "line-keys")
+    each = [F.struct(F.col(f"k{j}").alias("key"), F.lit(owns).alias("owns"), F.lit(j).alias("j")) for j, (_, owns, _, _) in enumerate(keys)]
+    rows = numbers.select("node", F.explode(F.array(*each)).alias("x")).select("node", "x.*").filter("key IS NOT NULL")
+    first = materialise(blocks.sized(rows), "line-blocks")
     needed = first.select(F.col("node").alias("digest")).distinct()
     texts = materialise(distinct.select("digest", "line").join(needed, "digest", "left_semi"), "line-texts")
-    check = lambda p: compare(materialise(p, "line-pairs"), texts, edits)
-    if edits != 1:
-        held = materialise(blocks.with_middle(first.withColumn("part", F.lit(0))), "line-middles")
-        codes = F.encode("line", "UTF-32")
-        items = texts.select(F.col("digest").alias("node"), codes.alias("codes"))
-        items = items.withColumns({"band": F.lit(0).cast("long"), "sketch": F.lit(None).cast("array<long>")})
-        links = materialise(check(blocks.star_pairs(held)), "line-links")
-        roots = blocks.classes(held, items, links, lambda longer, shorter: 0 * longer + edits)
-        return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b")
-
-    found = [check(blocks.small_pairs(first))]
-    large = first.filter(F.col("n") > blocks.SMALL)
-    if not large.isEmpty():
-        n = F.length("line")
+
+    held = first.select("key", "node", "owns", "n")
+    huge = first.filter(F.col("n") > split_rows)
+    if edits == 1 and not huge.isEmpty():
+        held, text, n = held.filter(F.col("n") <= split_rows), F.col("line"), F.length("line")
         spans = F.array(*[F.struct(at.alias("at"), size.alias("size")) for _, _, at, size in segment_keys(text, n, 1)])
         at, size = F.get(spans, F.col("j"))["at"], F.get(spans, F.col("j"))["size"]
         rest = F.when(F.col("j") % 2 == 0, F.substring(text, at + size + 1, n)).otherwise(F.substring(text, F.lit(1), at))
-        level = large.join(texts.withColumnRenamed("digest", "node"), "node").select("key", "node", rest.alias("rest"))
+        level = huge.join(texts.withColumnRenamed("digest", "node"), "node").select("key", "node", rest.alias("rest"))
         while not level.isEmpty():
             now = materialise(blocks.sized(_halves(level)), "line-halves")
-            found.append(check(blocks.small_pairs(now)))
-            ends = now.filter((F.col("n") > blocks.SMALL) & F.col("last"))
-            if not ends.isEmpty():
-                found.append(check(blocks.star_pairs(blocks.with_middle(ends))))
-            level = now.filter((F.col("n") > blocks.SMALL) & ~F.col("last")).select("key", "node", "rest")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+            small = (F.col("n") <= split_rows) | F.col("last")
+            held = held.unionByName(now.filter(small).select("key", "node", "owns", "n"))
+            level = now.filter(~small).select("key", "node", "rest")
+    held = materialise(blocks.with_middle(held.withColumn("part", F.lit(0))), "line-middles")
+    items = texts.select(F.col("digest").alias("node"), F.encode("line", "UTF-32").alias("codes"))
+    items = items.withColumns({"band": F.lit(0).cast("long"), "sketch": F.lit(None).cast("array<long>")})
+    most = lambda longer, shorter: 0 * longer + edits
+    links = materialise(blocks.aligned(materialise(blocks.star_pairs(held), "line-pairs"), items, most), "line-links")
+    roots = blocks.classes(held, items, links, most)
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b")
 
 
 def repeated_lines(
@@ -171,10 +145,12 @@ def repeated_lines(
     whose class occurs more than once; a class is named by the md5 of one of its lines)."""
     lines = occurrences(docs, id_col, text_col)
     distinct = materialise(distinct_lines(lines), "line-digests")
-    links = line_links(distinct.filter(F.col("n") >= min_chars), edits)
-    for least, more in LONGER:
-        if more > edits:
-            links = links.unionByName(line_links(distinct.filter(F.col("n") >= max(least, min_chars)), more))
+    # two lines of which the shorter has `least` characters and more are left to the larger number of edits
+    longer = [(least, more) for least, more in LONGER if more > edits]
+    links = line_links(distinct.filter(F.col("n").between(min_chars, min((x + edits for x, _ in longer), default=1 << 31))), edits)
+    for i, (least, more) in enumerate(longer):
+        upto = longer[i + 1][0] + more if i + 1 < len(longer) else 1 << 31
+        links = links.unionByName(line_links(distinct.filter(F.col("n").between(max(least, min_chars), upto)), more))
     roots = materialise(components(links).withColumnRenamed("node", "digest"), "line-roots")
 
     classes = distinct.join(roots, "digest", "left").select(
