@@ -209,8 +209,8 @@ def in_frame_rounded(cal: Calibration, u: Column, v: Column) -> Column:
 
 
 def texel(x: Column, size: int) -> Column:
-    """Clamped, then truncated."""
-    return F.least(F.greatest(x.cast("int"), F.lit(0)), F.lit(size - 1))
+    """Clamped, then truncated. A millionth of a pixel is added, so that rounding doesn't decide where a texel lies on a whole number."""
+    return F.least(F.greatest((x + 1e-6).cast("int"), F.lit(0)), F.lit(size - 1))
 
 
 def pack_rgb(r: Column, g: Column, b: Column) -> Column:

@@ -1,8 +1,8 @@
 """Texturing a mesh from posed images: best image per face, and a z-buffer render as an aggregation.
 
 Tables: vertices (vid, x, y, z); faces (fid, i0, i1, i2); images (idx, r: nine numbers by row, t: three), the sensor's pose in
-the world; pixels (idx, u, v, b, g, r). Posed images are keyframes, bounded by `MAX_IMAGES`, and are joined to faces by
-broadcast; vertices and pixels are joined on their keys."""
+the world; pixels (idx, u, v, b, g, r). Posed images are joined to faces by broadcast in blocks of `MAX_IMAGES`, assigned images,
+vertices and pixels on their keys."""
 
 from __future__ import annotations
 
@@ -42,19 +42,22 @@ def _camera(w: str, p: geo.Vec) -> tuple:
     return geo.transform([[m[3 * i + j] for j in range(3)] for i in range(3)], [m[9 + i] for i in range(3)], p)
 
 
-def best_images(faces: DataFrame, vertices: DataFrame, images: DataFrame, cal: Calibration) -> DataFrame:
+def best_images(faces: DataFrame, vertices: DataFrame, images: DataFrame, cal: Calibration, block_images: int = MAX_IMAGES) -> DataFrame:
     """Per face: best_img (-1 if none sees it) and best_score, the absolute cosine between the face's normal and the direction to
     the camera, over images with the face's centre in front and in frame. Of equal scores the lowest image wins."""
-    n = images.limit(MAX_IMAGES + 1).count()
-    if n > MAX_IMAGES:
-        raise ValueError(f"more than {MAX_IMAGES} images")
+    blocks = max(1, -(-images.count() // block_images))
     corners = gather_corners(faces, vertices)
     p = [geo.cols(f"x{k}", f"y{k}", f"z{k}") for k in range(3)]
     centre = geo.scale(geo.add(geo.add(p[0], p[1]), p[2]), F.lit(1 / 3))
     flat = corners.select("fid", F.array(*centre).alias("c"), F.array(*geo.face_normal(*p)).alias("n"))
     poses = world_to_camera_table(images, cal)
-    # Faces times keyframes is the operator's own definition; the bounded side is broadcast and each pair becomes one number.
-    seen = flat.crossJoin(F.broadcast(poses))
+    # Faces times keyframes is the operator's own definition. Keyframes are broadcast in blocks of a bounded size, and each pair
+    # becomes one number, of which an aggregation with map-side combine keeps the best.
+    seen = None
+    for k in range(blocks):
+        block = poses if blocks == 1 else poses.filter(F.pmod(F.xxhash64("idx"), F.lit(blocks)) == k)
+        part = flat.crossJoin(F.broadcast(block))
+        seen = part if seen is None else seen.unionByName(part)
     c, normal = geo.of_array(F.col("c"), 3), geo.of_array(F.col("n"), 3)
     m = F.col("w")
     eye = [-geo.dot([m[3 * j + i] for j in range(3)], [m[9 + j] for j in range(3)]) for i in range(3)]
@@ -78,7 +81,7 @@ def render(
     Of equal depths the lowest face wins. Guards come before pixels are made, so a triangle makes at most `MAX_TRIANGLE_PIXELS`."""
     corners = gather_corners(faces, vertices).join(assignment.filter("best_img >= 0").select("fid", F.col("best_img").alias("img")), "fid")
     poses = world_to_camera_table(images, cal)
-    source = F.broadcast(poses.select(F.col("idx").alias("img"), F.col("w").alias("ws")))
+    source = poses.select(F.col("idx").alias("img"), F.col("w").alias("ws"))
     target = F.broadcast(poses.filter(F.col("idx") == view).select(F.col("w").alias("wr")))
     t = corners.join(source, "img").crossJoin(target)
     seen = {}

@@ -374,7 +374,20 @@ def q1_measure_tau(spark, sf):
     return tau.best_shift(proxy.camera_curve(spark, sf), lidar_curve(spark, sf))
 
 
-@query("win5_tau_halves")
+HALF = """ends AS (SELECT least((SELECT min(t) FROM cam), (SELECT min(t) FROM lid)) AS t0, (SELECT min(t) + (max(t) - min(t)) / 2 FROM cam) AS mid),
+based AS (SELECT 'c' AS kind, t - t0 AS t, x, t < mid AS first FROM cam, ends UNION ALL SELECT 'l', t - t0, x, t < mid FROM lid, ends),
+parts AS (SELECT 'all' AS part, kind, t, x FROM based UNION ALL SELECT CASE WHEN first THEN 'first' ELSE 'second' END, kind, t, x FROM based),
+enough AS (SELECT part FROM parts GROUP BY part HAVING part = 'all' OR (count(*) FILTER (kind = 'c') > 10 AND count(*) FILTER (kind = 'l') > 10)),
+seg AS (SELECT part, t AS t0, x AS x0, coalesce(lead(t) OVER w, t) AS t1, coalesce(lead(x) OVER w, x) AS x1 FROM parts WHERE kind = 'c' WINDOW w AS (PARTITION BY part ORDER BY t)),
+g AS (SELECT i AS tau_idx, -0.3::DOUBLE + i * 0.001::DOUBLE AS tau FROM range(0, 601) r(i)),
+mv AS (SELECT part, tau_idx, tau, p.t - tau AS t, x FROM parts p, g WHERE kind = 'l'),
+hit AS (SELECT mv.part, tau_idx, tau, mv.x - (x0 + CASE WHEN t1 = t0 THEN 0 ELSE (mv.t - t0) / (t1 - t0) END * (x1 - x0)) AS e FROM mv JOIN seg ON mv.part = seg.part AND mv.t >= t0 AND (mv.t < t1 OR (t1 = t0 AND mv.t = t0))),
+err AS (SELECT part, tau_idx, tau, count(*) AS n, avg(e * e) AS mse FROM hit GROUP BY ALL HAVING count(*) >= 10),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY round(mse, 9), tau_idx) AS k FROM err)
+SELECT part, tau_idx, coalesce(round(tau, 6), 0) AS tau, coalesce(round(mse, 6), 'Infinity'::DOUBLE) AS mse, coalesce(n, 0) AS n FROM enough LEFT JOIN (SELECT * FROM ranked WHERE k = 1) r USING (part)"""
+
+
+@query("win5_tau_halves", prelude("points", "camera") + f", {LIDAR}, cam AS (FROM camera), lid AS (FROM lidar), {HALF}")
 def win5_tau_halves(spark, sf):
     return tau.shift_with_halves(proxy.camera_curve(spark, sf), lidar_curve(spark, sf))
 
@@ -600,19 +613,48 @@ def set3_used_images(spark, sf):
     return texture.best_images(*scene(spark, sf), CAL).filter("best_img >= 0").select("best_img").distinct()
 
 
-@query("q4_texture_render")
+def render_sql(assigned: str) -> str:
+    """Rendered pixels of image 0's view at an eighth of its size, from a table `assigned` (fid, img), in plain steps."""
+    w, h, corners = C.WIDTH // 8, C.HEIGHT // 8, [(s, k) for s in "rs" for k in range(3)]
+    moved = ", ".join(f"{a}{k} - t{s}[{i}] AS d{s}{k}{a}" for s, k in corners for i, a in enumerate("xyz", 1))
+    camera = ", ".join(f"{e} AS c{s}{k}{a}" for s, k in corners for e, a in zip(transform_sql(R, T, *[f"d{s}{k}{a}" for a in "xyz"]), "xyz"))
+    plane = ", ".join(f"c{s}{k}x / c{s}{k}z AS a{s}{k}, c{s}{k}y / c{s}{k}z AS b{s}{k}" for s, k in corners)
+    front = " AND ".join(f"c{s}{k}z > 0" for s, k in corners)
+    bent = ", ".join(f"{e} AS {n}{s}{k}" for s, k in corners for e, n in zip(project_sql(f"a{s}{k}", f"b{s}{k}"), "uv"))
+    inside = " AND ".join(f"us{k} >= 0 AND us{k} < {C.WIDTH} AND vs{k} >= 0 AND vs{k} < {C.HEIGHT}" for k in range(3))
+    p = lambda n: ", ".join(f"{n}{k}" for k in range(3))
+    mixed = lambda n: f"(a * {n}0 + b * {n}1 + (1 - a - b) * {n}2)"
+    return f"""{assigned},
+r1 AS (SELECT co.*, img, i.t AS ts, v.t AS tr FROM co JOIN assigned USING (fid) JOIN images i ON i.idx = img, (SELECT t FROM images WHERE idx = 0) v WHERE img >= 0),
+r2 AS (SELECT fid, img, {moved} FROM r1), r3 AS (SELECT fid, img, {camera} FROM r2), r4 AS (SELECT *, {plane} FROM r3 WHERE {front}), r5 AS (SELECT *, {bent} FROM r4),
+r6 AS (SELECT fid, img, {', '.join(f'ur{k} / 8 AS pu{k}, vr{k} / 8 AS pv{k}, us{k} AS tu{k}, vs{k} AS tv{k}, cr{k}z AS rz{k}' for k in range(3))} FROM r5 WHERE {inside}),
+r7 AS (SELECT *, greatest(floor(least({p('pu')})), 0)::BIGINT AS minx, least(ceil(greatest({p('pu')})), {w - 1})::BIGINT AS maxx, greatest(floor(least({p('pv')})), 0)::BIGINT AS miny, least(ceil(greatest({p('pv')})), {h - 1})::BIGINT AS maxy,
+  (pv1 - pv2) * (pu0 - pu2) + (pu2 - pu1) * (pv0 - pv2) AS d FROM r6),
+r8 AS (SELECT *, unnest(range(miny, maxy + 1)) AS yy FROM r7 WHERE maxx >= minx AND maxy >= miny AND (maxx - minx) * (maxy - miny) <= {texture.MAX_TRIANGLE_PIXELS} AND abs(d) >= 1e-6),
+r9 AS (SELECT *, unnest(range(minx, maxx + 1)) AS xx FROM r8),
+r10 AS (SELECT *, ((pv1 - pv2) * (xx - pu2) + (pu2 - pu1) * (yy - pv2)) / d AS a, ((pv2 - pv0) * (xx - pu2) + (pu0 - pu2) * (yy - pv2)) / d AS b FROM r9),
+r11 AS (SELECT yy, xx, fid, img, {mixed('rz')} AS z, least(greatest(trunc({mixed('tu')} + 1e-6), 0), {C.WIDTH - 1})::BIGINT AS u, least(greatest(trunc({mixed('tv')} + 1e-6), 0), {C.HEIGHT - 1})::BIGINT AS v FROM r10 WHERE a >= 0 AND b >= 0 AND 1 - a - b >= 0),
+done AS (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY yy, xx ORDER BY round(z, 9), fid) AS k FROM r11) WHERE k = 1)"""
+
+
+RENDERED = "SELECT yy, xx, round(z, 6) AS z, fid, img, u, v FROM done"
+BY_BEST = render_sql(BEST + ", assigned AS (SELECT fid, best_img AS img FROM best)")
+BY_FIRST = render_sql(CORNERS + ", assigned AS (SELECT fid, 0 AS img FROM faces)")
+
+
+@query("q4_texture_render", f"{BY_BEST} {RENDERED}")
 def q4_texture_render(spark, sf):
     f, v, i = scene(spark, sf)
     return texture.render(f, v, texture.best_images(f, v, i, CAL), i, CAL, view=0, shrink=8)
 
 
-@query("q5_single_image_render")
+@query("q5_single_image_render", f"{BY_FIRST} {RENDERED}")
 def q5_single_image_render(spark, sf):
     f, v, i = scene(spark, sf)
     return texture.render(f, v, f.select("fid", F.lit(0).cast("long").alias("best_img")), i, CAL, view=0, shrink=8)
 
 
-@query("agg17_coverage")
+@query("agg17_coverage", f"{BY_FIRST} SELECT round(count(*) / {(C.WIDTH // 8) * (C.HEIGHT // 8)}.0, 6) AS coverage FROM done")
 def agg17_coverage(spark, sf):
     done = q5_single_image_render(spark, sf)
     grey = done.select(F.col("img").alias("idx"), "u", "v").distinct().select("*", *[F.lit(c).alias(n) for n, c in (("b", 9), ("g", 9), ("r", 9))])

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 def pair_streams(left: DataFrame, right: DataFrame, slop_ms: int, late_ms: int, ts: str = "ts", id_col: str = "seq") -> DataFrame:
     """All pairs at most `slop_ms` apart: l_id, r_id, l_ts, r_ts, dt_us. State of either side is dropped once the watermark, `late_ms`
-    behind, has passed it by the slop. Nearest pairs are chosen downstream, by `nearest` on each finished batch."""
+    behind, has passed it by the slop. Nearest pairs are chosen from what the sink holds, by `settled`."""
     # A join of streams needs an equality: buckets as wide as the slop, of which a left message looks into three.
     bucket = lambda c: F.floor(F.unix_micros(c) / (slop_ms * 1000))
     a = left.select(F.col(id_col).alias("l_id"), F.col(ts).alias("l_ts")).withWatermark("l_ts", f"{late_ms} milliseconds")
@@ -33,6 +33,13 @@ def nearest(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("x", F.row_number().over(by_left)).withColumn("y", F.row_number().over(by_right)).filter("x = 1 AND y = 1").drop("x", "y")
 
 
+def settled(pairs: DataFrame, until_us: int, slop_ms: int) -> DataFrame:
+    """Of all candidate pairs so far, those that are each other's nearest and stay so: messages up to `until_us`, the watermark, have
+    all been seen, so a message has all its candidates if it is older than that by the slop."""
+    done = lambda c: F.unix_micros(c) + slop_ms * 1000 <= until_us
+    return nearest(pairs).filter(done("l_ts") & done("r_ts"))
+
+
 class LastScans(StatefulProcessor):
     """For each scan of a sensor the scans of the rolling window that ends with it, as (sensor, frame, scan_id)."""
 
@@ -44,11 +51,13 @@ class LastScans(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:  # noqa: N802
         held = [r[0] for r in self.held.get()] if self.held.exists() else []
-        fresh = sorted({int(x) for pdf in rows for x in pdf["scan_id"]} - set(held))
+        fresh = {int(x) for pdf in rows for x in pdf["scan_id"]} - set(held)
+        # what comes again, or for the first time, after a full window has passed it has no frame any more
+        fresh = sorted(x for x in fresh if len(held) < self.scans or x > held[0])
         out = []
         for scan in fresh:
-            held = [*held, scan][-self.scans :]
-            out += [(key[0], scan, s) for s in held]
+            held = sorted([*held, scan])[-self.scans :]
+            out += [(key[0], scan, s) for s in held if s <= scan]
         self.held.put([(s,) for s in held])
         yield pd.DataFrame(out, columns=["sensor", "frame", "scan_id"])
 

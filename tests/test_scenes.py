@@ -42,6 +42,7 @@ def test_unseen_faces_stay_black_and_all_faces_are_seen(spark, grid):
     best = texture.best_images(faces, vertices, images, FLAT)
     assert texture.seen_share(best).collect()[0][0] == 1.0
     assert {r["best_img"] for r in best.collect()} == {0}  # equal scores: the lowest image
+    assert sorted(texture.best_images(faces, vertices, images, FLAT, block_images=1).collect()) == sorted(best.collect())
 
 
 def test_plane_and_core_find_a_board(spark):
