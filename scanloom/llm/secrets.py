@@ -32,11 +32,13 @@ from scanloom.llm.common import materialise, text_of
 _KEY = r"A-Za-z0-9_\-+/."
 #: Names of values that are secret, as they end before the sign.
 _NAMED = r"(?i:passw(?:or)?d|passphrase|pwd|secret|token|api[_\-]?key|access[_\-]?key|private[_\-]?key|auth|bearer|credential)"
-_AFTER_NAME = rf"(?<={_NAMED}[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)[^\s\"',;:=<>(){{}}\[\]]{{8,}}+"
+_NAME_AND_SIGN = rf"{_NAMED}[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?"
+_AFTER_NAME = r"[^\s\"',;:=<>(){}\[\]]{8,}+"
 #: How keys of well-known providers begin. Fixed values.
 _PROVIDED = r"(?:AKIA|ASIA|AIza|ghp_|gho_|glpat-|xox[abp]-|sk_live_|rk_live_|sk-|SG\.|eyJ)"
 _WITH_DIGIT = rf"(?=[A-Za-z_\-+/.]*+[0-9])[{_KEY}]{{16,}}+={{0,2}}"
-CANDIDATE = rf"{_AFTER_NAME}|(?<![{_KEY}])(?:{_PROVIDED}[{_KEY}]{{12,}}+={{0,2}}|{_WITH_DIGIT})"
+#: The candidate is group 2 or 3; group 1, a name and a sign, belongs to what precedes it.
+CANDIDATE = rf"({_NAME_AND_SIGN})({_AFTER_NAME})|(?<![{_KEY}])({_PROVIDED}[{_KEY}]{{12,}}+={{0,2}}|{_WITH_DIGIT})"
 #: Words before a value that speak for a key, and against one.
 NAMES = r"(?i)(token|secret|passw(or)?d|passphrase|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential|private)"
 DIGESTS = r"(?i)(commit|sha-?\d*|md5|digest|checksum|hash|integrity|etag|revision|uuid|build)"
@@ -59,7 +61,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None
     rows = docs.select(F.col(id_col).alias("id"), path.alias("path"), text.alias("text")).filter(F.col("text").rlike(CANDIDATE))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     # pieces are in turn what is between candidates and a candidate
-    pieces = F.split(F.regexp_replace("text", CANDIDATE, f"{_CUT}$0{_CUT}"), _CUT, -1)
+    pieces = F.split(F.regexp_replace("text", CANDIDATE, f"$1{_CUT}$2$3{_CUT}"), _CUT, -1)
     piece = lambda i: F.coalesce(F.get("pieces", i), F.lit(""))
     every = F.transform(
         F.sequence(F.lit(0), F.size("pieces") - 1),

@@ -16,8 +16,9 @@ def plain(text):
     """{value: (first place, places)} of a text."""
     out = {}
     for m in regex.finditer(secrets.CANDIDATE, text.replace("\ue000", " ")):
-        first, n = out.get(m[0], (m.start(), 0))
-        out[m[0]] = (first, n + 1)
+        group = 2 if m[2] else 3
+        first, n = out.get(m[group], (m.start(group), 0))
+        out[m[group]] = (first, n + 1)
     return out
 
 
