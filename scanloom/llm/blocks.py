@@ -29,6 +29,8 @@ CELL_ROWS = 2048
 CELL_BYTES = 4 << 20
 #: Larger blocks are split by rare items first; below, cells are cheaper.
 SPLIT_ROWS = 1 << 16
+#: Block sizes (16 bytes each) up to which they are broadcast.
+BROADCAST_KEYS = 500_000
 #: Buckets of the item counts that rule pairs out, and counts up to which they are compared by bucket.
 BUCKETS = 1024
 LEVELS = 24
@@ -38,9 +40,14 @@ Most = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
 def sized(rows: DataFrame) -> DataFrame:
-    """rows: (key, node, owns, ..). With `n`: nodes of the block, for blocks of two and more with an owner."""
+    """rows: (key, node, owns, ..). With `n`: nodes of the block, for blocks of two and more with an owner.
+
+    Most keys are of one node. The sizes of the others are a table, and as long as these are few they are broadcast, so that
+    the rows of the rest needn't be shuffled to be dropped."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("owns").alias("owned"))
-    return rows.join(sizes.filter("n > 1 AND owned").drop("owned"), "key")
+    sizes = materialise(sizes.filter("n > 1 AND owned").select("key", "n"), "block-sizes")
+    few = sizes.count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(sizes) if few else sizes, "key")
 
 
 def with_middle(held: DataFrame) -> DataFrame:
