@@ -107,7 +107,9 @@ def with_unit(df: DataFrame, quat: str, out: str) -> DataFrame:
     """`out`: the unit quaternion of an array column. In steps, so that the norm is computed once."""
     df = df.withColumn("_norm", norm(of_array(F.col(quat), 4)))
     safe = F.when(F.col("_norm") < 1e-12, F.raise_error(F.lit("quaternion of zero length")).cast("double")).otherwise(F.col("_norm"))
-    return df.withColumn("_norm", safe).withColumn(out, F.when(F.col(quat).isNotNull(), F.array(*[F.col(quat)[i] / F.col("_norm") for i in range(4)]))).drop("_norm")
+    return df.withColumn("_norm", safe).withColumn(
+        out, F.when(F.col(quat).isNotNull(), F.array(*[F.col(quat)[i] / F.col("_norm") for i in range(4)]))
+    ).drop("_norm")
 
 
 def with_slerp(df: DataFrame, a: str, b: str, u: str, out: str) -> DataFrame:
@@ -115,7 +117,9 @@ def with_slerp(df: DataFrame, a: str, b: str, u: str, out: str) -> DataFrame:
     1e-12. In steps, as one expression would repeat its terms many times over."""
     qa, qb = of_array(F.col(a), 4), of_array(F.col(b), 4)
     df = df.withColumn("_dot", dot(qa, qb)).withColumn("_sign", F.when(F.col("_dot") < 0, -1.0).otherwise(1.0)).withColumn("_dot", F.abs("_dot"))
-    df = df.withColumn("_angle", F.atan2(norm(sub(scale(qb, F.col("_sign")), scale(qa, F.col("_dot")))), F.col("_dot"))).withColumn("_sin", F.sin("_angle"))
+    df = df.withColumn(
+        "_angle", F.atan2(norm(sub(scale(qb, F.col("_sign")), scale(qa, F.col("_dot")))), F.col("_dot"))
+    ).withColumn("_sin", F.sin("_angle"))
     near, safe = F.col("_sin") < 1e-12, F.when(F.col("_sin") < 1e-12, 1.0).otherwise(F.col("_sin"))
     df = df.withColumn("_wa", F.when(near, 1 - F.col(u)).otherwise(F.sin((1 - F.col(u)) * F.col("_angle")) / safe))
     df = df.withColumn("_wb", F.when(near, F.col(u)).otherwise(F.sin(F.col(u) * F.col("_angle")) / safe) * F.col("_sign"))
@@ -194,9 +198,21 @@ def pixel(cal: Calibration, p: Vec) -> Column:
     Binds its steps as lambda variables: as one expression the point's own terms would be repeated dozens of times, and again in
     each filter that is pushed below."""
     point = F.array(F.struct(p[0].alias("x"), p[1].alias("y"), p[2].alias("z")))
-    plane = F.transform(point, lambda q: F.when(q["z"] > 0, F.struct((q["x"] / q["z"]).alias("x"), (q["y"] / q["z"]).alias("y"), F.lit(1.0).alias("w"), q["z"].alias("z"))))
-    bent = F.transform(plane, lambda n: F.when(n.isNotNull(), F.struct(*[c.alias(a) for c, a in zip(project(cal, (n["x"], n["y"], n["w"])), "uv")], n["z"].alias("z"))))
-    return F.transform(bent, lambda m: F.when(m.isNotNull(), F.struct(m["u"].alias("u"), m["v"].alias("v"), m["z"].alias("z"), in_frame(cal, m["u"], m["v"]).alias("inside"))))[0]
+    plane = F.transform(
+        point,
+        lambda q: F.when(q["z"] > 0, F.struct((q["x"] / q["z"]).alias("x"), (q["y"] / q["z"]).alias("y"), F.lit(1.0).alias("w"), q["z"].alias("z")))
+    )
+    bent = F.transform(
+        plane,
+        lambda n: F.when(n.isNotNull(), F.struct(*[c.alias(a) for c, a in zip(project(cal, (n["x"], n["y"], n["w"])), "uv")], n["z"].alias("z")))
+    )
+    return F.transform(
+        bent,
+        lambda m: F.when(
+            m.isNotNull(),
+            F.struct(m["u"].alias("u"), m["v"].alias("v"), m["z"].alias("z"), in_frame(cal, m["u"], m["v"]).alias("inside"))
+        )
+    )[0]
 
 
 def in_frame(cal: Calibration, u: Column, v: Column) -> Column:

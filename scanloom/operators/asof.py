@@ -28,13 +28,21 @@ def bracket(samples: DataFrame, queries: DataFrame, stamp: str = "ns", by: Seque
     kept = [c for c in queries.columns if c not in by]
     kind = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in (queries.schema[c] for c in kept))
     of_sample = F.struct(*names)
-    left = samples.select(*by, F.col(stamp).alias("_t"), F.lit(0).alias("_kind"), of_sample.alias("_s"), F.lit(None).cast(f"struct<{kind}>").alias("_q"))
-    right = queries.select(*by, F.col(stamp).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast(left.schema["_s"].dataType).alias("_s"), F.struct(*kept).alias("_q"))
+    left = samples.select(
+        *by, F.col(stamp).alias("_t"), F.lit(0).alias("_kind"), of_sample.alias("_s"),
+        F.lit(None).cast(f"struct<{kind}>").alias("_q")
+    )
+    right = queries.select(
+        *by, F.col(stamp).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast(left.schema["_s"].dataType).alias("_s"),
+        F.struct(*kept).alias("_q")
+    )
     both = left.filter("_t IS NOT NULL").unionByName(right).withColumn("_b", F.floor(F.col("_t") / bucket))
     rows = Window.partitionBy(*by, "_b")
     past = rows.orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     coming = rows.orderBy(F.desc("_t"), "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    near = both.withColumn("before", F.last("_s", ignorenulls=True).over(past)).withColumn("after", F.last("_s", ignorenulls=True).over(coming)).filter("_kind = 1")
+    near = both.withColumn("before", F.last("_s", ignorenulls=True).over(past)).withColumn(
+        "after", F.last("_s", ignorenulls=True).over(coming)
+    ).filter("_kind = 1")
     ends = both.groupBy(*by, "_b").agg(F.min("_s").alias("_low"), F.max("_s").alias("_high"))
     across = Window.partitionBy(*by).orderBy("_b")
     ends = ends.select(

@@ -32,7 +32,10 @@ def extents(points: DataFrame, room: float = 3.5) -> DataFrame:
 def range_shares(points: DataFrame) -> DataFrame:
     """Shares of points within 5 and 10 of the origin and beyond 50."""
     d = geo.norm(geo.cols("x", "y", "z"))
-    return points.agg(F.avg((d < 5).cast("double")).alias("within_5"), F.avg((d < 10).cast("double")).alias("within_10"), F.avg((d > 50).cast("double")).alias("beyond_50"))
+    return points.agg(
+        F.avg((d < 5).cast("double")).alias("within_5"), F.avg((d < 10).cast("double")).alias("within_10"),
+        F.avg((d > 50).cast("double")).alias("beyond_50")
+    )
 
 
 def downsample(points: DataFrame, most: int, seed: int = 0) -> DataFrame:
@@ -96,12 +99,16 @@ def rolling_overlay(points: DataFrame, cal: Calibration, scans: int = 25, by: st
     The window runs over scans, not points; points are joined to the frames that hold their scan."""
     ids = numbered(points.select(by).distinct(), by, "n")
     last = ids.agg(F.max("n").alias("last"))
-    frames = ids.crossJoin(F.broadcast(last)).withColumn("m", F.explode(F.sequence("n", F.least(F.col("n") + scans - 1, F.col("last"))))).select(by, "m")
+    frames = ids.crossJoin(F.broadcast(last)).withColumn(
+        "m", F.explode(F.sequence("n", F.least(F.col("n") + scans - 1, F.col("last"))))
+    ).select(by, "m")
     frames = frames.join(ids.select(F.col(by).alias("frame"), F.col("n").alias("m")), "m").select(by, "frame")
     q = geo.transform(cal.rotation, cal.shift, geo.cols("x", "y", "z"))
     front = points.withColumn("_p", geo.pixel(cal, q)).filter("_p IS NOT NULL")
     front = front.select(by, F.rint("_p.u").try_cast("int").alias("u"), F.rint("_p.v").try_cast("int").alias("v"), F.col("_p.z").alias("d"))
-    ranges = front.groupBy(by).agg(F.min("d").alias("lo"), F.max("d").alias("hi")).join(frames, by).groupBy("frame").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    ranges = front.groupBy(by).agg(F.min("d").alias("lo"), F.max("d").alias("hi")).join(frames, by).groupBy("frame").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    )
     dots = front.filter(geo.in_frame(cal, F.col("u"), F.col("v"))).join(frames, by).join(ranges, "frame")
     b, g, r = geo.depth_colour(F.col("d"), F.col("lo"), F.col("hi"))
     return dots.select("frame", "u", "v", b.alias("b"), g.alias("g"), r.alias("red"))

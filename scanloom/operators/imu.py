@@ -23,7 +23,10 @@ def quaternion_norms(df: DataFrame, quat: str = "quat") -> DataFrame:
     q = geo.of_array(F.col(quat), 4)
     n = geo.norm(q)
     still = (F.abs(q[0]) < 1e-6) & (F.abs(q[1]) < 1e-6) & (F.abs(q[2]) < 1e-6)
-    return df.agg(F.avg(n).alias("quat_mean"), F.stddev_pop(n).alias("quat_std"), F.min(n).alias("quat_min"), F.max(n).alias("quat_max"), F.count_if(still).alias("degenerate"))
+    return df.agg(
+        F.avg(n).alias("quat_mean"), F.stddev_pop(n).alias("quat_std"), F.min(n).alias("quat_min"),
+        F.max(n).alias("quat_max"), F.count_if(still).alias("degenerate")
+    )
 
 
 def orientation_changes(df: DataFrame, order: str, quat: str = "quat", every: int = 20, live_above: float = 1e-3) -> DataFrame:

@@ -59,6 +59,11 @@ def gates(df: DataFrame, stream: str, us: str, wanted: Sequence[str], window_us:
     it is live. A stream that never spoke is a row too."""
     spark = df.sparkSession
     last = df.agg(F.max(us).alias("_last"))
-    found = df.crossJoin(F.broadcast(last)).groupBy(stream).agg(F.count_if(F.col(us) > F.col("_last") - window_us).alias("n"), (F.count_distinct(us) / F.count("*")).alias("distinct_share"))
+    found = df.crossJoin(F.broadcast(last)).groupBy(stream).agg(
+        F.count_if(F.col(us) > F.col("_last") - window_us).alias("n"),
+        (F.count_distinct(us) / F.count("*")).alias("distinct_share")
+    )
     names = spark.createDataFrame([(x,) for x in wanted], f"{stream} string")
-    return names.join(found, stream, "left").select(stream, F.coalesce("n", F.lit(0)).alias("n"), "distinct_share", (F.coalesce("n", F.lit(0)) > 0).alias("live"))
+    return names.join(found, stream, "left").select(
+        stream, F.coalesce("n", F.lit(0)).alias("n"), "distinct_share", (F.coalesce("n", F.lit(0)) > 0).alias("live")
+    )

@@ -14,7 +14,9 @@ def pair_nearest(left: DataFrame, right: DataFrame, slop_us: int, left_id: str =
 
     Stamps are cut into buckets as wide as the slop, so a message meets only its own and the two neighbouring buckets: an
     equi-join on the bucket, not a join of all with all."""
-    a = left.select(F.col(left_id).alias("l_id"), F.col(us).alias("l_us")).withColumn("b", F.explode(F.array(*[F.floor(F.col("l_us") / slop_us) + k for k in (-1, 0, 1)])))
+    a = left.select(F.col(left_id).alias("l_id"), F.col(us).alias("l_us")).withColumn(
+        "b", F.explode(F.array(*[F.floor(F.col("l_us") / slop_us) + k for k in (-1, 0, 1)]))
+    )
     b = right.select(F.col(right_id).alias("r_id"), F.col(us).alias("r_us")).withColumn("b", F.floor(F.col("r_us") / slop_us))
     near = a.join(b, "b").withColumn("dt_us", F.abs(F.col("l_us") - F.col("r_us"))).filter(F.col("dt_us") <= slop_us).drop("b")
     by_left = Window.partitionBy("l_id").orderBy("dt_us", "r_us", "r_id")

@@ -31,7 +31,10 @@ def in_band(points: DataFrame, low: float, high: float, least: int, by: str = "s
     return band.join(enough, by)
 
 
-def core_centroid(points: DataFrame, cal: Calibration, band: tuple[float, float, int] = BANDS["far"], core: float = 0.15, by: str = "scan_id") -> DataFrame:
+def core_centroid(
+    points: DataFrame, cal: Calibration, band: tuple[float, float, int] = BANDS["far"], core: float = 0.15,
+    by: str = "scan_id"
+) -> DataFrame:
     """Per scan: median depth of the band, points within `core` of it, their centroid, mean time, and the undistorted column of the
     centroid. Scans with too few points in band or core are left out.
 
@@ -146,7 +149,9 @@ def nearest_k(queries: DataFrame, points: DataFrame, cell: float, k: int, other_
     cells surely cover go on with cells twice as wide, until all are settled or a cell spans everything. A query keeps a bounded
     number of distances for each cell it meets."""
     grid = lambda df, size: df.withColumns({f"c{a}": F.floor(F.col(a) / size) for a in "xyz"})
-    span = points.agg(*[(F.max(a) - F.min(a)).alias(a) for a in "xyz"], F.max(F.greatest(*[F.abs(F.col(a)) for a in "xyz"])).alias("far")).collect()[0]
+    span = points.agg(
+        *[(F.max(a) - F.min(a)).alias(a) for a in "xyz"], F.max(F.greatest(*[F.abs(F.col(a)) for a in "xyz"])).alias("far")
+    ).collect()[0]
     reach = queries.agg(F.max(F.greatest(*[F.abs(F.col(a)) for a in "xyz"])).alias("far")).collect()[0]["far"]
     widest = 2 * max(span["far"] or 0.0, reach or 0.0) + cell
     left, done, size = queries.select("id", "x", "y", "z"), None, cell
@@ -157,7 +162,9 @@ def nearest_k(queries: DataFrame, points: DataFrame, cell: float, k: int, other_
         met = _near_cells(grid(left, size), 1).join(held, ["cx", "cy", "cz"]).filter("id2 IS NULL OR id <> id2").withColumn("d", d)
         # the k smallest of each cell, then of all cells around
         low = F.row_number().over(Window.partitionBy("id", "cx", "cy", "cz").orderBy("d"))
-        few = met.withColumn("_n", low).filter(F.col("_n") <= k).groupBy("id").agg(F.slice(F.sort_array(F.collect_list("d")), 1, k).alias("distances"))
+        few = met.withColumn("_n", low).filter(F.col("_n") <= k).groupBy("id").agg(
+            F.slice(F.sort_array(F.collect_list("d")), 1, k).alias("distances")
+        )
         got = left.join(few, "id", "left").withColumn("distances", F.coalesce("distances", F.array().cast("array<double>")))
         got = materialise(got, "nearest")
         settled = F.coalesce(F.try_element_at("distances", F.lit(k)) <= size, F.lit(False))

@@ -65,7 +65,10 @@ def best_images(faces: DataFrame, vertices: DataFrame, images: DataFrame, cal: C
     headon = F.abs(geo.dot(normal, geo.scale(to_cam, 1 / (geo.norm(to_cam) + 1e-12))))
     valid = seen.select("fid", "idx", headon.alias("score"), geo.pixel(cal, _camera("w", c)).alias("p")).filter("p.inside")
     best = valid.groupBy("fid").agg(F.max(F.struct(F.round("score", 9).alias("score"), (-F.col("idx")).alias("neg"))).alias("b"))
-    return faces.select("fid").join(best, "fid", "left").select("fid", F.coalesce(-F.col("b.neg"), F.lit(-1)).cast("long").alias("best_img"), F.coalesce("b.score", F.lit(-1.0)).alias("best_score"))
+    return faces.select("fid").join(best, "fid", "left").select(
+        "fid", F.coalesce(-F.col("b.neg"), F.lit(-1)).cast("long").alias("best_img"),
+        F.coalesce("b.score", F.lit(-1.0)).alias("best_score")
+    )
 
 
 def render(
@@ -92,7 +95,10 @@ def render(
     t = t.filter(" AND ".join(f"r{k} IS NOT NULL AND s{k}.inside" for k in range(3)))
     pix = {}
     for k in range(3):
-        pix |= {f"pu{k}": F.col(f"r{k}.u") / shrink, f"pv{k}": F.col(f"r{k}.v") / shrink, f"tu{k}": F.col(f"s{k}.u"), f"tv{k}": F.col(f"s{k}.v"), f"rz{k}": F.col(f"r{k}.z")}
+        pix |= {
+            f"pu{k}": F.col(f"r{k}.u") / shrink, f"pv{k}": F.col(f"r{k}.v") / shrink, f"tu{k}": F.col(f"s{k}.u"),
+            f"tv{k}": F.col(f"s{k}.v"), f"rz{k}": F.col(f"r{k}.z")
+        }
     t = t.select("fid", "img", *[c.alias(n) for n, c in pix.items()])
     return rasterise(t, cal.width // shrink, cal.height // shrink, cal)
 
@@ -109,12 +115,17 @@ def rasterise(t: DataFrame, width: int, height: int, cal: Calibration) -> DataFr
             geo.barycentric_base(*corner).alias("d"),
         ),
     ).select("*", "box.*")
-    t = t.filter("maxx >= minx AND maxy >= miny").filter((F.col("maxx") - F.col("minx")) * (F.col("maxy") - F.col("miny")) <= MAX_TRIANGLE_PIXELS).filter(F.abs("d") >= 1e-6)
+    t = t.filter("maxx >= minx AND maxy >= miny").filter(
+        (F.col("maxx") - F.col("minx")) * (F.col("maxy") - F.col("miny")) <= MAX_TRIANGLE_PIXELS
+    ).filter(F.abs("d") >= 1e-6)
     t = t.withColumn("yy", F.explode(F.sequence("miny", "maxy"))).withColumn("xx", F.explode(F.sequence("minx", "maxx")))
     a, b, g = geo.barycentric(*corner, F.col("xx"), F.col("yy"), F.col("d"))
     t = t.withColumns({"a": a, "b": b, "g": g}).filter("a >= 0 AND b >= 0 AND g >= 0")
     mixed = lambda n: F.col("a") * F.col(f"{n}0") + F.col("b") * F.col(f"{n}1") + F.col("g") * F.col(f"{n}2")
-    t = t.select("yy", "xx", "fid", "img", mixed("rz").alias("z"), geo.texel(mixed("tu"), cal.width).alias("u"), geo.texel(mixed("tv"), cal.height).alias("v"))
+    t = t.select(
+        "yy", "xx", "fid", "img", mixed("rz").alias("z"), geo.texel(mixed("tu"), cal.width).alias("u"),
+        geo.texel(mixed("tv"), cal.height).alias("v")
+    )
     nearest = t.groupBy("yy", "xx").agg(F.min(F.struct(F.round("z", 9).alias("z"), "fid", "img", "u", "v")).alias("p"))
     return nearest.select("yy", "xx", "p.*")
 

@@ -35,7 +35,10 @@ class _Part(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, topics: set[str] | None, must: str | None, splits: int = 1, only_topics: bool = False, pushdown: bool = False) -> None:
+    def __init__(
+        self, path: str, topics: set[str] | None, must: str | None, splits: int = 1, only_topics: bool = False,
+        pushdown: bool = False
+    ) -> None:
         self.path, self.topics, self.must, self.splits, self.only_topics = path, topics, must, splits, only_topics
         self.pushdown, self.where = pushdown, []  # where: (sign, record time)
 
@@ -151,7 +154,11 @@ def decode_imu(bag: DataFrame) -> DataFrame:
         return pd.DataFrame(rows, columns=list(IMU_FIELDS)).astype({"header_ns": "Int64"} | {c: "float64" for c in IMU_FIELDS[1:]})
 
     got = bag.withColumn("m", decode("data")).filter("m.header_ns IS NOT NULL")
-    return got.select("seq", "record_ns", F.col("m.header_ns").alias("header_ns"), F.array(*[F.col(f"m.{c}") for c in ("qx", "qy", "qz", "qw")]).alias("quat"), F.array("m.gx", "m.gy", "m.gz").alias("gyro"), F.array("m.ax", "m.ay", "m.az").alias("accel"))
+    return got.select(
+        "seq", "record_ns", F.col("m.header_ns").alias("header_ns"),
+        F.array(*[F.col(f"m.{c}") for c in ("qx", "qy", "qz", "qw")]).alias("quat"),
+        F.array("m.gx", "m.gy", "m.gz").alias("gyro"), F.array("m.ax", "m.ay", "m.az").alias("accel")
+    )
 
 
 def stamp(df: DataFrame, basis: str = "header") -> Column:
@@ -161,7 +168,9 @@ def stamp(df: DataFrame, basis: str = "header") -> Column:
 
 def read_calibration(text: str) -> Calibration:
     """From the text of a YAML file with matrices in rows, cols and data; the camera matrix must be there."""
-    found = {m[1]: [float(x) for x in m[2].replace("\n", " ").split(",")] for m in re.finditer(r"(\w+):\s*!!opencv-matrix.*?data:\s*\[(.*?)\]", text, re.S)}
+    found = {
+        m[1]: [float(x) for x in m[2].replace("\n", " ").split(",")] for m in re.finditer(r"(\w+):\s*!!opencv-matrix.*?data:\s*\[(.*?)\]", text, re.S)
+    }
     k = next((found[n] for n in ("K", "camera_matrix") if n in found), None)
     if k is None:
         raise ValueError("no camera matrix K")

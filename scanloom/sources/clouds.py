@@ -81,6 +81,11 @@ def pixel_table(images: DataFrame) -> DataFrame:
                 for v in range(0, row.height, 256):
                     part = image[v : v + 256]
                     y, x = np.mgrid[v : v + len(part), 0 : row.width]
-                    yield pd.DataFrame({"image_id": row.image_id, "u": x.ravel(), "v": y.ravel(), "b": part[:, :, 0].ravel(), "g": part[:, :, 1].ravel(), "r": part[:, :, 2].ravel()})
+                    yield pd.DataFrame(
+                        {
+                            "image_id": row.image_id, "u": x.ravel(), "v": y.ravel(), "b": part[:, :, 0].ravel(),
+                            "g": part[:, :, 1].ravel(), "r": part[:, :, 2].ravel()
+                        }
+                    )
 
     return images.select("image_id", "data", "height", "width", "encoding").mapInPandas(explode, "image_id long, u int, v int, b int, g int, r int")

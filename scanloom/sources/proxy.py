@@ -12,7 +12,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """stream, seq, us, value"""
-    return table(spark, sf_dir, "events").select(F.col("event_type").alias("stream"), F.col("event_id").alias("seq"), F.expr("unix_micros(CAST(ts AS timestamp))").alias("us"), "value")
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("stream"), F.col("event_id").alias("seq"),
+        F.expr("unix_micros(CAST(ts AS timestamp))").alias("us"), "value"
+    )
 
 
 def odom(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +28,10 @@ def odom(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """idx, ns"""
-    return table(spark, sf_dir, "events").select(F.col("event_id").alias("idx"), F.expr("CASE WHEN event_id % 10 = 0 THEN event_id * 4000000 ELSE event_id * 3700001 END").alias("ns"))
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("idx"),
+        F.expr("CASE WHEN event_id % 10 = 0 THEN event_id * 4000000 ELSE event_id * 3700001 END").alias("ns")
+    )
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:

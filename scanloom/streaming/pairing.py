@@ -20,9 +20,13 @@ def pair_streams(left: DataFrame, right: DataFrame, slop_ms: int, late_ms: int,
     bucket = lambda c: F.floor(F.unix_micros(c) / (slop_ms * 1000))
     a = left.select(F.col(id_col).alias("l_id"), F.col(ts).alias("l_ts")).withWatermark("l_ts", f"{late_ms} milliseconds")
     a = a.withColumn("l_b", F.explode(F.array(*[bucket("l_ts") + k for k in (-1, 0, 1)])))
-    b = right.select(F.col(id_col).alias("r_id"), F.col(ts).alias("r_ts")).withWatermark("r_ts", f"{late_ms} milliseconds").withColumn("r_b", bucket("r_ts"))
+    b = right.select(
+        F.col(id_col).alias("r_id"), F.col(ts).alias("r_ts")
+    ).withWatermark("r_ts", f"{late_ms} milliseconds").withColumn("r_b", bucket("r_ts"))
     slop = F.expr(f"INTERVAL {slop_ms} MILLISECONDS")
-    joined = a.join(b, (F.col("l_b") == F.col("r_b")) & (F.col("r_ts") >= F.col("l_ts") - slop) & (F.col("r_ts") <= F.col("l_ts") + slop)).drop("l_b", "r_b")
+    joined = a.join(
+        b, (F.col("l_b") == F.col("r_b")) & (F.col("r_ts") >= F.col("l_ts") - slop) & (F.col("r_ts") <= F.col("l_ts") + slop)
+    ).drop("l_b", "r_b")
     return joined.withColumn("dt_us", F.abs(F.unix_micros("l_ts") - F.unix_micros("r_ts")))
 
 

@@ -82,7 +82,9 @@ def bag(tmp_path_factory):
 def test_odometry_images_and_rejects(spark, bag):
     held = read_bag(spark, bag, topics="/odom")
     got = messages.decode_odometry(held)
-    assert [(r["seq"], r["ns"], r["pos"], r["quat"]) for r in got.orderBy("seq").collect()] == [(i, i * 10, [float(i), 2.0, 3.0], [0.0, 0.0, 0.0, 1.0]) for i in range(4)]
+    assert [
+        (r["seq"], r["ns"], r["pos"], r["quat"]) for r in got.orderBy("seq").collect()
+    ] == [(i, i * 10, [float(i), 2.0, 3.0], [0.0, 0.0, 0.0, 1.0]) for i in range(4)]
     assert tuple(messages.rejects(held, got).collect()[0]) == ("/odom", 5, 4, 1)
     image = messages.decode_images(read_bag(spark, bag, topics="/image")).collect()[0]
     assert (image["header_ns"], image["height"], image["width"], bytes(image["data"])) == (77, 2, 2, bytes(range(1, 13)))
@@ -111,9 +113,14 @@ def test_whole_images_colour_like_a_pixel_table(spark):
     cal = Calibration(rotation=IDENTITY, shift=NO_SHIFT, distortion=(0.0, 0.0, 0.0, 0.0, 0.0))
     wide = np.zeros((cal.height, cal.width, 3), np.uint8)
     wide[500:508, 900:910] = pixels
-    p = [(1, float((900 + i % 10 - cal.cx) / cal.fx), float((500 + i // 10 - cal.cy) / cal.fy), 1.0) for i in range(80)] + [(1, 9.0, 9.0, 1.0), (1, 0.0, 0.0, -1.0)]
+    p = [
+        (1, float((900 + i % 10 - cal.cx) / cal.fx), float((500 + i // 10 - cal.cy) / cal.fy), 1.0) for i in range(80)
+    ] + [(1, 9.0, 9.0, 1.0), (1, 0.0, 0.0, -1.0)]
     points = spark.createDataFrame(p, "image_id long, x double, y double, z double")
-    image = spark.createDataFrame([(1, bytearray(wide.tobytes()), cal.height, cal.width, "bgr8")], "image_id long, data binary, height int, width int, encoding string")
+    image = spark.createDataFrame(
+        [(1, bytearray(wide.tobytes()), cal.height, cal.width, "bgr8")],
+        "image_id long, data binary, height int, width int, encoding string"
+    )
     at = [(1, 900 + x, 500 + y, *map(int, pixels[y, x])) for y in range(8) for x in range(10)]
     table = spark.createDataFrame(at, "image_id long, u int, v int, b int, g int, r int")
     whole = cloud.colourise_frames(points, image, cal).collect()

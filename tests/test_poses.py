@@ -37,7 +37,10 @@ def test_interpolation_is_exact(spark, track):
 
 
 def test_exact_hit_span_and_gap(spark):
-    odom = spark.createDataFrame([(i, int(t * 1e9), [0.0, 0.0, 0.0, 2.0], [float(t), 0.0, 0.0]) for i, t in enumerate((0, 0.1, 2, 2.1))], "seq long, ns long, quat array<double>, pos array<double>")
+    odom = spark.createDataFrame(
+        [(i, int(t * 1e9), [0.0, 0.0, 0.0, 2.0], [float(t), 0.0, 0.0]) for i, t in enumerate((0, 0.1, 2, 2.1))],
+        "seq long, ns long, quat array<double>, pos array<double>"
+    )
     shots = spark.createDataFrame([(0, -1), (1, 0), (2, 50_000_000), (3, 1_000_000_000), (4, 2_000_000_000), (5, 2_200_000_000)], "idx long, ns long")
     got = {r["idx"]: (r["reason"], r["ok"], r["px"], r["qw"]) for r in match_poses(odom, shots, 0.5).collect()}
     assert got[0][:2] == ("out of span", False) and got[5][:2] == ("out of span", False)
@@ -47,7 +50,10 @@ def test_exact_hit_span_and_gap(spark):
 
 
 def test_queries_without_a_stamp_or_group_stay(spark):
-    odom = spark.createDataFrame([("a", 0, 0, [0.0, 0.0, 0.0, 1.0], [1.0, 0.0, 0.0]), (None, 1, 5, [0.0, 0.0, 0.0, 1.0], [2.0, 0.0, 0.0])], "run string, seq long, ns long, quat array<double>, pos array<double>")
+    odom = spark.createDataFrame(
+        [("a", 0, 0, [0.0, 0.0, 0.0, 1.0], [1.0, 0.0, 0.0]), (None, 1, 5, [0.0, 0.0, 0.0, 1.0], [2.0, 0.0, 0.0])],
+        "run string, seq long, ns long, quat array<double>, pos array<double>"
+    )
     shots = spark.createDataFrame([("a", 0, 0), ("a", 1, None), (None, 2, 5), ("b", 3, 5), (None, 4, None)], "run string, idx long, ns long")
     got = {r["idx"]: (r["ok"], r["reason"], r["px"]) for r in match_poses(odom, shots, by=["run"]).collect()}
     assert got == {0: (True, "exact", 1.0), 1: (False, "empty", None), 2: (True, "exact", 2.0), 3: (False, "empty", None), 4: (False, "empty", None)}
@@ -63,7 +69,10 @@ def test_empty_odometry_and_duplicate_stamps(spark):
 
 def test_both_covers_of_a_rotation_give_one_midpoint(spark):
     q = [0.0, 0.0, math.sin(0.1), math.cos(0.1)]
-    df = spark.createDataFrame([([0.0, 0.0, 0.0, 1.0], q, 0.5), ([0.0, 0.0, 0.0, 1.0], [-x for x in q], 0.5)], "a array<double>, b array<double>, u double")
+    df = spark.createDataFrame(
+        [([0.0, 0.0, 0.0, 1.0], q, 0.5), ([0.0, 0.0, 0.0, 1.0], [-x for x in q], 0.5)],
+        "a array<double>, b array<double>, u double"
+    )
     one, two = (r["q"] for r in geo.with_slerp(df, "a", "b", "u", "q").collect())
     assert np.allclose(one, two) and one[2] == pytest.approx(math.sin(0.05))
 

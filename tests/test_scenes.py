@@ -47,7 +47,10 @@ def test_unseen_faces_stay_black_and_all_faces_are_seen(spark, grid):
 
 def test_plane_and_core_find_a_board(spark):
     rng = np.random.default_rng(3)
-    board = [(1, float(x), float(y), 0.8 + float(e), 0.01) for x, y, e in zip(rng.uniform(-0.3, 0.3, 200), rng.uniform(-0.3, 0.3, 200), rng.normal(0, 0.002, 200))]
+    board = [
+        (1, float(x), float(y), 0.8 + float(e), 0.01) for x, y,
+        e in zip(rng.uniform(-0.3, 0.3, 200), rng.uniform(-0.3, 0.3, 200), rng.normal(0, 0.002, 200))
+    ]
     noise = [(1, float(x), float(y), float(z), 0.05) for x, y, z in zip(rng.uniform(-1, 1, 60), rng.uniform(-1, 1, 60), rng.uniform(0.45, 1.15, 60))]
     points = spark.createDataFrame(board + noise + [(2, 0.0, 0.0, 0.8, 0.0)], "scan_id long, x double, y double, z double, time double")
     got = scan.board_plane(points, FLAT, scan.BANDS["near"], 0.02, 1.2, 0.08).collect()

@@ -21,7 +21,9 @@ def test_stream_pairs_equal_batch_pairs(spark, tmp_path):
     rng = np.random.default_rng(2)
     frames = [spark.createDataFrame(list(enumerate(sorted((rng.integers(0, 5000, 50) * 1000).tolist()))), "seq long, us long") for _ in range(2)]
     left, right = (stream(spark, df.select("seq", F.timestamp_micros("us").alias("ts")), str(tmp_path / n)) for df, n in zip(frames, "ab"))
-    finish(pair_streams(left, right, 40, 500).writeStream.format("memory").queryName("pairs").option("checkpointLocation", str(tmp_path / "c")).start())
+    finish(
+        pair_streams(left, right, 40, 500).writeStream.format("memory").queryName("pairs").option("checkpointLocation", str(tmp_path / "c")).start()
+    )
     got = {(r["l_id"], r["r_id"]) for r in nearest(spark.table("pairs")).collect()}
     want = {(r["l_id"], r["r_id"]): max(r["l_us"], r["r_us"]) for r in pair_nearest(*frames, 40_000).collect()}
     assert got == want.keys() and got
@@ -34,7 +36,11 @@ def test_rolling_frames_hold_the_last_scans(spark, tmp_path):
     df = spark.createDataFrame([("l2", i) for i in range(7)] + [("l1", 3), ("l1", 3)], "sensor string, scan_id long")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        finish(rolling_frames(stream(spark, df, str(tmp_path / "s")), 3).writeStream.format("memory").queryName("frames").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start())
+        finish(
+            rolling_frames(
+                stream(spark, df, str(tmp_path / "s")), 3
+            ).writeStream.format("memory").queryName("frames").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
+        )
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     got = {(r["sensor"], r["frame"], r["scan_id"]) for r in spark.table("frames").collect()}
