@@ -97,7 +97,10 @@ class Index:
         return sum(x.nbytes for x in vars(self).values())
 
 
-def make_index(ids: np.ndarray, hashes: list[np.ndarray], question: np.ndarray, item: np.ndarray, number: np.ndarray, term: np.ndarray, impact: np.ndarray) -> Index:
+def make_index(
+    ids: np.ndarray, hashes: list[np.ndarray], question: np.ndarray, item: np.ndarray, number: np.ndarray, term: np.ndarray,
+    impact: np.ndarray
+) -> Index:
     """From items (id, word hashes, words of the question) and postings (place of the item, number of the part, term, impact)."""
     key = item * (int(number.max(initial=0)) + 1) + number
     keys, part = np.unique(key, return_inverse=True)
@@ -131,7 +134,10 @@ def make_index(ids: np.ndarray, hashes: list[np.ndarray], question: np.ndarray,
         essential[t] = False
     words_at = np.concatenate(([0], np.cumsum([len(h) for h in hashes]))).astype(np.int64)
     flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    return Index(terms, np.append(at, len(term)), part, impact, block_at, block, top, peak, essential, rest, item_of_part, ids, flat, words_at, question)
+    return Index(
+        terms, np.append(at, len(term)), part, impact, block_at, block, top, peak, essential, rest, item_of_part, ids, flat,
+        words_at, question
+    )
 
 
 def wand(index: Index, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
@@ -191,7 +197,9 @@ def wand(index: Index, terms: np.ndarray, threshold: float) -> list[tuple[int, f
         order.sort(key=now.__getitem__)
 
 
-def search(texts: pa.Array, index: Index, width: int = WIDTH, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> list[tuple[int, int, float, float, float]]:
+def search(
+    texts: pa.Array, index: Index, width: int = WIDTH, threshold: float = THRESHOLD, overlap: float = OVERLAP
+) -> list[tuple[int, int, float, float, float]]:
     """(text, item, score, question overlap, answer overlap): of each text and item the passage with the best score among
     those that hold enough of the item."""
     w = words(texts)

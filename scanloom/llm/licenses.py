@@ -54,8 +54,14 @@ _BSD_TAIL = (
 TEMPLATES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0<<beginOptional>> (the \"License\")<<endOptional>>"),
     ("mit-notice", "<<beginOptional>>is <<endOptional>>released under the<<beginOptional>> terms of the<<endOptional>> MIT license"),
-    ("gpl-3.0", "licensed under the<<beginOptional>> terms of the<<endOptional>> GNU General Public License<<beginOptional>> as published by the Free Software Foundation<<endOptional>>, version 3"),
-    ("gpl-2.0", "licensed under the<<beginOptional>> terms of the<<endOptional>> GNU General Public License<<beginOptional>> as published by the Free Software Foundation<<endOptional>>, version 2"),
+    (
+        "gpl-3.0",
+        "licensed under the<<beginOptional>> terms of the<<endOptional>> GNU General Public License<<beginOptional>> as published by the Free Software Foundation<<endOptional>>, version 3"
+    ),
+    (
+        "gpl-2.0",
+        "licensed under the<<beginOptional>> terms of the<<endOptional>> GNU General Public License<<beginOptional>> as published by the Free Software Foundation<<endOptional>>, version 2"
+    ),
     ("cc-by-nc-4.0", "licensed under<<beginOptional>> a Creative Commons<<endOptional>> CC BY-NC 4.0"),
     ("cc-by-4.0", "licensed under a Creative Commons Attribution 4.0 International License"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -220,7 +226,9 @@ def compile_templates(templates: Sequence[tuple[str, str]]) -> Automaton:
         final[at] = label
         wording.append(tuple(mandatory))
     made = Automaton(
-        tuple({w: tuple(t) for w, t in x.items()} for x in step), tuple(map(tuple, skip)), tuple(map(tuple, anything)), final, tuple(wording), frozenset(), {}
+        tuple(
+            {w: tuple(t) for w, t in x.items()} for x in step
+        ), tuple(map(tuple, skip)), tuple(map(tuple, anything)), final, tuple(wording), frozenset(), {}
     )
     starts = made.closed([0])
     if any(anything[s] for s in starts):
@@ -278,5 +286,8 @@ def scan_licenses(
 
     text = text_of(text_col)
     maybe = text.rlike("(?i)" + "|".join(re.escape(a) for a in anchors(automaton, phrases)))
-    rows = docs.select(F.col(id_col).alias("id"), F.regexp_count(text, F.lit(_ANY_CASE_WORD)).cast("long").alias("n_words"), F.when(maybe, text).alias("text"))
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.regexp_count(text, F.lit(_ANY_CASE_WORD)).cast("long").alias("n_words"),
+        F.when(maybe, text).alias("text")
+    )
     return rows.select(F.col("id").alias(id_col), "n_words", scan("text").alias("x")).select(id_col, "n_words", "x.*")

@@ -83,7 +83,10 @@ def _halves(large: DataFrame) -> DataFrame:
             segment_keys(rest, n, 1, F.col("key")),
             (0, 0, 1, 1),
             # the first segment leaves what follows it, the second what precedes it
-            [F.substring(rest, at + size + 1, n) if i % 2 == 0 else F.substring(rest, F.lit(1), at) for i, (_, _, at, size) in enumerate(segment_keys(rest, n, 1))],
+            [
+                F.substring(rest, at + size + 1, n) if i % 2 == 0 else F.substring(rest, F.lit(1), at) for i,
+                (_, _, at, size) in enumerate(segment_keys(rest, n, 1))
+            ],
         )
     ]
     end = lambda cond, owns, *parts: F.struct(F.when(cond, F.xxhash64("key", *parts)).alias("key"), F.lit(owns).alias("owns"), F.lit("").alias("rest"), F.lit(True).alias("last"))

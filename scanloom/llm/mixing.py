@@ -147,7 +147,10 @@ def mix_to_weights(
     quotas = (
         counts.withColumn("earlier", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .join(fitted, ["src", "size"])
-        .select("src", "size", "salt", "source_size", "target", "whole", F.least("n", F.greatest(F.lit(0), F.col("quota") - F.col("earlier"))).alias("quota"))
+        .select(
+            "src", "size", "salt", "source_size", "target", "whole",
+            F.least("n", F.greatest(F.lit(0), F.col("quota") - F.col("earlier"))).alias("quota")
+        )
     )
     place = Window.partitionBy("src", "size", "salt").orderBy("rank", "id")
     return (
@@ -173,7 +176,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     place = F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("copies"))
     taken = materialise(mixed.select(*key, "copies").withColumn("_place", place), "mix-taken").filter("copies > 0")
     whole = F.struct(*[F.col(c) for c in docs.columns])
-    own = docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"), n_words(text_of(text_col)).alias("_size"), F.xxhash64(text_col).alias("_hash"), whole.alias("_row"))
+    own = docs.select(
+        F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"),
+        n_words(text_of(text_col)).alias("_size"), F.xxhash64(text_col).alias("_hash"), whole.alias("_row")
+    )
     own = own.withColumn("_place", F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("_hash")))
     other = taken.select(*[F.col(c).alias(f"{c}2") for c in ("_id", "_source", "_size", "_place")], "copies")
     same = F.col("_size") == F.col("_size2")

@@ -80,7 +80,9 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None
     from_start = F.expr("sum(size) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
     placed = lengths.withColumn("start", F.coalesce(from_start, F.lit(0))).filter("c IS NOT NULL")
     first = F.min(F.struct("start", "c.before", "c.after")).alias("f")
-    found = placed.groupBy("row", F.col("c.value").alias("value")).agg(F.any_value("id").alias("id"), F.any_value("path").alias("path"), F.count("*").alias("places"), first)
+    found = placed.groupBy("row", F.col("c.value").alias("value")).agg(
+        F.any_value("id").alias("id"), F.any_value("path").alias("path"), F.count("*").alias("places"), first
+    )
     return found.select("row", "id", "path", "value", "places", "f.*")
 
 
@@ -168,9 +170,15 @@ def derived_findings(docs: DataFrame, rows: int = 400, id_col: str = "doc_id", t
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     lead = F.substring(F.translate(text, _CUT, " "), 60, CONTEXT - 12)
     words = F.split(F.trim(F.regexp_replace(F.substring(text, 1, 400), "[^A-Za-z]+", " ")), " ")
-    base = some.orderBy("_rank").limit(50).select(path.alias("path"), lead.alias("lead"), words.alias("words"), F.col("_rank").cast("string").alias("r"), F.explode(F.sequence(F.lit(1), F.lit(8))).alias("k"))
+    base = some.orderBy("_rank").limit(50).select(
+        path.alias("path"), lead.alias("lead"), words.alias("words"), F.col("_rank").cast("string").alias("r"),
+        F.explode(F.sequence(F.lit(1), F.lit(8))).alias("k")
+    )
     base = base.withColumn("salt", F.concat("r", F.lit(":"), F.col("k").cast("string")))
-    each = [F.struct(v.alias("value"), F.concat("lead", F.lit(b)).alias("before"), F.lit('" ').alias("after"), F.lit(y).alias("label")) for v, b, y in _made("words", F.col("salt"))]
+    each = [
+        F.struct(v.alias("value"), F.concat("lead", F.lit(b)).alias("before"), F.lit('" ').alias("after"), F.lit(y).alias("label")) for v,
+        b, y in _made("words", F.col("salt"))
+    ]
     made = base.select("path", F.explode(F.array(*each)).alias("x")).select("path", "x.*")
     own = candidates(some, id_col, text_col, path_col)
     doubtful = F.col("before").rlike(NAMES) | F.col("value").rlike("^" + _PROVIDED)
@@ -193,7 +201,10 @@ def train_forest(findings: DataFrame, language: DataFrame, trees: int = 24, dept
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, subsamplingRate=0.8).fit(table)
 
 
-def scan_secrets(docs: DataFrame, model, language: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
+def scan_secrets(
+    docs: DataFrame, model, language: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
+    path_col: str | None = "source"
+) -> DataFrame:
     """(id, start, length, places, value_sha1, score) of candidates whose score reaches the threshold; start counts
     code points from 0, and the value itself isn't repeated."""
     found = _features(candidates(docs, id_col, text_col, path_col), language)
@@ -210,5 +221,8 @@ def scan_corpus(docs: DataFrame, findings: DataFrame | None = None, **columns) -
     if findings is None:
         findings = derived_findings(docs, **columns)
         if docs.isEmpty():  # nothing to learn from, nor to scan
-            return docs.sparkSession.createDataFrame([], f"{columns.get('id_col', 'doc_id')} {docs.schema[columns.get('id_col', 'doc_id')].dataType.simpleString()}, start long, length long, places long, value_sha1 string, score double")
+            return docs.sparkSession.createDataFrame(
+                [],
+                f"{columns.get('id_col', 'doc_id')} {docs.schema[columns.get('id_col', 'doc_id')].dataType.simpleString()}, start long, length long, places long, value_sha1 string, score double"
+            )
     return scan_secrets(docs, train_forest(findings, language), language, **columns)

@@ -157,7 +157,12 @@ def train(texts: list[str], toxic: np.ndarray, prior: float, rounds: int = 30, r
     step = np.searchsorted(lanes.at, now, side="right") - 1
     before = lanes.at[step - 1] + now - lanes.at[step]
     g2, b2, c2 = np.full(1 << BITS, 1e-8), 1e-8, np.full((2, 2), 1e-8)
-    seen_pairs = np.array([[((1 - yl[before]) * (1 - yl[now])).sum(), ((1 - yl[before]) * yl[now]).sum()], [(yl[before] * (1 - yl[now])).sum(), (yl[before] * yl[now]).sum()]])
+    seen_pairs = np.array(
+        [
+            [((1 - yl[before]) * (1 - yl[now])).sum(), ((1 - yl[before]) * yl[now]).sum()],
+            [(yl[before] * (1 - yl[now])).sum(), (yl[before] * yl[now]).sum()]
+        ]
+    )
     scale = 1.0 / max(1.0, y.sum())
     for _ in range(rounds):
         e = np.empty(len(y))
@@ -194,9 +199,13 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 5 == 0
 
 
-def fit_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_train_chars: int, id_col: str, text_col: str, seed: int) -> tuple[list[str], np.ndarray, float]:
+def fit_sample(
+    docs: DataFrame, labels: DataFrame, per_class: int, max_train_chars: int, id_col: str, text_col: str, seed: int
+) -> tuple[list[str], np.ndarray, float]:
     """Texts and labels of a bounded sample of rows that are not held out, and the share of toxic labels."""
-    learn = labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & ~is_held_out(F.col(id_col))).select(F.col(id_col).alias("_key"), F.col("toxic").cast("int").alias("toxic"))
+    learn = labels.filter(
+        F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & ~is_held_out(F.col(id_col))
+    ).select(F.col(id_col).alias("_key"), F.col("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in learn.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
     by_hash = [F.xxhash64(F.lit(seed), F.col("_key").cast("string")), F.col("_key")]
@@ -256,5 +265,8 @@ def spans_of(w: Words, m: np.ndarray) -> pa.Array:
     offsets = np.concatenate(([0], np.cumsum(np.bincount(text[fresh], minlength=len(w)))))
     return pa.ListArray.from_arrays(
         pa.array(offsets, pa.int32()),
-        pa.StructArray.from_arrays([pa.array(points[w.first[first]] - base, pa.int32()), pa.array(points[w.end[last]] - base, pa.int32())], ["start", "end"]),
+        pa.StructArray.from_arrays(
+            [pa.array(points[w.first[first]] - base, pa.int32()), pa.array(points[w.end[last]] - base, pa.int32())],
+            ["start", "end"]
+        ),
     )

@@ -259,10 +259,20 @@ class _Writer(DataSourceArrowWriter):
             if out is None and batch.num_rows:
                 fs.create_dir(staged.rpartition("/")[0], recursive=True)
                 out = fs.open_output_stream(staged, compression=None)
-            cols = [batch.column(n) for n in ("record_id", "record_type", "target_uri", "warc_date", "payload_digest", "refers_to", "payload_bytes", "payload")]
+            cols = [
+                batch.column(n) for n in (
+                    "record_id", "record_type", "target_uri", "warc_date", "payload_digest", "refers_to", "payload_bytes",
+                    "payload"
+                )
+            ]
             for i in range(batch.num_rows):
                 rid, kind, uri, date, digest, refers, n_bytes, payload = (c[i] for c in cols)
-                out.write(_record(rid.as_py(), kind.as_py(), uri.as_py(), date.as_py(), digest.as_py(), refers.as_py(), n_bytes.as_py(), payload.as_py() or b"", self.level))
+                out.write(
+                    _record(
+                        rid.as_py(), kind.as_py(), uri.as_py(), date.as_py(), digest.as_py(), refers.as_py(), n_bytes.as_py(),
+                        payload.as_py() or b"", self.level
+                    )
+                )
         if out is None:
             return _Written(None, None)
         out.close()
@@ -286,7 +296,11 @@ class _Writer(DataSourceArrowWriter):
 
 
 def _record(rid, kind, uri, date, digest, refers, n_bytes, payload: bytes, level: int) -> bytes:
-    fields = [("WARC-Type", kind), ("WARC-Record-ID", rid or f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", date or "1970-01-01T00:00:00Z"), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", digest), ("WARC-Refers-To", refers)]
+    fields = [
+        ("WARC-Type", kind), ("WARC-Record-ID", rid or f"<urn:uuid:{uuid.uuid4()}>"),
+        ("WARC-Date", date or "1970-01-01T00:00:00Z"), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", digest),
+        ("WARC-Refers-To", refers)
+    ]
     if kind == "revisit":
         fields.append(("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
     fields += [("X-Payload-Bytes", n_bytes), ("Content-Type", "text/html"), ("Content-Length", len(payload))]
@@ -342,7 +356,10 @@ def page_of(rid: Column) -> Column:
     return F.regexp_extract(rid, r"<urn:page:(-?\d+)>", 1).try_cast("long")
 
 
-def archive_pages(pages: DataFrame, path: str, min_revisit_bytes: int = 1000, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
+def archive_pages(
+    pages: DataFrame, path: str, min_revisit_bytes: int = 1000, id_col: str = "page_id", url_col: str = "url",
+    html_col: str = "html"
+) -> None:
     """Write one record per page. Of pages with the same payload of at least `min_revisit_bytes`, that with the
     largest id is the response and the others are revisits without a payload. A page without id, and repeats of
     the response's own id, are responses.
@@ -353,7 +370,9 @@ def archive_pages(pages: DataFrame, path: str, min_revisit_bytes: int = 1000, id
     pages.sparkSession.dataSource.register(WarcDataSource)
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("uri"), F.encode(text_of(html_col), "UTF-8").alias("payload"))
     rows = rows.withColumns({"sha1": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
-    shared = rows.filter(F.col("payload_bytes") >= min_revisit_bytes).groupBy("sha1", "payload_bytes").agg(F.max("id").alias("first"), F.count("*").alias("n"))
+    shared = rows.filter(F.col("payload_bytes") >= min_revisit_bytes).groupBy("sha1", "payload_bytes").agg(
+        F.max("id").alias("first"), F.count("*").alias("n")
+    )
     shared = materialise(shared.filter("n > 1 AND first IS NOT NULL").drop("n"), "warc-shared")
     again = F.col("first").isNotNull() & F.col("id").isNotNull() & (F.col("id") < F.col("first"))
     (
