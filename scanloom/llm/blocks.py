@@ -29,7 +29,7 @@ CELL_ROWS = 2048
 CELL_BYTES = 4 << 20
 #: Larger blocks are split by rare items first; below, cells are cheaper.
 SPLIT_ROWS = 1 << 16
-#: Block sizes (16 bytes each) up to which they are broadcast.
+#: Block sizes, or digests, (16 bytes each) up to which they are broadcast.
 BROADCAST_KEYS = 500_000
 #: Buckets of the item counts that rule pairs out, and counts up to which they are compared by bucket.
 BUCKETS = 1024

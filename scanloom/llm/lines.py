@@ -5,9 +5,9 @@ edits around it. Each distinct line therefore owns one key for each of its segme
 probes the keys that lines as long or up to `edits` shorter would own. Lines that meet are compared by banded
 bit-parallel edit distance; classes are the connected components of the links.
 
-Data flow: exact copies meet first, aggregated map-side to one row (digest, line, keys, copies) each, so that a line which
-a third of all documents share is one row from there on; one join on the key follows. All lines of a block are compared with one of them, then all pairs that are still in different classes,
-in cells of bounded size (blocks.py). With one edit, a block of very many lines is first split again by the same rule on
+Data flow: exact copies meet first, aggregated map-side to one row (digest, line, copies) each, so that a line which
+a third of all documents share is one row from there on; one join on the key follows. All lines of a block are compared
+with one of them, then all pairs that are still in different classes, in cells of bounded size (blocks.py). With one edit, a block of very many lines is first split again by the same rule on
 what the shared segment leaves of the lines, which halves it each round; that finds the same links. Pairs, links and
 classes stay in tables in the shared folder.
 
@@ -109,8 +109,11 @@ def line_links(distinct: DataFrame, edits: int, split_rows: int = blocks.SPLIT_R
     each = [F.struct(F.col(f"k{j}").alias("key"), F.lit(owns).alias("owns"), F.lit(j).alias("j")) for j, (_, owns, _, _) in enumerate(keys)]
     rows = numbers.select("node", F.explode(F.array(*each)).alias("x")).select("node", "x.*").filter("key IS NOT NULL")
     first = materialise(blocks.sized(rows), "line-blocks")
-    needed = first.select(F.col("node").alias("digest")).distinct()
-    texts = materialise(distinct.select("digest", "line").join(needed, "digest", "left_semi"), "line-texts")
+    needed = materialise(first.select(F.col("node").alias("digest")).distinct(), "line-needed")
+    # while these are few they are broadcast, so that the texts of all other lines needn't be shuffled to be dropped
+    few = needed.count() <= blocks.BROADCAST_KEYS
+    texts = distinct.select("digest", "line").join(F.broadcast(needed) if few else needed, "digest", "left_semi")
+    texts = materialise(texts, "line-texts")
 
     held = first.select("key", "node", "owns", "n")
     huge = first.filter(F.col("n") > split_rows)
