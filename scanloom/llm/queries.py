@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from scanloom.llm.decontaminate import find_leaks
 from scanloom.llm.lines import line_report
 from scanloom.llm.omh import near_duplicates
 from scanloom.llm.quality import quality_report
+from scanloom.llm.runs import digests, find_runs
 from scanloom.llm.secrets import scan_corpus
 from scanloom.llm.toxicity import score_toxicity
 from scanloom.llm.warc import archived_pages
@@ -62,6 +64,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def with_repeats(doc_id: object, words: list[bytes]) -> list[bytes]:
+    """The contract's rewriting: in documents whose id's checksum is divisible by 10, the words from a place on repeat the first p
+    of them."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(find_runs(table(spark, sf_dir, "documents"), edit=with_repeats))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_urls": op2_urls,
@@ -73,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
+    "op11_runs": op11_runs,
 }
 
 ORACLES: dict[str, str] = {

@@ -55,17 +55,25 @@ class Words:
         return np.arange(len(self.hashes)) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
 
 
-def words(texts: pa.Array) -> Words:
-    """`texts`: string array; null counts as empty."""
-    texts = texts.cast(pa.large_string())
+def not_of(separators: bytes) -> np.ndarray:
+    """Words that are runs of all bytes but these."""
+    out = np.ones(256, bool)
+    out[list(separators)] = False
+    return out
+
+
+def words(texts: pa.Array, inside_word: np.ndarray = _IS_WORD, lower: bool = True) -> Words:
+    """`texts`: string or binary array; null counts as empty. inside_word: which of the 256 byte values words are made of."""
+    texts = texts.cast(pa.large_binary())
     if texts.null_count:
-        texts = texts.fill_null("")
+        texts = texts.fill_null(b"")
     _, offsets, data = texts.buffers()
     ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
     lo, hi = int(ends[0]), int(ends[-1])
-    raw = _LOWER[np.frombuffer(data, np.uint8)[lo:hi]] if data is not None and hi > lo else np.zeros(0, np.uint8)
+    raw = np.frombuffer(data, np.uint8)[lo:hi] if data is not None and hi > lo else np.zeros(0, np.uint8)
+    raw = _LOWER[raw] if lower else raw
     base = ends - lo
-    inside = _IS_WORD[raw]
+    inside = inside_word[raw]
     edge = np.empty(len(raw) + 1, bool)
     edge[0], edge[-1] = len(raw) > 0 and inside[0], False
     edge[1:-1] = inside[1:] & ~inside[:-1]
