@@ -323,8 +323,8 @@ WITH d AS (
 ), c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM g WHERE k > 1 AND f >= 100
 ), cut AS (SELECT *, unnest(range(1, k)) AS cut FROM c
 ), s AS (
-  SELECT lang, phrase, a, k, n, cut, x.f AS l, y.f AS r, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
-  FROM cut JOIN n USING (lang)
+  SELECT cut.lang, cut.phrase, a, cut.k, n, cut, x.f AS l, y.f AS r, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cut JOIN n ON n.lang = cut.lang
   JOIN g x ON x.lang = cut.lang AND x.phrase = array_to_string(ws[1:cut], ' ')
   JOIN g y ON y.lang = cut.lang AND y.phrase = array_to_string(ws[cut + 1:], ' ')
 ), b AS (
