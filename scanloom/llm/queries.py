@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scanloom.llm.common import table
 from scanloom.llm.mixing import mix_to_weights
-from scanloom.llm import collocations, urls
+from scanloom.llm import collocations, jaccard, urls
 from scanloom.llm.licenses import scan_licenses
 from scanloom.llm.decontaminate import find_leaks
 from scanloom.llm.lines import line_report
@@ -84,6 +84,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_urls": op2_urls,
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_runs": op11_runs,
     "op12_collocations": op12_collocations,
+    "op13_jaccard": op13_jaccard,
 }
 
 ORACLES: dict[str, str] = {
@@ -111,6 +116,7 @@ FROM f
 """,
     "op2_urls": urls.oracle(),
     "op12_collocations": collocations.ORACLE,
+    "op13_jaccard": jaccard.ORACLE,
     "op8_quality": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
