@@ -1,18 +1,24 @@
 """Texturing a mesh from posed images: best image per face, and a z-buffer render as an aggregation.
 
 Tables: vertices (vid, x, y, z); faces (fid, i0, i1, i2); images (idx, r: nine numbers by row, t: three), the sensor's pose in
-the world; pixels (idx, u, v, b, g, r). Posed images are joined to faces by broadcast in blocks of `MAX_IMAGES`, assigned images,
-vertices and pixels on their keys."""
+the world; pixels (idx, u, v, b, g, r). Faces meet those images only whose view reaches their cell of space (frustum.py); assigned
+images, vertices and pixels are joined on their keys."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanloom.functions import geo
 from scanloom.functions.calibration import Calibration
+from scanloom.operators import frustum
 
-MAX_IMAGES = 10_000
+#: Faces to a cell of space, if they cover a surface evenly; faces and cameras of a block; pairs that are in arrays at once.
+CELL_FACES = 256
+CHUNK = 4096
+PAIRS = 1 << 18
 MAX_TRIANGLE_PIXELS = 8000
 
 
@@ -42,29 +48,73 @@ def _camera(w: str, p: geo.Vec) -> tuple:
     return geo.transform([[m[3 * i + j] for j in range(3)] for i in range(3)], [m[9 + i] for i in range(3)], p)
 
 
-def best_images(faces: DataFrame, vertices: DataFrame, images: DataFrame, cal: Calibration, block_images: int = MAX_IMAGES) -> DataFrame:
-    """Per face: best_img (-1 if none sees it) and best_score, the absolute cosine between the face's normal and the direction to
-    the camera, over images with the face's centre in front and in frame. Of equal scores the lowest image wins."""
-    blocks = max(1, -(-images.count() // block_images))
+def _scores(c: np.ndarray, n: np.ndarray, w: np.ndarray, cal: Calibration) -> np.ndarray:
+    """Of faces (centres c, normals n) by cameras (w): the absolute cosine between the normal and the direction to the camera, -1 where
+    the centre isn't in front and in frame."""
+    turn, shift = w[:, :9].reshape(-1, 3, 3), w[:, 9:]
+    x, y, z = (c[:, 0:1] * turn[:, i, 0] + c[:, 1:2] * turn[:, i, 1] + c[:, 2:3] * turn[:, i, 2] + shift[:, i] for i in range(3))
+    front = z > 0
+    safe = np.where(front, z, 1.0)
+    x, y = x / safe, y / safe
+    k1, k2, p1, p2, k3 = cal.distortion
+    r2 = x * x + y * y
+    radial = 1 + r2 * (k1 + r2 * (k2 + r2 * k3))
+    u = cal.fx * (x * radial + 2 * p1 * x * y + p2 * (r2 + 2 * x * x)) + cal.cx
+    v = cal.fy * (y * radial + p1 * (r2 + 2 * y * y) + 2 * p2 * x * y) + cal.cy
+    inside = front & (u >= 0) & (u < cal.width) & (v >= 0) & (v < cal.height)
+    eye = -(turn * shift[:, :, None]).sum(axis=1)
+    to = [eye[:, i] - c[:, i : i + 1] for i in range(3)]
+    far = 1 / (np.sqrt(to[0] * to[0] + to[1] * to[1] + to[2] * to[2]) + 1e-12)
+    headon = np.abs(sum(n[:, i : i + 1] * (to[i] * far) for i in range(3)))
+    return np.where(inside, headon, -1.0)
+
+
+def _best_of(faces: pa.Table, cameras: pa.Table, cal: Calibration) -> pa.Table:
+    """(fid, idx, score): each face's best camera; of scores equal to nine places the lowest idx."""
+    array = lambda t, name, width: np.array(t[name].to_pylist(), float).reshape(-1, width)
+    order = np.argsort(cameras["idx"].to_numpy(), kind="stable")
+    idx, w = cameras["idx"].to_numpy()[order], array(cameras, "w", 12)[order]
+    c, n = array(faces, "c", 3), array(faces, "n", 3)
+    best, at = np.full(len(c), -1.0), np.zeros(len(c), np.int64)
+    for lo in range(0, len(c), max(1, PAIRS // max(1, len(idx)))):
+        part = slice(lo, lo + max(1, PAIRS // max(1, len(idx))))
+        if len(idx):
+            score = np.floor(_scores(c[part], n[part], w, cal) * 1e9 + 0.5)
+            at[part] = score.argmax(axis=1)
+            best[part] = np.take_along_axis(score, at[part][:, None], 1)[:, 0] / 1e9
+    seen = best >= 0
+    kept = idx[at[seen]] if len(idx) else idx
+    return pa.table([faces["fid"].filter(pa.array(seen)), pa.array(kept, pa.int64()), pa.array(best[seen])], names=["fid", "idx", "score"])
+
+
+def seen_pairs(faces: DataFrame, vertices: DataFrame, images: DataFrame, cal: Calibration, cell_faces: int = CELL_FACES) -> tuple[DataFrame, DataFrame]:
+    """Faces (fid, c, n, cell) and cameras (cell, idx, w): a face can be seen by the cameras of its cell only."""
     corners = gather_corners(faces, vertices)
     p = [geo.cols(f"x{k}", f"y{k}", f"z{k}") for k in range(3)]
     centre = geo.scale(geo.add(geo.add(p[0], p[1]), p[2]), F.lit(1 / 3))
     flat = corners.select("fid", F.array(*centre).alias("c"), F.array(*geo.face_normal(*p)).alias("n"))
-    poses = world_to_camera_table(images, cal)
-    # Faces times keyframes is the operator's own definition. Keyframes are broadcast in blocks of a bounded size, and each pair
-    # becomes one number, of which an aggregation with map-side combine keeps the best.
-    seen = None
-    for k in range(blocks):
-        block = poses if blocks == 1 else poses.filter(F.pmod(F.xxhash64("idx"), F.lit(blocks)) == k)
-        part = flat.crossJoin(F.broadcast(block))
-        seen = part if seen is None else seen.unionByName(part)
-    c, normal = geo.of_array(F.col("c"), 3), geo.of_array(F.col("n"), 3)
-    m = F.col("w")
-    eye = [-geo.dot([m[3 * j + i] for j in range(3)], [m[9 + j] for j in range(3)]) for i in range(3)]
-    to_cam = geo.sub(eye, c)
-    headon = F.abs(geo.dot(normal, geo.scale(to_cam, 1 / (geo.norm(to_cam) + 1e-12))))
-    valid = seen.select("fid", "idx", headon.alias("score"), geo.pixel(cal, _camera("w", c)).alias("p")).filter("p.inside")
-    best = valid.groupBy("fid").agg(F.max(F.struct(F.round("score", 9).alias("score"), (-F.col("idx")).alias("neg"))).alias("b"))
+    placed, levels = frustum.with_cells(flat, "c", cell_faces)
+    cameras = frustum.seen_cells(placed, "c", levels, world_to_camera_table(images, cal), cal)
+    return placed.select("fid", "c", "n", frustum.cell_of(0, "_ix", "_iy", "_iz").alias("cell")), cameras
+
+
+def best_images(faces: DataFrame, vertices: DataFrame, images: DataFrame, cal: Calibration, cell_faces: int = CELL_FACES, chunk: int = CHUNK) -> DataFrame:
+    """Per face: best_img (-1 if none sees it) and best_score, the absolute cosine between the face's normal and the direction to
+    the camera, over images with the face's centre in front and in frame. Of equal scores the lowest image wins.
+
+    Faces meet the cameras of their cell, in blocks of about `chunk` of either; each block gives a face's best, an aggregation the
+    best of all."""
+    flat, cameras = seen_pairs(faces, vertices, images, cal, cell_faces)
+    parts = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count("*") / chunk).cast("int").alias(name))
+    sizes = parts(flat, "nf").join(parts(cameras, "nc"), "cell")
+    part = lambda by, of: F.pmod(F.xxhash64(by), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    mine = flat.join(sizes, "cell").withColumn("fc", part("fid", "nf")).withColumn("cc", every("nc"))
+    theirs = cameras.join(sizes, "cell").withColumn("cc", part("idx", "nc")).withColumn("fc", every("nf"))
+    key = ["cell", "fc", "cc"]
+    blocks = mine.select(*key, "fid", "c", "n").groupBy(*key).cogroup(theirs.select(*key, "idx", "w").groupBy(*key))
+    found = blocks.applyInArrow(lambda f, c: _best_of(f, c, cal), "fid long, idx long, score double")
+    best = found.groupBy("fid").agg(F.max(F.struct(F.round("score", 9).alias("score"), (-F.col("idx")).alias("neg"))).alias("b"))
     return faces.select("fid").join(best, "fid", "left").select(
         "fid", F.coalesce(-F.col("b.neg"), F.lit(-1)).cast("long").alias("best_img"),
         F.coalesce("b.score", F.lit(-1.0)).alias("best_score")

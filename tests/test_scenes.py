@@ -42,7 +42,112 @@ def test_unseen_faces_stay_black_and_all_faces_are_seen(spark, grid):
     best = texture.best_images(faces, vertices, images, FLAT)
     assert texture.seen_share(best).collect()[0][0] == 1.0
     assert {r["best_img"] for r in best.collect()} == {0}  # equal scores: the lowest image
-    assert sorted(texture.best_images(faces, vertices, images, FLAT, block_images=1).collect()) == sorted(best.collect())
+    for size, chunk in ((1, 1), (4, 7)):
+        assert sorted(texture.best_images(faces, vertices, images, FLAT, size, chunk).collect()) == sorted(best.collect())
+
+
+def room(spark, n_images, seed=5):
+    """A box of 12 x 8 x 5 with cameras inside that look all ways."""
+    rng = np.random.default_rng(seed)
+    size, v, f = np.array([12.0, 8.0, 5.0]), [], []
+    for axis in range(3):
+        for end in (0.0, size[axis]):
+            a, b = [k for k in range(3) if k != axis]
+            base, na, nb = len(v), 14, 11
+            for i in range(na):
+                for j in range(nb):
+                    p = np.zeros(3)
+                    p[axis], p[a], p[b] = end, size[a] * i / (na - 1), size[b] * j / (nb - 1)
+                    v.append((len(v), *p.tolist()))
+            for i in range(na - 1):
+                for j in range(nb - 1):
+                    k = base + i * nb + j
+                    f += [(len(f), k, k + 1, k + nb), (len(f) + 1, k + 1, k + nb + 1, k + nb)]
+    images = []
+    for i in range(n_images):
+        q = rng.normal(size=4)
+        x, y, z, w = (q / np.linalg.norm(q)).tolist()
+        r = [1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w), 2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w)]
+        r += [2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)]
+        images.append((i, r, rng.uniform(size * 0.1, size * 0.9).tolist()))
+    frame = spark.createDataFrame
+    return frame(f, "fid long, i0 long, i1 long, i2 long"), frame(v, "vid long, x double, y double, z double"), frame(images, "idx long, r array<double>, t array<double>")
+
+
+def brute_best(faces, vertices, images, cal):
+    v = {r["vid"]: np.array([r["x"], r["y"], r["z"]]) for r in vertices.collect()}
+    world = {r["idx"]: (np.array(r["w"][:9]).reshape(3, 3), np.array(r["w"][9:])) for r in texture.world_to_camera_table(images, cal).collect()}
+    k1, k2, p1, p2, k3 = cal.distortion
+    out, seen = {}, 0
+    for f in faces.collect():
+        a, b, c = v[f["i0"]], v[f["i1"]], v[f["i2"]]
+        n, m, best = np.cross(b - a, c - a), (a + b + c) / 3, (-1.0, 1)
+        n = n / (np.linalg.norm(n) + 1e-12)
+        for idx in sorted(world):
+            r, t = world[idx]
+            p = r @ m + t
+            if p[2] <= 0:
+                continue
+            x, y = p[0] / p[2], p[1] / p[2]
+            r2 = x * x + y * y
+            g = 1 + k1 * r2 + k2 * r2**2 + k3 * r2**3
+            u = cal.fx * (x * g + 2 * p1 * x * y + p2 * (r2 + 2 * x * x)) + cal.cx
+            w = cal.fy * (y * g + p1 * (r2 + 2 * y * y) + 2 * p2 * x * y) + cal.cy
+            if 0 <= u < cal.width and 0 <= w < cal.height:
+                seen += 1
+                to = -r.T @ t - m
+                best = max(best, (round(abs(float(n @ to / (np.linalg.norm(to) + 1e-12))), 9), -idx))
+        out[f["fid"]] = (best[0], -best[1])
+    return out, seen
+
+
+def test_cameras_inside_a_room_meet_what_they_may_see(spark):
+    cal = Calibration()
+    faces, vertices, images = room(spark, 40)
+    wanted, seen = brute_best(faces, vertices, images, cal)
+    got = {r["fid"]: (r["best_score"], r["best_img"]) for r in texture.best_images(faces, vertices, images, cal, 8, 50).collect()}
+    assert got.keys() == wanted.keys()
+    for fid, (score, idx) in wanted.items():
+        assert got[fid][0] == pytest.approx(score, abs=2e-9) and (got[fid][1] == idx or score < 0)
+    flat, cameras = texture.seen_pairs(faces, vertices, images, cal, 8)
+    met, product = flat.join(cameras, "cell").count(), faces.count() * images.count()
+    print(f"pairs met {met}, seen {seen}, of {product}")
+    assert seen <= met < 0.25 * product
+
+
+def test_a_long_corridor_meets_under_a_tenth(spark):
+    """Cameras that look across a corridor see little of it."""
+    n, m = 400, 4
+    v = [(i * m + j, 0.25 * i, 1.0, 0.8 * j) for i in range(n) for j in range(m)]
+    f = [(2 * (i * m + j) + k, i * m + j + k, i * m + j + 1 + (m if k else 0), (i + 1) * m + j) for i in range(n - 1) for j in range(m - 1) for k in (0, 1)]
+    across = [1.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, -1.0, 0.0]  # the sensor's z along the corridor's y
+    images = [(i, across, [i * 2.0, 0.0, 1.0]) for i in range(50)]
+    frame = spark.createDataFrame
+    faces, vertices = frame(f, "fid long, i0 long, i1 long, i2 long"), frame(v, "vid long, x double, y double, z double")
+    images = frame(images, "idx long, r array<double>, t array<double>")
+    wanted, seen = brute_best(faces, vertices, images, FLAT)
+    got = {r["fid"]: (r["best_score"], r["best_img"]) for r in texture.best_images(faces, vertices, images, FLAT, 16).collect()}
+    assert all(got[k][0] == pytest.approx(s, abs=2e-9) and (got[k][1] == i or s < 0) for k, (s, i) in wanted.items())
+    flat, cameras = texture.seen_pairs(faces, vertices, images, FLAT, 16)
+    met, product = flat.join(cameras, "cell").count(), faces.count() * images.count()
+    print(f"pairs met {met}, seen {seen}, of {product}")
+    assert seen and seen <= met < 0.1 * product
+
+
+def test_bounds_of_rays():
+    from scanloom.operators.frustum import ray_bounds
+
+    cal = Calibration()
+    bx, by = ray_bounds(cal)
+    x, y = np.meshgrid(np.linspace(-6, 6, 1201), np.linspace(-6, 6, 1201))
+    k1, k2, p1, p2, k3 = cal.distortion
+    r2 = x * x + y * y
+    g = 1 + r2 * (k1 + r2 * (k2 + r2 * k3))
+    u = cal.fx * (x * g + 2 * p1 * x * y + p2 * (r2 + 2 * x * x)) + cal.cx
+    w = cal.fy * (y * g + p1 * (r2 + 2 * y * y) + 2 * p2 * x * y) + cal.cy
+    ok = (u >= 0) & (u < WIDTH) & (w >= 0) & (w < HEIGHT)
+    assert np.abs(x[ok]).max() <= bx < 1.2 * np.abs(x[ok]).max() and np.abs(y[ok]).max() <= by < 1.25 * np.abs(y[ok]).max()
+    assert ray_bounds(Calibration(distortion=(-0.5, 0.0, 0.0, 0.0, 0.0))) is None  # bends far rays back into the frame
 
 
 def test_plane_and_core_find_a_board(spark):
