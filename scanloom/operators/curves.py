@@ -40,5 +40,5 @@ def tagged_curves(camera: DataFrame, lidar: DataFrame, inertial: DataFrame | Non
 
 
 def corner_spread(corners: DataFrame, by: str = "image_id") -> DataFrame:
-    """(by, t, x, spread): column of the board's corners, undistorted, and their population deviation. corners: by, t, u."""
-    return corners.groupBy(by).agg(F.min("t").alias("t"), F.avg("u").alias("x"), F.stddev_pop("u").alias("spread"))
+    """(by, t, x, spread): mean column of the board's corners, and their largest column less the smallest. corners: by, t, u."""
+    return corners.groupBy(by).agg(F.min("t").alias("t"), F.avg("u").alias("x"), (F.max("u") - F.min("u")).alias("spread"))

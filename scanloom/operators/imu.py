@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanloom.functions import geo
-from scanloom.operators.ordered import beside, numbered
+from scanloom.operators.ordered import laid_out
 
 
 def magnitudes(df: DataFrame, vector: str, prefix: str) -> DataFrame:
@@ -31,7 +31,7 @@ def quaternion_norms(df: DataFrame, quat: str = "quat") -> DataFrame:
 
 def orientation_changes(df: DataFrame, order: str, quat: str = "quat", every: int = 20, live_above: float = 1e-3) -> DataFrame:
     """Largest angle between a sample and the one before it, looked at for every 20th sample; live above the limit."""
-    near = numbered(beside(df.select(order, quat), order, {"_before": quat}), order, "i")
+    near = laid_out(df.select(order, quat), order, number="i", before={"_before": quat})
     q, p = geo.of_array(F.col(quat), 4), geo.of_array(F.col("_before"), 4)
     steps = near.select("i", F.abs(geo.dot(q, p)).alias("d")).filter((F.col("i") % every == 1 % every) & F.col("d").isNotNull())
     angle = 2 * F.acos(F.least(F.greatest("d", F.lit(0.0)), F.lit(1.0)))

@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanloom.operators.ordered import beside, numbered, quantiles
+from scanloom.operators.ordered import beside, first_rows, numbered, quantiles
 
 
 def with_intervals(df: DataFrame, by: Sequence[str], order: str, us: str, out: str = "dt_ms") -> DataFrame:
@@ -49,9 +49,18 @@ def rate_and_dropout(df: DataFrame, by: Sequence[str], order: str, us: str, gap_
 
 
 def first_intervals(df: DataFrame, by: Sequence[str], order: str, us: str, n: int = 15) -> DataFrame:
-    """The first n intervals of each stream."""
-    steps = numbered(with_intervals(df, by, order, us), order, "place", by)
-    return steps.filter((F.col("place") >= 1) & (F.col("place") <= n)).select(*by, "place", "dt_ms")
+    """The first n intervals of each stream. Looks at the first n + 1 rows of each only."""
+    first = first_rows(df, order, n + 1, by)
+    before = F.lag(us).over(Window.partitionBy(*by).orderBy("place"))
+    return first.withColumn("dt_ms", (F.col(us) - before) / 1000.0).filter("place >= 1").select(*by, "place", "dt_ms")
+
+
+def gap_rows(df: DataFrame, by: Sequence[str], order: str, us: str, gap_ms: float, period_ms: float) -> DataFrame:
+    """A row for each interval of `gap_ms` and more: its place among its stream's gaps by length (from 0), where it ends (`order`),
+    its length and that in periods, to one decimal. A stream may have any number of gaps."""
+    d = F.col("dt_ms")
+    gaps = with_intervals(df, by, order, us).filter(d >= gap_ms).select(*by, order, "dt_ms")
+    return numbered(gaps, "dt_ms", "place", by).withColumn("gap_periods", F.bround(d / period_ms, 1))
 
 
 def gates(df: DataFrame, stream: str, us: str, wanted: Sequence[str], window_us: int) -> DataFrame:

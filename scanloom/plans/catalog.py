@@ -68,6 +68,20 @@ def agg3_normal_gaps(spark, sf):
     return interval.normal_and_gaps(proxy.ticks(spark, sf), ["stream"], "seq", "us", GAP_MS, PERIOD_MS)
 
 
+@query(
+    "agg3_gap_rows",
+    DIFFS + f"""SELECT stream, seq, row_number() OVER (PARTITION BY stream ORDER BY dt) - 1 AS place, round(dt, 6) AS dt_ms, round_even(dt / {PERIOD_MS}, 1) AS gap_periods
+  FROM d WHERE dt >= {GAP_MS}""",
+)
+def agg3_gap_rows(spark, sf):
+    return interval.gap_rows(proxy.ticks(spark, sf), ["stream"], "seq", "us", GAP_MS, PERIOD_MS)
+
+
+@query("agg23_corner_spread", prelude("points") + " SELECT scan_id AS image_id, round(min(\"time\"), 6) AS t, round(avg(x), 6) AS x, round(max(x) - min(x), 6) AS spread FROM points GROUP BY 1")
+def agg23_corner_spread(spark, sf):
+    return curves.corner_spread(proxy.points(spark, sf).select(F.col("scan_id").alias("image_id"), F.col("time").alias("t"), F.col("x").alias("u")))
+
+
 @query(
     "agg4_rate_dropout",
     DIFFS + f"""SELECT stream, count(*) AS n, round(median(dt), 6) AS median_ms, round(min(dt), 6) AS min_ms, round(max(dt), 6) AS max_ms, count(*) FILTER (dt > {GAP_MS}) AS n_gaps,

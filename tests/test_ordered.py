@@ -31,6 +31,43 @@ def test_numbers_and_neighbours(spark, rows):
     assert [whole[v] for v in sorted(whole)] == list(range(300))
 
 
+def test_one_far_value_leaves_buckets_even(spark):
+    """A zero among stamps since the epoch, and a clock that stands still."""
+    n, rows = 20_000, 500
+    base = spark.range(n).select(F.when(F.col("id") == 77, 0).otherwise(1_700_000_000_000_000 + F.col("id") * 1000).alias("us"))
+    cut, several = ordered.bucketed(base, "us", rows)
+    sizes = [r["n"] for r in cut.groupBy("_bucket").agg(F.count("*").alias("n")).collect()]
+    assert several and sum(sizes) == n and max(sizes) <= 2 * rows
+    got = ordered.laid_out(base, "us", number="i", before={"b": "us"}, after={"a": "us"}, rows=rows).orderBy("i").collect()
+    us = [0, *(1_700_000_000_000_000 + i * 1000 for i in range(n) if i != 77)]
+    assert [(r["i"], r["us"], r["b"], r["a"]) for r in got] == list(zip(range(n), us, [None, *us], [*us[1:], None]))
+    q = ordered.quantiles(base, {"low": (F.col("us"), 0.0001), "mid": (F.col("us"), 0.5)}, rows=300).collect()[0]
+    assert (q["low"], q["mid"]) == pytest.approx(tuple(np.quantile(us, (0.0001, 0.5))), rel=1e-15)
+    still = spark.range(3000).select(F.when(F.col("id") < 2900, 5).otherwise(F.col("id")).alias("v"), F.lit(None).cast("string").alias("g"))
+    assert ordered.quantiles(still, {"m": (F.col("v"), 0.5), "x": (F.col("v"), 0.99)}, ["g"], rows=100).collect()[0]["m"] == 5
+    numbers = ordered.numbered(still, "v", "i", ["g"], rows=100).select("i").collect()
+    assert sorted(r["i"] for r in numbers) == list(range(3000))
+
+
+def test_more_buckets_than_split_points(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "SPLITS", 4)
+    df = spark.range(1000).select((F.col("id") * F.col("id")).alias("v"))
+    cut, _ = ordered.bucketed(df, "v", 10)
+    assert cut.select("_bucket").distinct().count() > 50
+    got = ordered.laid_out(df, "v", number="i", before={"b": "v"}, rows=10).orderBy("i").collect()
+    assert [(r["v"], r["b"]) for r in got] == [(i * i, (i - 1) ** 2 if i else None) for i in range(1000)]
+
+
+@pytest.mark.parametrize("rows_", [10, 10**6])
+def test_quantiles_in_bins_of_few_rows(spark, rows_):
+    rng = np.random.default_rng(6)
+    data = {g: v for g, v in (("a", rng.lognormal(0, 4, 1500)), ("b", rng.integers(0, 3, 400) * 1.0), ("c", np.array([2.0])))}
+    df = spark.createDataFrame([(g, float(x)) for g, v in data.items() for x in v], "g string, v double")
+    got = {r["g"]: r for r in ordered.quantiles(df, {"p1": (F.col("v"), 0.01), "p50": (F.col("v"), 0.5), "p99": (-F.col("v"), 0.99)}, ["g"], rows_).collect()}
+    for g, v in data.items():
+        assert [got[g][c] for c in ("p1", "p50", "p99")] == pytest.approx([np.quantile(v, 0.01), np.quantile(v, 0.5), np.quantile(-v, 0.99)])
+
+
 def test_quantiles(spark, rows):
     df = spark.createDataFrame([*rows, (9, None, "null"), (8, None, "none")], "g long, v long, s string")
     wanted = {"a": (F.col("v"), 0.01), "b": (F.col("v"), 0.5), "c": (F.col("v") * 0 + 3, 0.7), "d": (F.col("v"), 1.0)}
