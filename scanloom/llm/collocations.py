@@ -44,7 +44,7 @@ TOP = 2000
 #: Bits of a bitmap's index.
 BITS = 26
 #: A band reaches up to so many times the frequency of the one before it.
-WIDER = 16
+WIDER = 64
 #: Above all frequencies.
 FAR = (1 << 63) - 1
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -90,8 +90,18 @@ class Step:
         return out
 
     def phrases(self, k: int, at: np.ndarray) -> pa.Array:
-        blob, first, end = self.w.data, self.w.first, self.w.end
-        return pa.array([b" ".join(blob[first[j] : end[j]].tobytes() for j in range(i, i + k)) for i in at.tolist()], pa.binary()).cast(pa.string())
+        """k words from each place, with one space between them."""
+        word = (at[:, None] + np.arange(k)).reshape(-1)
+        size = self.w.end[word] - self.w.first[word]
+        stops = np.cumsum(size + 1)
+        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        out = np.full(len(word) + len(within), 32, np.uint8)
+        out[np.repeat(stops - size - 1, size) + within] = self.w.data[np.repeat(self.w.first[word], size) + within]
+        # the space after each phrase's last word goes
+        last = stops[k - 1 :: k] - 1
+        ends = np.concatenate(([0], last + 1 - np.arange(1, len(at) + 1)))
+        kept = np.delete(out, last).tobytes()
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(kept)]).cast(pa.string())
 
 
 def read(batches: Iterator[pa.RecordBatch]) -> Iterator[Step]:
@@ -283,7 +293,7 @@ def collocations(
     frequent = sc.broadcast(bitmap(words_))
     counts = words_.select("lang", "phrase", "f")
     scores = spark.createDataFrame([], "lang string, phrase string, a long, l long, r long, n long, score long")
-    state = totals.select("lang", "n", F.lit(least // 8 if least >= 8 else 0).cast("long").alias("reach"), F.lit(0).cast("long").alias("floor"))
+    state = totals.select("lang", "n", F.lit(least // 2).cast("long").alias("reach"), F.lit(0).cast("long").alias("floor"))
     while not (todo := materialise(frontier(words_, state), "collocation-frontier")).isEmpty():
         band = words_.join(todo, "lang").filter("f > reach AND f <= next")
         seeds = sc.broadcast(bitmap(band))
