@@ -17,9 +17,12 @@ from dataclasses import dataclass, replace
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import (
+    DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
+)
 
 from scanloom.functions.calibration import Calibration
+from scanloom.sources.bag_stream import ROWS, BagStreamReader
 
 SCHEMA = "file string, topic string, msg_type string, record_ns long, seq long, data binary"
 
@@ -117,6 +120,17 @@ class BagDataSource(DataSource):
         return reader
 
 
+    def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: N802
+        """Of spark.readStream; options path, topics and rowsPerTask. Messages are numbered as they were written."""
+        topics = {x for x in self.options.get("topics", "").split(",") if x} or None
+        return BagStreamReader(self.options["path"], topics, int(self.options.get("rowsPerTask", ROWS)))
+
+
+def stream_bag(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    spark.dataSource.register(BagDataSource)
+    return spark.readStream.format("bag").options(**options).load(path)
+
+
 def read_bag(spark: SparkSession, path: str, **options: str) -> DataFrame:
     spark.dataSource.register(BagDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
