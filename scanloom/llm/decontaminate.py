@@ -7,8 +7,8 @@ frequencies and lengths are those of the whole benchmark, however it is cut into
 
 Search is block-max WAND. Parts are ordered by their rarest term and cut into blocks; per term the index keeps its largest
 impact in each block where it has one. A first pass over all passages of a batch adds up block maxima of the essential
-terms, those without which no part can reach the threshold, and drops passages without a block that could. What is left is
-searched part by part: the terms' cursors stand in order of their parts; the pivot is the first at which the terms'
+terms, those without which no part can reach the threshold, and drops passages without a block that could. Passages with few
+such blocks are scored by arrays over the postings of these blocks; others are searched part by part: the terms' cursors stand in order of their parts; the pivot is the first at which the terms'
 largest impacts add up to the threshold; if the maxima of the pivot's block don't, all cursors skip that block. All parts at or
 above the threshold are retrieved, not a top k.
 
@@ -48,6 +48,8 @@ BLOCK = 4
 #: Terms whose block maxima together stay below this are not essential.
 SLACK = 0.2
 K1, B = 1.2, 0.75
+#: Terms times live blocks of a passage up to which it is scored by arrays.
+ARRAY_WORK = 1 << 12
 #: Shards that are searched in one pass over the documents, in bytes.
 INDEX_BYTES = 256 << 20
 
@@ -197,6 +199,46 @@ def wand(index: Index, terms: np.ndarray, threshold: float) -> list[tuple[int, f
         order.sort(key=now.__getitem__)
 
 
+def scored(index: Index, p: np.ndarray, t: np.ndarray, live: np.ndarray, threshold: float) -> Iterator[tuple[int, list[tuple[int, float]]]]:
+    """(passage, its parts at or above the threshold with their scores). p, t: passages and their terms, ascending; live: passage and
+    block, as passage * blocks + block, of the blocks whose bound reaches the threshold, ascending.
+
+    Passages with few live blocks are scored together, by arrays over the postings in those blocks; those with many go through the
+    index with a pivot, which skips most of them."""
+    n_blocks = len(index.rest)
+    passages, start = np.unique(p, return_index=True)
+    terms = np.diff(np.append(start, len(p)))
+    lo, hi = np.searchsorted(live, passages * n_blocks), np.searchsorted(live, (passages + 1) * n_blocks)
+    small = terms * (hi - lo) <= ARRAY_WORK
+    for a, n, passage in zip(start[~small].tolist(), terms[~small].tolist(), passages[~small].tolist()):
+        yield passage, wand(index, t[a : a + n], threshold)
+    cell_key = np.repeat(np.arange(len(index.terms)), np.diff(index.block_at)) * n_blocks + index.block
+    posting = np.repeat(np.arange(len(index.terms)), np.diff(index.at)) * n_blocks + index.part // BLOCK
+    cell_at = np.append(np.searchsorted(posting, cell_key), len(posting))
+    rows = np.flatnonzero(small)
+    for first in range(0, len(rows), 256):
+        some = rows[first : first + 256]
+        # all terms of a passage with all its live blocks
+        pairs = terms[some] * (hi - lo)[some]
+        of = np.repeat(some, pairs)
+        within = np.arange(len(of)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+        term, block = t[start[of] + within % terms[of]], live[lo[of] + within // terms[of]] % n_blocks
+        at = np.minimum(np.searchsorted(cell_key, term * n_blocks + block), len(cell_key) - 1)
+        there = cell_key[at] == term * n_blocks + block
+        at, of = at[there], of[there]
+        many = cell_at[at + 1] - cell_at[at]
+        place = np.repeat(cell_at[at] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        key, back = np.unique(np.repeat(of, many) * (len(index.item_of_part) + 1) + index.part[place], return_inverse=True)
+        score = np.bincount(back, index.impact[place], len(key))
+        good = score >= threshold - 1e-9
+        key, score = key[good], score[good]
+        found: dict[int, list[tuple[int, float]]] = {}
+        for k, x in zip(key.tolist(), score.tolist()):
+            found.setdefault(k // (len(index.item_of_part) + 1), []).append((k % (len(index.item_of_part) + 1), x))
+        for r, parts in found.items():
+            yield int(passages[r]), parts
+
+
 def search(
     texts: pa.Array, index: Index, width: int = WIDTH, threshold: float = THRESHOLD, overlap: float = OVERLAP
 ) -> list[tuple[int, int, float, float, float]]:
@@ -243,12 +285,11 @@ def search(
     own = np.unique(np.concatenate((c * size + t, (c[earlier] - 1) * size + t[earlier])))
     own = own[wanted[own // size]]
     p, t = own // size, own % size
-    start = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
     best: dict[tuple[int, int], tuple[float, float, float]] = {}
-    for a, b in zip(start, np.append(start[1:], len(p))):
-        doc = int(text_of_cell[p[a]])
-        k = int(p[a] - first_cell[doc])
-        for part, score in wand(index, t[a:b], threshold):
+    for passage, parts in scored(index, p, t, keys[bound >= threshold - 1e-6], threshold):
+        doc = int(text_of_cell[passage])
+        k = int(passage - first_cell[doc])
+        for part, score in parts:
             i = int(index.item_of_part[part])
             if (doc, i) in best and best[doc, i][0] >= score:
                 continue
@@ -319,7 +360,7 @@ def build_indexes(benchmark: DataFrame, item_col: str, text_col: str, min_item_w
     return items, out
 
 
-def find_leaks(
+def leaks_by_row(
     docs: DataFrame,
     benchmark: DataFrame,
     id_col: str = "doc_id",
@@ -332,12 +373,13 @@ def find_leaks(
     shard_items: int = 5_000,
     min_item_words: int = 4,
 ) -> DataFrame:
-    """One row per document and item found in it: id, item, score, question_overlap, answer_overlap."""
+    """One row per document and item found in it: id, row (a hash of the text, which tells rows with one id apart), item, score,
+    question_overlap, answer_overlap."""
     if width < 2 * PART:
         raise ValueError(f"passages of {width} words don't hold parts of {PART} whole")
     items, indexes = build_indexes(benchmark, item_col, item_text_col, min_item_words, shard_items)
-    rows = docs.select(F.col(id_col).alias("doc"), F.lower(text_of(text_col)).alias("text"))
-    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, text_id long, score double, question_overlap double, answer_overlap double"
+    rows = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_of(text_col)).alias("row"), F.lower(text_of(text_col)).alias("text"))
+    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, row long, text_id long, score double, question_overlap double, answer_overlap double"
     passes: list[list[Index]] = [[]]
     for index in indexes:
         if passes[-1] and sum(x.nbytes for x in passes[-1]) + index.nbytes > INDEX_BYTES:
@@ -354,19 +396,26 @@ def find_leaks(
                 for at, texts in steps(batch.column("text")):
                     for index in held:
                         if hits := search(texts, index, width, threshold, overlap):
-                            docs_ = batch.column("doc").take(pa.array([at + h[0] for h in hits]))
+                            where = pa.array([at + h[0] for h in hits])
+                            docs_ = [batch.column(c).take(where) for c in ("doc", "row")]
                             numbers = [pa.array([h[j] for h in hits], pa.float64()) for j in (2, 3, 4)]
-                            columns = [docs_, pa.array([int(index.ids[h[1]]) for h in hits], pa.int64()), *numbers]
-                            yield pa.record_batch(columns, names=["doc", "text_id", "score", "question_overlap", "answer_overlap"])
+                            columns = [*docs_, pa.array([int(index.ids[h[1]]) for h in hits], pa.int64()), *numbers]
+                            yield pa.record_batch(columns, names=["doc", "row", "text_id", "score", "question_overlap", "answer_overlap"])
 
         found = rows.mapInArrow(scan, schema)
         out = found if out is None else out.unionByName(found)
     named = out.join(items, "text_id")
-    return named.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "score", "question_overlap", "answer_overlap")
+    return named.select(F.col("doc").alias(id_col), "row", F.col("item").alias(item_col), "score", "question_overlap", "answer_overlap")
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document and item found in it: id, item, score, question_overlap, answer_overlap. options: of leaks_by_row."""
+    return leaks_by_row(docs, benchmark, id_col, text_col, **options).drop("row")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input without documents in which an item was found; rows without id stay."""
-    found = find_leaks(docs, benchmark, id_col, text_col)
-    leaked = materialise(found.select(F.col(id_col).alias("__leaked")).distinct(), "leaked")
-    return docs.join(leaked, docs[id_col] == leaked["__leaked"], "left_anti")
+    """The input without rows in which an item was found. Rows are told apart by id and text, null ids being equal."""
+    found = leaks_by_row(docs, benchmark, id_col, text_col)
+    leaked = materialise(found.select(F.col(id_col).alias("__leaked"), F.col("row").alias("__row")).distinct(), "leaked")
+    same = docs[id_col].eqNullSafe(leaked["__leaked"]) & (F.xxhash64(text_of(docs[text_col])) == leaked["__row"])
+    return docs.join(leaked, same, "left_anti")

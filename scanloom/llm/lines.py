@@ -18,8 +18,8 @@ the same up to two edits. Lines of fewer than `min_chars` characters are the sam
 but stay, as short answers and closing brackets repeat without being copies. Lines without a word are no lines here.
 
 Cases: a null text is empty and has one empty line; a document that loses all lines with a word keeps its row, with what
-is left; very long lines are compared whole; rows that repeat an id share their fate; lines of a row without id count, and
-stay; an empty table gives an empty result; columns of the input are passed on as they are, whatever their names.
+is left; very long lines are compared whole; rows are told apart by id and text, so that rows with one id and different texts keep
+their own lines; equal rows share their fate; rows without id come last where the first line of a class is chosen; an empty table gives an empty result; columns of the input are passed on as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -58,9 +58,15 @@ def segment_keys(line: Column, n: Column, edits: int, under: Column | None = Non
     return out
 
 
+def row_of(text_col: str) -> Column:
+    """What tells rows with one id apart: a hash of the text."""
+    return F.xxhash64(text_of(text_col))
+
+
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pos, line, digest, n) of lines with a word."""
-    lines = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_of(text_col), "\n", -1)).alias("pos", "line"))
+    """(id, row, pos, line, digest, n) of lines with a word; id and row tell a row of docs."""
+    held = docs.select(F.col(id_col).alias("id"), row_of(text_col).alias("row"), text_of(text_col).alias("text"))
+    lines = held.select("id", "row", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     lines = lines.filter(F.col("line").rlike(WORD)).withColumn("n", F.length("line"))
     return lines.withColumn("digest", F.unhex(F.md5(F.col("line").cast("binary"))))
 
@@ -146,7 +152,7 @@ def repeated_lines(
     max_copies: int = MAX_COPIES,
     long_words: int = LONG_WORDS,
 ) -> DataFrame:
-    """Per document id with a repeated line: id, n_linked (its lines within `edits` of a different line),
+    """Per document (id, row) with a repeated line: id, row, n_linked (its lines within `edits` of a different line),
     removed (places of the lines to remove, from 0, ascending) and repeated (place, class and number of copies of each line
     whose class occurs more than once; a class is named by the md5 of one of its lines)."""
     lines = occurrences(docs, id_col, text_col)
@@ -167,28 +173,32 @@ def repeated_lines(
     often = F.col("total") > F.when(F.col("longest") > long_words, 1).otherwise(max_copies)
     often &= F.col("n") >= min_chars
     marks = classes.join(totals, "class").select("digest", "class", "linked", "total", often.alias("often"))
-    marked = lines.select("id", "pos", "digest").join(materialise(marks, "line-marks"), "digest")
+    marked = lines.select("id", "row", "pos", "digest").join(materialise(marks, "line-marks"), "digest")
     marked = materialise(marked, "line-marked")
-    first = marked.filter("often").groupBy("class").agg(F.min(F.struct("id", "pos")).alias("first"))
+    at = F.struct(F.col("id").isNull().alias("none"), "id", "row", "pos")
+    first = marked.filter("often").groupBy("class").agg(F.min(at).alias("first"))
     decided = marked.join(materialise(first, "line-first"), "class", "left")
-    gone = F.col("often") & F.col("id").isNotNull() & F.col("first").isNotNull() & (F.struct("id", "pos") != F.col("first"))
+    gone = F.col("often") & F.col("first").isNotNull() & ~at.eqNullSafe(F.col("first"))
     place = F.struct("pos", F.lower(F.hex("class")).alias("class"), F.col("total").alias("copies"))
-    return decided.groupBy("id").agg(
-        F.count_if("linked").alias("n_linked"),
-        F.array_sort(F.array_distinct(F.collect_list(F.when(gone, F.col("pos"))))).alias("removed"),
-        F.array_sort(F.array_distinct(F.collect_list(place))).alias("repeated"),
+    places = lambda c: F.array_distinct(F.collect_list(c))
+    return decided.groupBy("id", "row").agg(
+        F.size(places(F.when(F.col("linked"), F.col("pos")))).cast("long").alias("n_linked"),
+        F.array_sort(places(F.when(gone, F.col("pos")))).alias("removed"),
+        F.array_sort(places(place)).alias("repeated"),
     ).withColumnRenamed("id", id_col)
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Per document: id, n_lines, n_linked, n_removed, removed, repeated."""
     found = repeated_lines(docs, id_col, text_col, **options)
+    of = F.col("__line_doc").eqNullSafe(F.col(id_col)) & (F.col("__line_row") == F.col("row"))
     return (
         docs.select(
             F.col(id_col).alias("__line_doc"),
+            row_of(text_col).alias("__line_row"),
             F.size(F.split(text_of(text_col), "\n", -1)).cast("long").alias("n_lines"),
         )
-        .join(found, F.col("__line_doc").eqNullSafe(F.col(id_col)), "left")
+        .join(found, of, "left")
         .select(
             F.col("__line_doc").alias(id_col), "n_lines",
             F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
@@ -202,8 +212,10 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input with repeated lines removed from the text; documents without any to remove are unchanged."""
     found = repeated_lines(docs, id_col, text_col, **options).filter(F.size("removed") > 0)
-    of, gone = f"of_{uuid.uuid4().hex}", f"gone_{uuid.uuid4().hex}"  # names that no input has
-    found = materialise(found.select(F.col(id_col).alias(of), F.col("removed").alias(gone)), "line-removed")
+    of, row, gone = (f"{name}_{uuid.uuid4().hex}" for name in ("of", "row", "gone"))  # names that no input has
+    found = found.select(F.col(id_col).alias(of), F.col("row").alias(row), F.col("removed").alias(gone))
+    found = materialise(found, "line-removed")
     kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(gone), i))
     text = F.when(F.col(gone).isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_col))
-    return docs.join(found, F.col(id_col) == F.col(of), "left").withColumn(text_col, text).drop(of, gone)
+    same = F.col(id_col).eqNullSafe(F.col(of)) & (row_of(text_col) == F.col(row))
+    return docs.join(found, same, "left").withColumn(text_col, text).drop(of, row, gone)

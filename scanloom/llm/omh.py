@@ -20,7 +20,8 @@ With 60 samples, a pair with Jaccard similarity J of its k-mers is a candidate w
 
 Cases: a null text is empty; texts that are equal, empty ones included, share a class; texts of fewer than five
 words have one k-mer of all their words; very long texts are aligned whole, in a band as wide as the similarity asks; rows
-with a null id count, and a class is named by its smallest id (null if it has none); repeated rows stay; an empty table
+with a null id count, and a class is named by its smallest id (null if it has none); rows with one id are rows of their own, equal
+ones stay together; an empty table
 gives an empty result; columns beside id and text are not read, whatever their names.
 """
 
@@ -140,8 +141,8 @@ def near_duplicates(
     samples: int = SAMPLES,
     **cells: int,
 ) -> DataFrame:
-    """Per row: id, class_id (smallest id of its class) and digest of the text (md5). cells: sizes, as blocks.classes has
-    them; they change the cost only."""
+    """Per row: id, class_id (smallest id of its class), digest of the text (md5) and class_digest, which names the class whatever its
+    ids. cells: sizes, as blocks.classes has them; they change the cost only."""
     rows = materialise(sketch_table(docs, id_col, text_col, samples), "omh-sketches")
     most = most_edits(similarity)
 
@@ -163,14 +164,18 @@ def near_duplicates(
     lowest = rows.groupBy("digest").agg(F.min("id").alias("low")).join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     lowest = lowest.withColumn("root", F.coalesce("root", "digest"))
     named = materialise(lowest.groupBy("root").agg(F.min("low").alias("class_id")), "omh-named")
-    of = materialise(lowest.join(named, "root").select("digest", "class_id"), "omh-classes")
-    return rows.join(of, "digest").select(F.col("id").alias(id_col), "class_id", F.lower(F.hex("digest")).alias("digest"))
+    of = materialise(lowest.join(named, "root").select("digest", "class_id", "root"), "omh-classes")
+    name = lambda c: F.lower(F.hex(c))
+    return rows.join(of, "digest").select(F.col("id").alias(id_col), "class_id", name("digest").alias("digest"), name("root").alias("class_digest"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input without near duplicates: of each class the row with the smallest id stays (rows with null ids and
-    repeats of that id stay)."""
+    """The input without near duplicates: of each class the row with the smallest id stays, rows without id coming last. Rows are told
+    apart by id and text: one of several texts under one id may go while the others stay; rows equal in both stay together."""
     found = near_duplicates(docs, id_col, text_col)
-    gone = found.filter(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("__near_gone")).distinct()
-    gone = materialise(gone, "omh-gone")
-    return docs.join(gone, docs[id_col] == gone["__near_gone"], "left_anti")
+    row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "digest")
+    kept = found.groupBy("class_digest").agg(F.min(row).alias("kept"))
+    gone = found.select("class_digest", row.alias("row")).distinct().join(kept, "class_digest").filter(~F.col("row").eqNullSafe(F.col("kept")))
+    gone = materialise(gone.select(F.col("row.id").alias("__near_id"), F.unhex("row.digest").alias("__near_text")).distinct(), "omh-gone")
+    same = docs[id_col].eqNullSafe(gone["__near_id"]) & (digest_of(text_of(docs[text_col])) == gone["__near_text"])
+    return docs.join(gone, same, "left_anti")
