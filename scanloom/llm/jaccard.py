@@ -12,8 +12,8 @@ first a - ceil(0.9 a) + SHARED and first b - ceil(0.9 b) + SHARED. The order put
 stand out in a task, then by how rare their words are; it changes the cost only, any order gives the same links.
 
 Steps: each node meets, for each of its first tokens, the node that has most company there, as an original has among its
-copies; nodes that share SHARED tokens with it are compared. Classes of linked nodes are cut by their MinHash into groups of
-about GROUP sets: similar ones together. A join on the token gives queries and groups of other classes, of each pair of classes
+copies; nodes of similar size that share SHARED tokens with it are compared. Classes of linked nodes are cut by their MinHash into
+groups of about GROUP sets, nodes without a link are grouped by their MinHash alone: similar ones together. A join on the token gives queries and groups of other classes, of each pair of classes
 the smaller one as query, so that the members of one large class never query each other. Qualifying groups are opened in cells
 of bounded size: a cell holds unions of MinHash-ordered parts of a group, bounds each query against them with whole sets,
 and opens those parts that still qualify.
@@ -50,7 +50,7 @@ K = 3
 PERCENT = 90
 #: First tokens that two sets which link have in common at least.
 SHARED = 4
-#: Sets of a class that a group holds, if no MinHash is shared by more.
+#: Sets of a class that a group holds, if no MinHash is shared by more. (Cells bound what a task holds.)
 GROUP = 64
 #: Sets that a union of a cell is made of.
 PART = 16
@@ -96,8 +96,8 @@ def bucket(h: np.ndarray, bits: int) -> np.ndarray:
 
 
 def digested(docs: DataFrame) -> DataFrame:
-    """docs: (id, text). Rows (id, n, digest), and rows (kind, bucket, count): of words (kind 1), and of tokens (kind 2) in buckets
-    that stand out in their task."""
+    """docs: (id, text). Rows (id, n, digest), and rows (kind, bucket, count): of words (kind 1) and of tokens (kind 2) in buckets that
+    stand out in their task."""
     kind = docs.schema["id"].dataType.simpleString()
     arrow = ["id", "n", "digest", "kind", "bucket", "count"]
 
@@ -117,7 +117,7 @@ def digested(docs: DataFrame) -> DataFrame:
                 columns = [batch.column("id").slice(at, n), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest_of(s) for s in sets], pa.binary())]
                 yield pa.record_batch([*columns, pa.array(np.zeros(n, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=arrow)
         usual = token_count.mean()
-        for k, count, least in ((1, word_count, 1), (2, token_count, usual + 4 * math.sqrt(usual) + 1)):
+        for k, count, least in ((1, word_count, 3), (2, token_count, usual + 4 * math.sqrt(usual) + 1)):
             at = np.flatnonzero(count >= least)
             if len(at):
                 empty = [pa.nulls(len(at), t) for t in (id_type, pa.int64(), pa.binary())]
@@ -178,14 +178,18 @@ def keys_of(digests: list[bytes]) -> np.ndarray:
     return np.array([int.from_bytes(d[:8], "little") for d in digests], np.uint64)
 
 
-def whole_sets(docs: DataFrame, digests: DataFrame) -> DataFrame:
-    """(digest, tokens) of the sets in digests (digest), each once."""
+def digest_bits(digests: DataFrame) -> np.ndarray:
+    """A bitmap of (digest), by their first eight bytes."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.record_batch([long(keys_of(batch.column("digest").to_pylist()))], names=["key"])
 
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(digests.mapInArrow(keyed, "key long")))
+    return bitmap(digests.mapInArrow(keyed, "key long"))
+
+
+def whole_sets(docs: DataFrame, bits) -> DataFrame:
+    """(digest, tokens) of the sets whose digests are in a broadcast bitmap, each once and dealt by digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,10 +203,8 @@ def whole_sets(docs: DataFrame, digests: DataFrame) -> DataFrame:
                 found = [(d, t.tobytes()) for (d, t), k in zip(sets.items(), keep) if k]
                 yield pa.record_batch([pa.array([x[k] for x in found], pa.binary()) for k in range(2)], names=["digest", "tokens"])
 
-    out = docs.select("text").mapInArrow(run, "digest binary, tokens binary").join(digests, "digest", "left_semi")
-    out = materialise(out.groupBy("digest").agg(F.any_value("tokens").alias("tokens")), "jaccard-wholes")
-    bits.destroy()
-    return out
+    out = docs.select("text").mapInArrow(run, "digest binary, tokens binary")
+    return out.groupBy("digest").agg(F.any_value("tokens").alias("tokens"))
 
 
 def overlaps(tokens: np.ndarray, bounds: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -260,7 +262,8 @@ def open_groups(asked: DataFrame, members: DataFrame, nodes: DataFrame, docs: Da
     told = asked.select("group").distinct()
     rows = asked.withColumn("query", F.lit(True)).unionByName(members.join(told, "group", "left_semi").withColumn("query", F.lit(False)))
     rows = materialise(rows.join(nodes, "node"), "jaccard-asked")
-    wholes = whole_sets(docs, rows.select("digest").distinct())
+    bits = docs.sparkSession.sparkContext.broadcast(digest_bits(rows.select("digest").distinct()))
+    wholes = whole_sets(docs, bits)
     size = F.col("n") * 8 + 200
     parts = lambda query: F.greatest(
         F.ceil(F.count_if(F.col("query") == query) / CELL_ROWS),
@@ -281,13 +284,31 @@ def open_groups(asked: DataFrame, members: DataFrame, nodes: DataFrame, docs: Da
         i, j = opened(table, percent)
         return pa.table({c: table["root"].take(pa.array(at, pa.int64())) for c, at in (("a", i), ("b", j))})
 
-    return materialise(cells.groupBy("cell").applyInArrow(meet, "a long, b long").distinct(), "jaccard-merges")
+    out = materialise(cells.groupBy("cell").applyInArrow(meet, "a long, b long").distinct(), "jaccard-merges")
+    bits.destroy()
+    return out
 
 
-def several(rows: DataFrame) -> DataFrame:
-    """rows: (token, node). With `holders`, the number of nodes; tokens of one node are left out."""
-    sizes = rows.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1")
-    return rows.join(materialise(sizes, "jaccard-tokens"), "token")
+def held_tokens(nodes: DataFrame) -> DataFrame:
+    """(token, node, n, holders) of first tokens that several nodes hold. nodes: (node, n, first). Tokens of one node, most of them,
+    are taken off by a bitmap before their rows are dealt."""
+    sizes = nodes.select(F.explode("first").alias("token")).groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1")
+    sizes = materialise(sizes, "jaccard-tokens")
+    bits = nodes.sparkSession.sparkContext.broadcast(bitmap(sizes.select(F.col("token").alias("key"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = batch.column("first")
+            tokens = first.flatten().to_numpy()
+            of = np.repeat(np.arange(batch.num_rows), np.diff(first.offsets.to_numpy()))
+            keep = hit(bits.value, tokens.view(np.uint64))
+            at = pa.array(of[keep])
+            yield pa.record_batch([pa.array(tokens[keep]), batch.column("node").take(at), batch.column("n").take(at)], names=["token", "node", "n"])
+
+    rows = nodes.select("node", "n", "first").mapInArrow(run, "token long, node long, n long")
+    out = materialise(rows.join(sizes, "token"), "jaccard-held")
+    bits.destroy()
+    return out
 
 
 def share_enough(rows: DataFrame, percent: int, *by: str) -> DataFrame:
@@ -305,11 +326,11 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
     heat.destroy()
 
-    held = materialise(several(nodes.select(F.explode("first").alias("token"), "node")), "jaccard-held")
+    held = held_tokens(nodes)
     company = held.groupBy("node").agg(F.sum("holders").alias("company"))
     known = held.join(company, "node")
-    middles = known.groupBy("token").agg(F.max(F.struct("company", "node"))["node"].alias("middle"))
-    pairs = held.join(middles, "token").filter("node <> middle")
+    middles = known.groupBy("token").agg(F.max(F.struct("company", "node", "n")).alias("m")).select("token", F.col("m.node").alias("middle"), F.col("m.n").alias("size"))
+    pairs = held.join(middles, "token").filter("node <> middle").filter(f"100 * least(n, size) >= {percent} * greatest(n, size)")
     asked = materialise(share_enough(pairs, percent, "middle", "node").withColumnRenamed("middle", "group"), "jaccard-stars")
     members = asked.select("group", F.col("group").alias("node")).distinct()
     bare = nodes.select("node", "digest", "n", "low").withColumn("root", F.col("node"))
@@ -320,12 +341,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rooted = rooted.join(sizes, "root", "left").withColumn("class", F.struct(F.coalesce("of", F.lit(1)).alias("of"), "root"))
     ends = rooted.groupBy("token").agg(F.min("class").alias("least"), F.max("class").alias("most")).filter("least <> most")
     left = materialise(rooted.join(ends, "token").join(nodes.select("node", "low"), "node"), "jaccard-left")
-    # the smaller class asks, so those of a token's largest class never do, and those of its smallest are never asked
+    # the smaller class asks, so those of a token's largest class never do, and those of its smallest are never asked; classes of one
+    # node are in groups by their MinHash
     cut: Column = F.pmod("low", F.ceil(F.col("class.of") / GROUP))
-    grouped = left.withColumn("group", F.xxhash64("root", cut))
-    targets = grouped.filter("class <> least").select("token", "group", "class").distinct()
-    queries = left.filter("class <> most").select("token", "node", F.col("class").alias("own"))
-    found = queries.join(targets, "token").filter("own < class")
+    group = F.when(F.col("class.of") > 1, F.xxhash64("root", cut)).otherwise(F.xxhash64("low"))
+    grouped = left.withColumn("group", group)
+    ends = [F.max("class").alias("class"), F.min("n").alias("least_n"), F.max("n").alias("most_n")]
+    targets = grouped.filter("class <> least").groupBy("token", "group").agg(*ends)
+    queries = left.filter("class <> most").select("token", "node", "n", F.col("class").alias("own"))
+    found = queries.join(targets, "token").filter(f"own < class AND 100 * n >= {percent} * least_n AND 100 * most_n >= {percent} * n")
     asked = materialise(share_enough(found, percent, "group", "node"), "jaccard-groups")
     members = grouped.select("group", "node").distinct()
     now = nodes.select("node", "digest", "n", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -25,8 +25,9 @@ from scanloom.llm.common import BLANK, n_words, text_of
 
 #: Rows of the sample on which costs and selectivities are estimated. It never decides on a row.
 SAMPLE_ROWS = 2_000
-#: Bits of a window's place: 16 million words in a text.
+#: Bits of a window's place: 16 million words in a text; of longer texts, as many as an array can hold.
 PLACE_BITS = 24
+LONG_PLACE_BITS = 31
 
 
 def word_chars(text: Column) -> Column:
@@ -51,14 +52,14 @@ def n_repeat_words(text: Column, width: int = 3) -> Column:
     A window is one long, the upper bits of its hash and its place below them, so that sorting is that of plain numbers and
     equal windows are neighbours; neighbours with equal hashes are compared word by word. The gaps between the repeated
     places, each at most `width`, add up to the words covered: n log n per text, whatever repeats."""
-    low = F.lit((1 << PLACE_BITS) - 1).cast("long")
 
     def bound(value: Column, body) -> Column:
         # transform over one element: evaluates `value` once and lets `body` use it many times.
         return F.element_at(F.transform(F.array(value), body), 1)
 
     def places(w: Column) -> Column:
-        def covered(h: Column) -> Column:
+        def covered(h: Column, bits: int) -> Column:
+            low = F.lit((1 << bits) - 1).cast("long")
             window = lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)])
             packed = F.transform(
                 F.sequence(F.lit(0), F.size(h) - width), lambda i: window(i).bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("long"))
@@ -83,7 +84,8 @@ def n_repeat_words(text: Column, width: int = 3) -> Column:
             )
 
         hashes = F.transform(w, lambda x: F.xxhash64(x))
-        return F.when(F.size(w) > width, bound(hashes, covered)).otherwise(F.lit(0).cast("long"))
+        usual, long = bound(hashes, lambda h: covered(h, PLACE_BITS)), bound(hashes, lambda h: covered(h, LONG_PLACE_BITS))
+        return F.when(F.size(w) > 1 << PLACE_BITS, long).when(F.size(w) > width, usual).otherwise(F.lit(0).cast("long"))
 
     words = F.split(F.trim(F.regexp_replace(text, rf"[{BLANK}]+", " ")), " ", -1)
     return bound(words, places).cast("long")
@@ -197,7 +199,10 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).alias(id_col), text_of(text_col).alias("text"))
     counted = texts.select(id_col, "text", *[c.alias(n) for n, c in counts_of(F.col("text")).items()])
     held = {n: F.col(n) for n in counts_of(F.col("text"))}
-    rules = order_rules(counted.drop(id_col), further_rules(held, F.col("text")))
+    # ordered on the sampled texts, before anything is counted, so that a rule costs what it costs from the text on
+    order = order_rules(texts.select("text"), further_rules(counts_of(F.col("text")), F.col("text")))
+    by_name = {r.name: r for r in further_rules(held, F.col("text"))}
+    rules = [by_name[r.name] for r in order]
     base = base_rules(held)
     failed = base[0].rejects | base[1].rejects
     return counted.select(
