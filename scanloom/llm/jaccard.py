@@ -53,7 +53,9 @@ SHARED = 4
 #: Sets of a class that a group holds, if no MinHash is shared by more. (Cells bound what a task holds.)
 GROUP = 64
 #: Sets that a union of a cell is made of.
-PART = 16
+PART = 32
+#: Numbers of an incidence matrix of queries.
+OPENED = 1 << 22
 #: A cell holds at most about so many sets, and bytes, on either side.
 CELL_ROWS = 512
 CELL_BYTES = 4 << 20
@@ -207,11 +209,21 @@ def whole_sets(docs: DataFrame, bits) -> DataFrame:
     return out.groupBy("digest").agg(F.any_value("tokens").alias("tokens"))
 
 
-def overlaps(tokens: np.ndarray, bounds: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """How many tokens each of several sets (tokens[bounds[i]:bounds[i + 1]], none empty) has in the sorted array `of`."""
+def found_in(tokens: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the sorted array `of`, whether it is there) of each token."""
     at = np.searchsorted(of, tokens)
     at[at == len(of)] = 0
-    return np.add.reduceat((of[at] == tokens).astype(np.int64), bounds[:-1])
+    return at, of[at] == tokens
+
+
+def in_common(place: np.ndarray, there: np.ndarray, row: np.ndarray, rows: int, part: list[np.ndarray], union: np.ndarray) -> np.ndarray:
+    """(rows, len(part)): tokens that each query (its rows of place, there) has in common with each set of a part, as a product of two
+    incidence matrices over the union."""
+    asked, held = np.zeros((rows, len(union)), np.float32), np.zeros((len(part), len(union)), np.float32)
+    asked[row[there], place[there]] = 1
+    for j, tokens in enumerate(part):
+        held[j, np.searchsorted(union, tokens)] = 1
+    return (asked @ held.T).astype(np.int64)
 
 
 def opened(table: pa.Table, percent: int) -> tuple[list[int], list[int]]:
@@ -241,15 +253,20 @@ def opened(table: pa.Table, percent: int) -> tuple[list[int], list[int]]:
         for at in range(0, len(targets), PART):
             part = targets[at : at + PART]
             union = np.unique(np.concatenate([sets[t] for t in part])) if len(part) > 1 else sets[part[0]]
+            place, there = found_in(tokens, union)
             least = np.maximum(n[part].min(), -(-percent * n[asking] // 100))
-            ok = (overlaps(tokens, bounds, union) >= overlap_needed(n[asking], least, percent)) & (n[part].max() >= least)
-            for q in asking[ok].tolist():
-                for t in part.tolist():
+            bound = np.add.reduceat(there.astype(np.int64), bounds[:-1])
+            ok = np.flatnonzero((bound >= overlap_needed(n[asking], least, percent)) & (n[part].max() >= least))
+            for lo in range(0, len(ok), max(1, OPENED // len(union))):
+                some = ok[lo : lo + max(1, OPENED // len(union))]
+                own = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in some])
+                row = np.repeat(np.arange(len(some)), n[asking[some]])
+                common = in_common(place[own], there[own], row, len(some), [sets[t] for t in part], union)
+                both = n[asking[some]][:, None] + n[part] - common
+                for i, j in zip(*np.nonzero(100 * common >= percent * both)):
+                    q, t = int(asking[some[i]]), int(part[j])
                     x, y = find(root[q]), find(root[t])
-                    if x == y or min(n[q], n[t]) * 100 < percent * max(n[q], n[t]):
-                        continue
-                    common = len(np.intersect1d(sets[q], sets[t], assume_unique=True))
-                    if 100 * common >= percent * (n[q] + n[t] - common):
+                    if x != y:
                         of[max(x, y)] = min(x, y)
                         out[0].append(q)
                         out[1].append(t)
