@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from scanloom.functions import calibration as C
 from scanloom.functions import geo
-from scanloom.operators import asof, cloud, curves, imu, interval, pair, scan, tau, texture
+from scanloom.operators import asof, cloud, curves, extrinsic, imu, interval, normals, pair, scan, tau, texture
 from scanloom.sources import proxy, proxy_mesh
 from scanloom.sources.proxy import prelude
 
@@ -690,3 +690,29 @@ def doc7_outliers(spark, sf):
 def doc5_distances(spark, sf):
     v = proxy_mesh.vertices(spark, sf).withColumnRenamed("vid", "id")
     return cloud.distance_quantiles(cloud.nearest_distance(v.filter("id % 2 = 1"), v.filter("id % 2 = 0"), 0.5))
+
+
+# Planes seen by both sensors, and normals
+
+
+@query(
+    "krn3_covariances",
+    SCENE + """, d AS (SELECT a.vid AS id, b.vid AS other, b.x, b.y, b.z, (b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) + (b.z - a.z) * (b.z - a.z) AS s FROM vertices a JOIN vertices b ON b.y BETWEEN a.y - 0.26 AND a.y + 0.26),
+k AS (SELECT * FROM d WHERE s <= 0.25 * 0.25 QUALIFY row_number() OVER (PARTITION BY id ORDER BY s, other) <= 9)
+SELECT id, count(*) AS n, """ + ", ".join(f"round(covar_pop({a}, {b}), 6) AS {a}{b}" for a, b in ("xx", "xy", "xz", "yy", "yz", "zz")) + " FROM k GROUP BY id",
+)
+def krn3_covariances(spark, sf):
+    return normals.covariances(proxy_mesh.vertices(spark, sf).withColumnRenamed("vid", "id"), 0.25, 9)
+
+
+def planes(spark, sf):
+    """A plane for each embedding, which faces both sensors, in LiDAR coordinates and as the rig's camera sees it."""
+    part = lambda first: F.slice("embedding", first, 3).cast("array<double>")
+    held = proxy.table(spark, sf, "embeddings").select(part(1).alias("n_lidar"), F.zip_with(part(1), part(4), lambda n, c: c * 0.1 - n * 5).alias("c_lidar"))
+    moved = lambda c, shift: F.array(*geo.transform(C.LIDAR_TO_CAM, shift, geo.of_array(F.col(c), 3)))
+    return held.withColumns({"n_cam": moved("n_lidar", C.NO_SHIFT), "c_cam": moved("c_lidar", C.LIDAR_TO_CAM_SHIFT)})
+
+
+@query("doc2_extrinsic")
+def doc2_extrinsic(spark, sf):
+    return extrinsic.extrinsic(planes(spark, sf))

@@ -1,5 +1,7 @@
 """Recorded messages to points, poses and images. Payloads are little-endian CDR: four bytes of encapsulation, then fields
-aligned to their size. What can't be decoded is dropped; `rejects` counts it by topic."""
+aligned to their size. What can't be decoded is dropped; `rejects` counts it by topic. Images in an encoding that isn't read fail the job: a
+whole topic would vanish otherwise. An encoding that isn't read fails the job, as a
+whole topic would vanish otherwise."""
 
 from __future__ import annotations
 
@@ -15,6 +17,14 @@ from pyspark.sql import functions as F
 POINT_KINDS = {1: "i1", 2: "u1", 3: "<i2", 4: "<u2", 5: "<i4", 6: "<u4", 7: "<f4", 8: "<f8"}
 
 
+#: Bytes of a pixel of the encodings that are read. Fixed values.
+PIXEL_BYTES = {"mono8": 1, "bgr8": 3, "rgb8": 3}
+
+
+class UnknownEncoding(RuntimeError):
+    """A whole image in an encoding that isn't read; no malformed message."""
+
+
 class Cursor:
     """Reads CDR fields one after another; too short a payload raises ValueError."""
 
@@ -88,8 +98,12 @@ def raw_image(data: bytes) -> tuple[int, bytes, int, int, str]:
     ns, height, width, encoding = c.stamp(), c.number("I"), c.number("I"), c.text()
     c.number("B")
     step, raw = c.number("I"), c.blob()
-    used = width * {"mono8": 1, "bgr8": 3, "rgb8": 3}.get(encoding, 0)
-    if not used or step < used or len(raw) < height * step:
+    if len(raw) < height * step:
+        raise ValueError("layout")
+    if encoding not in PIXEL_BYTES:
+        raise UnknownEncoding(f"images in {encoding} aren't read, only {', '.join(PIXEL_BYTES)}")
+    used = width * PIXEL_BYTES[encoding]
+    if step < used:
         raise ValueError("layout")
     rows = np.frombuffer(raw, np.uint8, height * step).reshape(height, step)[:, :used]
     return ns, rows.tobytes(), height, width, encoding
@@ -136,7 +150,9 @@ def decode_odometry(bag: DataFrame) -> DataFrame:
 
 
 def decode_images(bag: DataFrame) -> DataFrame:
-    """file, topic, seq, record_ns, header_ns, data, height, width, encoding of raw image messages."""
+    """file, topic, seq, record_ns, header_ns, data, height, width, encoding of raw image messages. Compressed ones fail the job."""
+    kinds = F.col("msg_type").contains("CompressedImage")
+    bag = bag.withColumn("data", F.when(~kinds, F.col("data")).otherwise(F.raise_error(F.concat(F.col("topic"), F.lit(" holds compressed images"))).cast("binary")))
 
     def rows(data: bytes) -> dict:
         return {name: [value] for name, value in zip(("header_ns", "data", "height", "width", "encoding"), raw_image(data))}
@@ -144,11 +160,28 @@ def decode_images(bag: DataFrame) -> DataFrame:
     return _decoded(bag, "header_ns long, data binary, height int, width int, encoding string", rows)
 
 
-def rejects(bag: DataFrame, decoded: DataFrame) -> DataFrame:
-    """(topic, messages, decoded, rejected): messages are told by file, topic and seq."""
-    key = ["file", "topic", "seq"]
-    got = decoded.select(*key).distinct().withColumn("ok", F.lit(1))
-    counts = bag.select(*key).join(got, key, "left").groupBy("topic").agg(F.count("*").alias("messages"), F.count("ok").alias("decoded"))
+#: What tells whether a payload is whole, by what it should be.
+READERS = {"points": cloud_points, "odometry": odometry_pose, "images": raw_image}
+
+
+def rejects(bag: DataFrame, kind: str) -> DataFrame:
+    """(topic, messages, decoded, rejected) of messages that should be points, odometry or images. A message that can be read counts as
+    decoded, whether it holds a point or not."""
+    reader = READERS[kind]
+
+    def status(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ok = []
+            for data in batch["data"]:
+                try:
+                    reader(bytes(data))
+                    ok.append(True)
+                except ValueError:
+                    ok.append(False)
+            yield pd.DataFrame({"topic": batch["topic"], "ok": pd.Series(ok, dtype=bool)})
+
+    told = bag.select("topic", "data").mapInPandas(status, "topic string, ok boolean")
+    counts = told.groupBy("topic").agg(F.count("*").alias("messages"), F.count_if("ok").alias("decoded"))
     return counts.withColumn("rejected", F.col("messages") - F.col("decoded"))
 
 

@@ -85,7 +85,7 @@ def test_odometry_images_and_rejects(spark, bag):
     assert [
         (r["seq"], r["ns"], r["pos"], r["quat"]) for r in got.orderBy("seq").collect()
     ] == [(i, i * 10, [float(i), 2.0, 3.0], [0.0, 0.0, 0.0, 1.0]) for i in range(4)]
-    assert tuple(messages.rejects(held, got).collect()[0]) == ("/odom", 5, 4, 1)
+    assert tuple(messages.rejects(held, "odometry").collect()[0]) == ("/odom", 5, 4, 1)
     image = messages.decode_images(read_bag(spark, bag, topics="/image")).collect()[0]
     assert (image["header_ns"], image["height"], image["width"], bytes(image["data"])) == (77, 2, 2, bytes(range(1, 13)))
     messages.at_least(got, 4, "poses")
@@ -93,6 +93,21 @@ def test_odometry_images_and_rejects(spark, bag):
         messages.at_least(got, 10, "poses")
 
 
+def test_valid_scans_without_points_and_unknown_encodings(spark):
+    schema = "file string, topic string, msg_type string, record_ns long, seq long, data binary"
+    empty = cloud_message(5, np.full((3, 3), np.nan), np.zeros(3))
+    bag = spark.createDataFrame([("f", "/cloud", "PointCloud2", 1, 0, bytearray(empty)), ("f", "/cloud", "PointCloud2", 2, 1, bytearray(b"\0\1\0\0x"))], schema)
+    assert tuple(messages.rejects(bag, "points").collect()[0]) == ("/cloud", 2, 1, 1)
+    assert messages.decode_points(bag).count() == 0
+    odd = bytearray(image_message(1, 2, 2, "bayer_rggb8", 2, bytes(4)))
+    with pytest.raises(Exception, match="bayer_rggb8"):
+        messages.decode_images(spark.createDataFrame([("f", "/i", "Image", 1, 0, odd)], schema)).collect()
+    with pytest.raises(Exception, match="compressed"):
+        messages.decode_images(spark.createDataFrame([("f", "/i", "sensor_msgs/msg/CompressedImage", 1, 0, bytearray(b"x"))], schema)).collect()
+    cut = bytearray(image_message(1, 200, 2, "bgr8", 6, bytes(4)))
+    assert messages.decode_images(spark.createDataFrame([("f", "/i", "Image", 1, 0, cut)], schema)).count() == 0
+
+
 def test_from_a_recording_to_the_time_offset(spark, bag):
     points = messages.decode_points(read_bag(spark, bag, topics="/cloud", splits="4"))
     assert points.count() == 50 * 450
