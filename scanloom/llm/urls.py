@@ -53,6 +53,15 @@ def host_of(url: Column) -> Column:
     return F.translate(F.coalesce(F.regexp_extract(url, r"://([^/?#]*)", 1), F.lit("")), _UPPER, _LOWER)
 
 
+#: User before, port after a host; an address in brackets keeps its colons.
+BARE = r"^(?:[^@]*@)?(\[[^\]]*\]|[^:]*)"
+
+
+def node_of(host: Column) -> Column:
+    """The host in the link graph: without user and port, as links name it with either or neither."""
+    return F.regexp_extract(host, BARE, 1)
+
+
 def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"://[^/?#]*([^?#]*)", 1), F.lit(""))
 
@@ -74,8 +83,8 @@ def best_rule(host: Column, path: Column, rules: Sequence[UrlRule]) -> Column:
 def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(src, dst, n): links between different hosts."""
     return (
-        pages.select(host_of(F.col(url_col)).alias("src"), F.explode(F.regexp_extract_all(F.col(html_col), F.lit(HREF), F.lit(1))).alias("link"))
-        .select("src", F.translate(F.regexp_extract("link", r"//(?:[^@]*@)?([^/?#:]*)", 1), _UPPER, _LOWER).alias("dst"))
+        pages.select(node_of(host_of(F.col(url_col))).alias("src"), F.explode(F.regexp_extract_all(F.col(html_col), F.lit(HREF), F.lit(1))).alias("link"))
+        .select("src", node_of(F.translate(F.regexp_extract("link", r"//([^/?#]*)", 1), _UPPER, _LOWER)).alias("dst"))
         .filter("src <> '' AND dst <> '' AND src <> dst")
         .groupBy("src", "dst")
         .agg(F.count("*").alias("n"))
@@ -121,8 +130,8 @@ def judge_urls(
     `threshold` is the distrust, in multiples of a host's even share of it, from which a host without a rule is
     blocked if its trust is lower."""
     places = pages.select(F.col(id_col).alias(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    places = places.withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
-    vouched = places.filter("host <> ''").groupBy("host").agg(F.count_if(F.col("best.verdict") == "allow").alias("good"), F.count_if(F.col("best.verdict") == "block").alias("bad"))
+    places = places.withColumn("best", best_rule(F.col("host"), F.col("path"), rules)).withColumn("node", node_of(F.col("host")))
+    vouched = places.filter("node <> ''").groupBy(F.col("node").alias("host")).agg(F.count_if(F.col("best.verdict") == "allow").alias("good"), F.count_if(F.col("best.verdict") == "block").alias("bad"))
     vouched = materialise(vouched, "url-hosts")
     total = vouched.agg(F.count("*").alias("hosts"), F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect()[0]
     seeds = vouched.select("host", (F.col("good") / float(max(total["good"] or 0, 1))).alias("trust"), (F.col("bad") / float(max(total["bad"] or 0, 1))).alias("distrust"))
@@ -131,7 +140,7 @@ def judge_urls(
         scores.filter((F.col("distrust") * float(max(total["hosts"], 1)) >= threshold) & (F.col("distrust") > F.col("trust"))).select("host", F.lit(True).alias("spam")),
         "url-blocked",
     )
-    return places.join(blocked, "host", "left").select(
+    return places.join(blocked.withColumnRenamed("host", "node"), "node", "left").select(
         id_col, "host", "path",
         F.col("best.rule").alias("rule"),
         F.coalesce(F.col("best.verdict"), F.when(F.col("spam"), "block"), F.lit("allow")).alias("verdict"),
@@ -156,10 +165,10 @@ WITH rules(rule, rhost, rpath, verdict) AS (VALUES {values}), p AS (
   SELECT page_id, host, path, max(CASE WHEN rule IS NOT NULL THEN lpad(CAST(length(rule) AS VARCHAR), 6, '0') || rule END) AS best
   FROM p LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY ALL
 ), j AS (SELECT q.*, rule, verdict FROM q LEFT JOIN rules ON rule = best[7:]),
-h AS (SELECT host, count(*) FILTER (verdict = 'allow') AS good, count(*) FILTER (verdict = 'block') AS bad FROM j WHERE host <> '' GROUP BY host),
+h AS (SELECT regexp_extract(host, '{BARE}', 1) AS host, count(*) FILTER (verdict = 'allow') AS good, count(*) FILTER (verdict = 'block') AS bad FROM j WHERE regexp_extract(host, '{BARE}', 1) <> '' GROUP BY 1),
 t AS (SELECT count(*) AS hosts, greatest(sum(good), 1) AS good, greatest(sum(bad), 1) AS bad FROM h),
-links AS (SELECT host AS src, unnest(regexp_extract_all(html, '(?i)href\s*=\s*["'']?\s*((?:https?:)?//[^/?#"''\s<>]+)', 1)) AS link FROM p),
-e AS (SELECT src, dst, count(*) AS n FROM (SELECT src, {lower % "regexp_extract(link, '//(?:[^@]*@)?([^/?#:]*)', 1)"} AS dst FROM links)
+links AS (SELECT regexp_extract(host, '{BARE}', 1) AS src, unnest(regexp_extract_all(html, '(?i)href\s*=\s*["'']?\s*((?:https?:)?//[^/?#"''\s<>]+)', 1)) AS link FROM p),
+e AS (SELECT src, dst, count(*) AS n FROM (SELECT src, regexp_extract({lower % "regexp_extract(link, '//([^/?#]*)', 1)"}, '{BARE}', 1) AS dst FROM links)
       WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
 arcs AS (SELECT 'trust' AS kind, src AS "at", dst AS "to", n / sum(n) OVER (PARTITION BY src) AS p FROM e
          UNION ALL SELECT 'distrust', dst, src, n / sum(n) OVER (PARTITION BY dst) FROM e),
@@ -169,5 +178,5 @@ s0 AS (SELECT 'trust' AS kind, host, {1 - damping} * h.good / t.good AS score FR
 v AS (SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS trust, coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS distrust FROM s{rounds} GROUP BY host)
 SELECT page_id, j.host, path, rule,
        coalesce(verdict, CASE WHEN distrust * (SELECT hosts FROM t) >= {threshold} AND distrust > trust THEN 'block' END, 'allow') AS verdict
-FROM j LEFT JOIN v ON j.host = v.host
+FROM j LEFT JOIN v ON regexp_extract(j.host, '{BARE}', 1) = v.host
 """

@@ -58,3 +58,16 @@ def test_arrays_and_pivot_score_alike(spark, monkeypatch):
     pivot = sorted(decontaminate.search(held, index))
     assert [x[:2] for x in arrays] == [x[:2] for x in pivot] and len(pivot) >= 80
     assert np.allclose([x[2:] for x in arrays], [x[2:] for x in pivot])
+
+
+def test_links_reach_hosts_with_ports(spark):
+    from scanloom.llm import urls
+
+    link = '<a href="http://u@Spam.example:81/x">'
+    pages = spark.createDataFrame(
+        [(1, "http://spam.example:8080/a", None), (2, "http://bad.net/", link), (3, "http://[::1]:80/", '<a href="http://[::1]/y">')],
+        "page_id long, url string, html string"
+    )
+    assert [tuple(r) for r in urls.host_edges(pages).collect()] == [("bad.net", "spam.example", 1)]
+    got = {r["page_id"]: r["host"] for r in urls.judge_urls(pages).collect()}
+    assert got == {1: "spam.example:8080", 2: "bad.net", 3: "[::1]:80"}
