@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from scanloom.functions import calibration as C
 from scanloom.functions import geo
-from scanloom.operators import asof, cloud, curves, extrinsic, imu, interval, normals, pair, scan, tau, texture
+from scanloom.operators import asof, cloud, curves, extrinsic, imu, interval, normals, pair, scan, tau, texture, velocity
 from scanloom.sources import proxy, proxy_mesh
 from scanloom.sources.proxy import prelude
 
@@ -716,3 +716,33 @@ def planes(spark, sf):
 @query("doc2_extrinsic")
 def doc2_extrinsic(spark, sf):
     return extrinsic.extrinsic(planes(spark, sf))
+
+
+VELOCITY = """%(c)sseg AS (SELECT t AS t0, x AS x0, lead(t) OVER (ORDER BY t) AS t1, lead(x) OVER (ORDER BY t) AS x1 FROM %(c)s),
+%(c)sgrid AS (SELECT *, unnest(generate_series(ceil(t0 / 0.05::DOUBLE - 1e-9::DOUBLE)::BIGINT, ceil(t1 / 0.05::DOUBLE - 1e-9::DOUBLE)::BIGINT - 1)) AS k FROM %(c)sseg WHERE t1 > t0),
+%(c)sat AS (SELECT k, x0 + (k * 0.05::DOUBLE - t0) / (t1 - t0) * (x1 - x0) AS x FROM %(c)sgrid),
+%(c)sv AS (SELECT k, (x1 - x) / 0.05::DOUBLE AS v FROM (SELECT k, x, lead(k) OVER (ORDER BY k) AS k1, lead(x) OVER (ORDER BY k) AS x1 FROM %(c)sat) WHERE k1 = k + 1)"""
+
+
+@query(
+    "doc3_correlations",
+    prelude("points", "camera") + f", {LIDAR}, cam AS (FROM camera), lid AS (FROM lidar), {VELOCITY % {'c': 'cam'}}, {VELOCITY % {'c': 'lid'}}, lags AS (SELECT unnest(generate_series(-8, 8)) AS lag) "
+    "SELECT lag, count(*) AS n, round(corr(lidv.v, camv.v), 6) AS corr FROM lags, lidv JOIN camv ON camv.k = lidv.k - lag GROUP BY lag",
+)
+def doc3_correlations(spark, sf):
+    return velocity.correlations(proxy.camera_curve(spark, sf), lidar_curve(spark, sf), 0.05, 8)
+
+
+@query(
+    "str1_paths",
+    "SELECT event_id AS idx, 'img_' || event_id || '.png' AS base, event_type AS folder, 'png' AS kind, contains('img_' || event_id || '.png', '7') AS has_seven FROM events",
+)
+def str1_paths(spark, sf):
+    """Base name, folder and extension of a path, and a part of the base name."""
+    path = F.concat(F.lit("/data/"), F.col("event_type"), F.lit("/img_"), F.col("event_id").cast("string"), F.lit(".png"))
+    parts = F.split(path, "/")
+    base = F.element_at(parts, -1)
+    return proxy.table(spark, sf, "events").select(
+        F.col("event_id").alias("idx"), base.alias("base"), F.element_at(parts, -2).alias("folder"),
+        F.element_at(F.split(base, r"\."), -1).alias("kind"), base.contains("7").alias("has_seven")
+    )
