@@ -56,7 +56,7 @@ def test_a_growing_recording_is_read_once(spark, tmp_path):
     assert got == sorted(map(str, read_bag(spark, bags, topics="/a,/b").collect())) and len(got) == 71
 
 
-@pytest.mark.parametrize("cuts", [(60,), (7, 19, 20, 41, 60), tuple(range(5, 61, 5))])
+@pytest.mark.parametrize("cuts", [(60,), (5, 12, 19, 20, 28, 41, 50, 60)])
 def test_live_colours_equal_the_batch_query(spark, tmp_path, cuts):
     rng = np.random.default_rng(4)
     stamps = sorted([(int(t), 1) for t in rng.integers(0, 3_000_000, 32)] + [(int(t), 2) for t in rng.integers(0, 3_000_000, 26)])

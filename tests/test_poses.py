@@ -38,13 +38,13 @@ def test_interpolation_is_exact(spark, track):
 
 def test_exact_hit_span_and_gap(spark):
     odom = spark.createDataFrame(
-        [(i, int(t * 1e9), [0.0, 0.0, 0.0, 2.0], [float(t), 0.0, 0.0]) for i, t in enumerate((0, 0.1, 2, 2.1))],
+        [(i, int(t * 1e9), [0.0, 0.0, 0.0, 2.0], [float(t), 0.0, 0.0]) for i, t in enumerate((0, 0.25, 3, 3.5))],
         "seq long, ns long, quat array<double>, pos array<double>"
     )
-    shots = spark.createDataFrame([(0, -1), (1, 0), (2, 50_000_000), (3, 1_000_000_000), (4, 2_000_000_000), (5, 2_200_000_000)], "idx long, ns long")
+    shots = spark.createDataFrame([(0, -1), (1, 0), (2, 50_000_000), (3, 1_000_000_000), (4, 3_000_000_000), (5, 3_700_000_000)], "idx long, ns long")
     got = {r["idx"]: (r["reason"], r["ok"], r["px"], r["qw"]) for r in match_poses(odom, shots, 0.5).collect()}
     assert got[0][:2] == ("out of span", False) and got[5][:2] == ("out of span", False)
-    assert got[1] == ("exact", True, 0.0, 1.0) and got[4] == ("exact", True, 2.0, 1.0)
+    assert got[1] == ("exact", True, 0.0, 1.0) and got[4] == ("exact", True, 3.0, 1.0)
     assert got[2][0] == "interp" and got[2][2] == pytest.approx(0.05)
     assert got[3][:3] == ("gap", False, None)
 
