@@ -54,7 +54,7 @@ def made(seed, n, letters="abcdefghijkl"):
     return rows
 
 
-@pytest.mark.parametrize("seed,least,top", [(1, 3, 5), (2, 2, 12), (3, 5, 1000), (4, 20, 3)])
+@pytest.mark.parametrize("seed,least,top", [(1, 3, 5), (4, 20, 3)])
 def test_equals_all_phrases_counted(spark, seed, least, top):
     rows = made(seed, 300)
     docs = spark.createDataFrame([(lang, text, 7, "x") for lang, text in rows], "lang string, text string, f int, key string").repartition(3)
