@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from scanloom.functions import calibration as C
 from scanloom.operators import scan
 from scanloom.plans import catalog
 from scanloom.sources import proxy, proxy_mesh
@@ -18,7 +19,13 @@ def test_query_equals_oracle(spark, name):
 
 
 def test_queries_without_sql_are_these():
-    assert catalog.QUERIES.keys() - catalog.ORACLES.keys() == {"krn1_board_plane", "srt4_downsample", "doc7_outliers"}
+    assert catalog.QUERIES.keys() - catalog.ORACLES.keys() == {"krn1_board_plane", "srt4_downsample", "doc7_outliers", "doc2_extrinsic"}
+
+
+def test_the_rig_s_transform_comes_back(spark):
+    row = catalog.QUERIES["doc2_extrinsic"](spark, SF).first()
+    assert row["n"] == proxy.table(spark, SF, "embeddings").count() and row["residual_deg"] < 0.01
+    assert np.allclose(np.array(row["r"]).reshape(3, 3), C.LIDAR_TO_CAM, atol=1e-5) and np.allclose(row["t"], C.LIDAR_TO_CAM_SHIFT, atol=1e-4)
 
 
 def test_downsample_takes_the_lowest_hashes(spark):
