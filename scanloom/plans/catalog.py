@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from scanloom.functions import calibration as C
 from scanloom.functions import geo
 from scanloom.operators import asof, cloud, curves, extrinsic, imu, interval, normals, pair, scan, tau, texture, velocity
-from scanloom.sources import proxy, proxy_mesh
+from scanloom.sources import proxy, proxy_mesh, proxy_slam, slam
 from scanloom.sources.proxy import prelude
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -746,3 +746,13 @@ def str1_paths(spark, sf):
         F.col("event_id").alias("idx"), base.alias("base"), F.element_at(parts, -2).alias("folder"),
         F.element_at(F.split(base, r"\."), -1).alias("kind"), base.contains("7").alias("has_seven")
     )
+
+
+@query(
+    "doc1_world_points",
+    f"WITH {proxy_slam.SQL} SELECT node_id, count(*) AS n, round(sum(x), 4) AS sx, round(sum(y), 4) AS sy, round(sum(z), 4) AS sz, sum(r)::BIGINT AS r, sum(g)::BIGINT AS g, sum(b)::BIGINT AS b FROM world GROUP BY node_id",
+)
+def doc1_world_points(spark, sf):
+    """Coloured points of keyframes in the world, from deflated scans and poses."""
+    totals = [F.round(F.sum(a), 4).alias(f"s{a}") for a in "xyz"] + [F.sum(c).alias(c) for c in "rgb"]
+    return slam.world_points(proxy_slam.nodes(spark, sf)).groupBy("node_id").agg(F.count("*").alias("n"), *totals)
