@@ -1,7 +1,6 @@
 """Recorded messages to points, poses and images. Payloads are little-endian CDR: four bytes of encapsulation, then fields
-aligned to their size. What can't be decoded is dropped; `rejects` counts it by topic. Images in an encoding that isn't read fail the job: a
-whole topic would vanish otherwise. An encoding that isn't read fails the job, as a
-whole topic would vanish otherwise."""
+aligned to their size. What can't be decoded is dropped; `rejects` counts it by topic. Images in an encoding or a compressed format that
+isn't read fail the job: a whole topic would vanish otherwise."""
 
 from __future__ import annotations
 
@@ -13,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scanloom.sources.frames import MAGIC, decode_png
+
 #: PointField datatype codes of the public message definition to numpy types. Fixed values.
 POINT_KINDS = {1: "i1", 2: "u1", 3: "<i2", 4: "<u2", 5: "<i4", 6: "<u4", 7: "<f4", 8: "<f8"}
 
@@ -22,7 +23,7 @@ PIXEL_BYTES = {"mono8": 1, "bgr8": 3, "rgb8": 3}
 
 
 class UnknownEncoding(RuntimeError):
-    """A whole image in an encoding that isn't read; no malformed message."""
+    """A whole image in an encoding or format that isn't read; no malformed message."""
 
 
 class Cursor:
@@ -109,15 +110,29 @@ def raw_image(data: bytes) -> tuple[int, bytes, int, int, str]:
     return ns, rows.tobytes(), height, width, encoding
 
 
-def _decoded(bag: DataFrame, schema: str, rows_of: Callable[[bytes], Iterator[dict]]) -> DataFrame:
-    """rows_of: from a payload to columns, as dicts of equal-length lists; ValueError drops the message."""
+def compressed_image(data: bytes) -> tuple[int, bytes, int, int, str]:
+    """The same of a compressed image message. PNG is read; a whole payload of another kind is no malformed message."""
+    c = Cursor(data)
+    ns, kind, raw = c.stamp(), c.text(), c.blob()
+    if not raw:
+        raise ValueError("no image")
+    if raw[: len(MAGIC)] != MAGIC:
+        if raw[:4] == MAGIC[:4]:
+            raise ValueError("cut off")
+        raise UnknownEncoding(f"compressed images in {kind} aren't read, only png")
+    image = decode_png(raw)
+    return ns, image.tobytes(), *image.shape[:2], "bgr8"
+
+
+def _decoded(bag: DataFrame, schema: str, rows_of: Callable[..., Iterator[dict]], *more: str) -> DataFrame:
+    """rows_of: from a payload, and the bag's columns `more`, to columns, as dicts of equal-length lists; ValueError drops the message."""
     names = [x.split()[0] for x in schema.split(", ")]
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for message in batch.itertuples():
                 try:
-                    columns = rows_of(bytes(message.data))
+                    columns = rows_of(bytes(message.data), *[getattr(message, c) for c in more])
                 except ValueError:
                     continue
                 out = pd.DataFrame(columns)
@@ -125,7 +140,7 @@ def _decoded(bag: DataFrame, schema: str, rows_of: Callable[[bytes], Iterator[di
                     out[name] = getattr(message, name)
                 yield out[["file", "topic", "seq", "record_ns", *names]]
 
-    held = bag.select("file", "topic", "seq", "record_ns", "data")
+    held = bag.select("file", "topic", "seq", "record_ns", "data", *more)
     return held.mapInPandas(decode, f"file string, topic string, seq long, record_ns long, {schema}")
 
 
@@ -150,22 +165,22 @@ def decode_odometry(bag: DataFrame) -> DataFrame:
 
 
 def decode_images(bag: DataFrame) -> DataFrame:
-    """file, topic, seq, record_ns, header_ns, data, height, width, encoding of raw image messages. Compressed ones fail the job."""
-    kinds = F.col("msg_type").contains("CompressedImage")
-    bag = bag.withColumn("data", F.when(~kinds, F.col("data")).otherwise(F.raise_error(F.concat(F.col("topic"), F.lit(" holds compressed images"))).cast("binary")))
+    """file, topic, seq, record_ns, header_ns, data, height, width, encoding of image messages, raw ones and, by their type, compressed ones
+    (PNG; other formats fail the job)."""
 
-    def rows(data: bytes) -> dict:
-        return {name: [value] for name, value in zip(("header_ns", "data", "height", "width", "encoding"), raw_image(data))}
+    def rows(data: bytes, kind: str | None) -> dict:
+        image = (compressed_image if "CompressedImage" in (kind or "") else raw_image)(data)
+        return {name: [value] for name, value in zip(("header_ns", "data", "height", "width", "encoding"), image)}
 
-    return _decoded(bag, "header_ns long, data binary, height int, width int, encoding string", rows)
+    return _decoded(bag, "header_ns long, data binary, height int, width int, encoding string", rows, "msg_type")
 
 
 #: What tells whether a payload is whole, by what it should be.
-READERS = {"points": cloud_points, "odometry": odometry_pose, "images": raw_image}
+READERS = {"points": cloud_points, "odometry": odometry_pose, "images": raw_image, "compressed": compressed_image}
 
 
 def rejects(bag: DataFrame, kind: str) -> DataFrame:
-    """(topic, messages, decoded, rejected) of messages that should be points, odometry or images. A message that can be read counts as
+    """(topic, messages, decoded, rejected) of messages that should be points, odometry, images or compressed images. A message that can be read counts as
     decoded, whether it holds a point or not."""
     reader = READERS[kind]
 

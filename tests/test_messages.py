@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scanloom.functions.calibration import IDENTITY, NO_SHIFT, Calibration
 from scanloom.operators import cloud, curves, scan, tau
-from scanloom.sources import messages
+from scanloom.sources import frames, messages
 from scanloom.sources.bag import read_bag
 
 FLAT = Calibration(rotation=IDENTITY, shift=NO_SHIFT)
@@ -102,12 +102,28 @@ def test_valid_scans_without_points_and_unknown_encodings(spark):
     odd = bytearray(image_message(1, 2, 2, "bayer_rggb8", 2, bytes(4)))
     with pytest.raises(Exception, match="bayer_rggb8"):
         messages.decode_images(spark.createDataFrame([("f", "/i", "Image", 1, 0, odd)], schema)).collect()
-    with pytest.raises(Exception, match="compressed"):
-        messages.decode_images(spark.createDataFrame([("f", "/i", "sensor_msgs/msg/CompressedImage", 1, 0, bytearray(b"x"))], schema)).collect()
     cut = bytearray(image_message(1, 200, 2, "bgr8", 6, bytes(4)))
     assert messages.decode_images(spark.createDataFrame([("f", "/i", "Image", 1, 0, cut)], schema)).count() == 0
 
 
+def test_compressed_images(spark):
+    schema = "file string, topic string, msg_type string, record_ns long, seq long, data binary"
+    picture = np.random.default_rng(3).integers(0, 256, (5, 4, 3), dtype=np.uint8)
+    png = frames.png_of([frames.deflated(np.ascontiguousarray(picture[:, :, ::-1]))], 4, 5)
+    message = lambda kind, data: bytearray(Writer().header(42, "cam").blob(kind + b"\0").blob(data).done())
+    kind = "sensor_msgs/msg/CompressedImage"
+    rows = [(kind, message(b"png", png)), (kind, message(b"png", png[:-9])), (kind, message(b"png", b"")), (kind, bytearray(b"x"))]
+    rows.append(("sensor_msgs/msg/Image", bytearray(image_message(43, 5, 4, "bgr8", 12, picture.tobytes()))))
+    bag = spark.createDataFrame([("f", "/i", k, i, i, d) for i, (k, d) in enumerate(rows)], schema)
+    got = {r["seq"]: r for r in messages.decode_images(bag).collect()}
+    assert {i: r["header_ns"] for i, r in got.items()} == {0: 42, 4: 43}
+    assert all((r["height"], r["width"], r["encoding"], bytes(r["data"])) == (5, 4, "bgr8", picture.tobytes()) for r in got.values())
+    assert tuple(messages.rejects(bag.filter("seq < 4"), "compressed").collect()[0]) == ("/i", 4, 1, 3)
+    jpeg = spark.createDataFrame([("f", "/i", kind, 1, 0, message(b"jpeg", b"\xff\xd8\xff"))], schema)
+    with pytest.raises(Exception, match="compressed images in jpeg"):
+        messages.decode_images(jpeg).collect()
+
+
 def test_from_a_recording_to_the_time_offset(spark, bag):
     points = messages.decode_points(read_bag(spark, bag, topics="/cloud", splits="4"))
     assert points.count() == 50 * 450
