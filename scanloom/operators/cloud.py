@@ -97,21 +97,59 @@ def rolling_overlay(points: DataFrame, cal: Calibration, scans: int = 25, by: st
     and farthest of them in front: frame, u, v, b, g, red.
 
     The window runs over scans, not points; points are joined to the frames that hold their scan."""
-    ids = numbered(points.select(by).distinct(), by, "n")
-    last = ids.agg(F.max("n").alias("last"))
-    frames = ids.crossJoin(F.broadcast(last)).withColumn(
-        "m", F.explode(F.sequence("n", F.least(F.col("n") + scans - 1, F.col("last"))))
-    ).select(by, "m")
-    frames = frames.join(ids.select(F.col(by).alias("frame"), F.col("n").alias("m")), "m").select(by, "frame")
+    frames = frames_of(points, scans, by).drop("place")
+    front, ranges = _in_front(points, cal, frames, by)
+    dots = front.filter(geo.in_frame(cal, F.col("u"), F.col("v"))).select(by, "u", "v", "d").join(frames, by).join(ranges, "frame")
+    b, g, r = geo.depth_colour(F.col("d"), F.col("lo"), F.col("hi"))
+    return dots.select("frame", "u", "v", b.alias("b"), g.alias("g"), r.alias("red"))
+
+
+def frames_of(points: DataFrame, scans: int, by: str) -> DataFrame:
+    """(by, place, frame): for each scan, itself and the `scans` - 1 that come before it; place counts scans from 0."""
+    ids = numbered(points.select(by).distinct(), by, "place")
+    last = ids.agg(F.max("place").alias("last"))
+    held = ids.crossJoin(F.broadcast(last)).withColumn(
+        "m", F.explode(F.sequence("place", F.least(F.col("place") + scans - 1, F.col("last"))))
+    ).select(by, "place", "m")
+    return held.join(ids.select(F.col(by).alias("frame"), F.col("place").alias("m")), "m").select(by, "place", "frame")
+
+
+def _in_front(points: DataFrame, cal: Calibration, frames: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
+    """Points in front with pixel u, v and depth d, and for each frame the nearest and farthest of its points, lo and hi."""
     q = geo.transform(cal.rotation, cal.shift, geo.cols("x", "y", "z"))
-    front = points.withColumn("_p", geo.pixel(cal, q)).filter("_p IS NOT NULL")
-    front = front.select(by, F.rint("_p.u").try_cast("int").alias("u"), F.rint("_p.v").try_cast("int").alias("v"), F.col("_p.z").alias("d"))
+    front = points.withColumn("_p", geo.pixel(cal, q)).filter("_p IS NOT NULL").withColumns(
+        {"u": F.rint("_p.u").try_cast("int"), "v": F.rint("_p.v").try_cast("int"), "d": F.col("_p.z")}
+    )
     ranges = front.groupBy(by).agg(F.min("d").alias("lo"), F.max("d").alias("hi")).join(frames, by).groupBy("frame").agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
-    dots = front.filter(geo.in_frame(cal, F.col("u"), F.col("v"))).join(frames, by).join(ranges, "frame")
+    return front, ranges
+
+
+#: A filled circle of radius 1 as it is drawn: the pixel and its four neighbours.
+DOT = ((0, 0), (1, 0), (-1, 0), (0, 1), (0, -1))
+
+
+def overlay_pixels(points: DataFrame, cal: Calibration, scans: int = 25, by: str = "scan_id", order: str = "point_id") -> DataFrame:
+    """The rolling overlay as it is seen: (frame, u, v, b, g, r) of pixels under a dot of radius 1, cut at the image's edge. Of dots on one
+    pixel that of the latest scan is on top, in a scan that of the largest `order`, then the farther one.
+
+    A scan's pixels are settled before they meet the frames that hold it, as neither order nor depth depends on the frame."""
+    frames = frames_of(points, scans, by)
+    front, ranges = _in_front(points, cal, frames, by)
+    dots = front.filter(geo.in_frame(cal, F.col("u"), F.col("v"))).select(
+        by, order, "d", F.inline(F.array(*[F.struct((F.col("u") + x).alias("u"), (F.col("v") + y).alias("v")) for x, y in DOT]))
+    ).filter(geo.in_frame(cal, F.col("u"), F.col("v")))
+    top = dots.groupBy(by, "u", "v").agg(F.max(F.struct(order, "d")).alias("t")).select(by, "u", "v", F.col("t.d").alias("d"))
+    seen = top.join(frames, by).groupBy("frame", "u", "v").agg(F.max(F.struct("place", "d"))["d"].alias("d")).join(ranges, "frame")
     b, g, r = geo.depth_colour(F.col("d"), F.col("lo"), F.col("hi"))
-    return dots.select("frame", "u", "v", b.alias("b"), g.alias("g"), r.alias("red"))
+    return seen.select("frame", "u", "v", b.alias("b"), g.alias("g"), r.alias("r"))
+
+
+def accumulated(points: DataFrame, scans: int = 30, by: str = "scan_id") -> DataFrame:
+    """Each scan made denser by those before it: the points of the last `scans` scans, with `frame`, the scan that they end with. For a
+    sensor that stands still."""
+    return points.join(frames_of(points, scans, by).select(by, "frame"), by)
 
 
 def nearest_distance(queries: DataFrame, points: DataFrame, cell: float) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,11 +36,16 @@ def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """scan_id, x, y, z, time"""
-    return table(spark, sf_dir, "lineitem").select(
+    return points_of(table(spark, sf_dir, "lineitem"))
+
+
+def points_of(lineitem: DataFrame, *more: Column) -> DataFrame:
+    """The same, with more columns."""
+    return lineitem.select(
         (F.col("l_orderkey") % 40).alias("scan_id"),
         ((F.col("l_quantity") - 25.5) / 50).alias("x"), ((F.col("l_discount") - 0.05) * 10).alias("y"),
-        (F.col("l_extendedprice") / 40000).alias("z"), F.col("l_tax").alias("time"),
-    ).select("scan_id", *[F.col(c).cast("double") for c in ("x", "y", "z", "time")])
+        (F.col("l_extendedprice") / 40000).alias("z"), F.col("l_tax").alias("time"), *more,
+    ).withColumns({c: F.col(c).cast("double") for c in ("x", "y", "z", "time")})
 
 
 def imu(spark: SparkSession, sf_dir: str) -> DataFrame:

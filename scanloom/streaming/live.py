@@ -21,16 +21,23 @@ from scanloom.sources.messages import Cursor, cloud_points, raw_image
 OUT = "rig string, scan_id long, image_id long, point_id long, x double, y double, z double, time double, rgb long"
 
 
-def coloured(points: np.ndarray, image: np.ndarray, cal: Calibration) -> tuple[np.ndarray, np.ndarray]:
-    """(row, rgb) of points (x, y, z) in front of the camera that fall into the image after rounding half to even."""
+def projected(points: np.ndarray, cal: Calibration) -> tuple[np.ndarray, ...]:
+    """(row, u, v, depth) of points (x, y, z) in front of the camera; pixels rounded half to even, whether or not they are in the image."""
     x, y, z = (sum(points[:, j] * float(turn[j]) for j in range(3)) + float(shift) for turn, shift in zip(cal.rotation, cal.shift))
     row = np.flatnonzero(z > 0)
-    x, y = x[row] / z[row], y[row] / z[row]
+    z = z[row]
+    x, y = x[row] / z, y[row] / z
     k1, k2, p1, p2, k3 = cal.distortion
     r2 = x * x + y * y
     radial = 1 + r2 * (k1 + r2 * (k2 + r2 * k3))
     u = np.rint(cal.fx * (x * radial + 2 * p1 * x * y + p2 * (r2 + 2 * x * x)) + cal.cx)
     v = np.rint(cal.fy * (y * radial + p1 * (r2 + 2 * y * y) + 2 * p2 * x * y) + cal.cy)
+    return row, u, v, z
+
+
+def coloured(points: np.ndarray, image: np.ndarray, cal: Calibration) -> tuple[np.ndarray, np.ndarray]:
+    """(row, rgb) of points (x, y, z) in front of the camera that fall into the image after rounding half to even."""
+    row, u, v, _ = projected(points, cal)
     inside = (u >= 0) & (u < cal.width) & (v >= 0) & (v < cal.height)
     row, u, v = row[inside], u[inside].astype(int), v[inside].astype(int)
     rgb = np.zeros(len(row), np.int64)
@@ -46,8 +53,11 @@ def nearest_of(us: int, others: list[tuple[int, int]], slop_us: int) -> tuple[in
     return min(near)[1:] if near else None
 
 
-class LiveColours(StatefulProcessor):
-    """State: messages by kind and number, with their stamps and payloads."""
+class LivePairs(StatefulProcessor):
+    """Gives each pair of a scan and an image once, in order of the scans' stamps, as soon as it is settled, to `paired` of the class that is
+    made of this one. State: messages by kind and number, with their stamps and payloads. A message that comes again is passed over."""
+
+    columns = OUT
 
     def __init__(self, cal: Calibration, slop_us: int) -> None:
         self.cal, self.slop = cal, slop_us
@@ -56,13 +66,19 @@ class LiveColours(StatefulProcessor):
         self.handle = handle
         self.held = handle.getMapState("held", "kind string, id long", "us long, done boolean, data binary")
 
+    def paired(self, rig: str, scan: tuple[int, int], image: tuple[int, int], cloud: bytes, picture: bytes) -> Iterator[pd.DataFrame]:
+        """Rows of a pair; scan and image: (us, id)."""
+        raise NotImplementedError
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         for pdf in rows:
             for r in pdf.itertuples():
+                if self.held.containsKey((r.kind, int(r.id))):
+                    continue
                 self.held.updateValue((r.kind, int(r.id)), (int(r.us), False, bytes(r.data)))
                 if r.kind == "scan":
                     self.handle.registerTimer(self.settled_ms(int(r.us)))
-        yield pd.DataFrame({c.split()[0]: [] for c in OUT.split(", ")}).astype({"rig": "object"})
+        yield pd.DataFrame({c.split()[0]: [] for c in self.columns.split(", ")}).astype({"rig": "object"})
 
     def settled_ms(self, us: int) -> int:
         return (us + 2 * self.slop) // 1000 + 1
@@ -79,11 +95,7 @@ class LiveColours(StatefulProcessor):
             self.held.updateValue(("scan", i), (us, True, b""))
             best = nearest_of(us, images, self.slop)
             if best and nearest_of(best[0], scans, self.slop) == (us, i):
-                points = cloud_points(bytes(data))[1]
-                _, raw, height, width, encoding = raw_image(bytes(self.held.getValue(("image", best[1]))[2]))
-                row, rgb = coloured(points, decode_image(raw, height, width, encoding), self.cal)
-                columns = {"rig": key[0], "scan_id": i, "image_id": best[1], "point_id": row}
-                yield pd.DataFrame(columns | {c: points[row, k] for k, c in enumerate(("x", "y", "z", "time"))} | {"rgb": rgb})
+                yield from self.paired(key[0], (us, i), best, bytes(data), bytes(self.held.getValue(("image", best[1]))[2]))
         for (kind, i), (us, _) in held.items():
             if us + 4 * self.slop < now * 1000:
                 self.held.removeKey((kind, i))
@@ -92,6 +104,17 @@ class LiveColours(StatefulProcessor):
         pass
 
 
+class LiveColours(LivePairs):
+    """A scan's points with the colours of its image."""
+
+    def paired(self, rig: str, scan: tuple[int, int], image: tuple[int, int], cloud: bytes, picture: bytes) -> Iterator[pd.DataFrame]:
+        points = cloud_points(cloud)[1]
+        _, raw, height, width, encoding = raw_image(picture)
+        row, rgb = coloured(points, decode_image(raw, height, width, encoding), self.cal)
+        columns = {"rig": rig, "scan_id": scan[1], "image_id": image[1], "point_id": row}
+        yield pd.DataFrame(columns | {c: points[row, k] for k, c in enumerate(("x", "y", "z", "time"))} | {"rgb": rgb})
+
+
 def stamped(bag: DataFrame, cloud_topic: str, image_topic: str) -> DataFrame:
     """(rig, kind, id, us, ts, data) of the two topics' messages by header stamp; a rig is a file. Messages that can't be read are
     dropped. bag: batch or stream."""
