@@ -200,3 +200,24 @@ def top_view(vertices: DataFrame, cal: Calibration) -> DataFrame:
     x = vertices.crossJoin(F.broadcast(ends))
     place = lambda a, size: (F.col(a) - F.col(f"lo{a}")) / (F.col(f"hi{a}") - F.col(f"lo{a}") + 1e-9) * size
     return x.select("vid", place("x", cal.width).alias("u"), place("y", cal.height).alias("v"), (F.col("z") - F.col("loz") + 0.1).alias("depth"))
+
+
+def render_top(faces: DataFrame, vertices: DataFrame, images: DataFrame, cal: Calibration, source: int, shrink: int = 4) -> DataFrame:
+    """The mesh seen from above, as `top_view` lays it out, with the colours of image number `source`: (yy, xx, z, fid, img, u, v) for each
+    covered pixel, the lowest point on it wins. Triangles stay out if a corner falls outside the image. As depth counts from the lowest
+    vertex here, corners behind the camera are mirrored into the image and take part.
+
+    Vertices are placed once, before faces gather them."""
+    pose = F.broadcast(world_to_camera_table(images, cal).filter(F.col("idx") == source).select("w"))
+    seen = vertices.crossJoin(pose).select("vid", F.array(F.struct(*[c.alias(a) for c, a in zip(_camera("w", geo.cols("x", "y", "z")), "xyz")])).alias("c"))
+    texel = F.transform("c", lambda c: F.struct(*[t.alias(n) for t, n in zip(geo.project(cal, (c["x"], c["y"], F.nullif(c["z"], F.lit(0.0)))), "uv")]))[0]
+    placed = top_view(vertices, cal).join(seen.select("vid", texel.alias("t")), "vid")
+    placed = placed.filter(geo.in_frame(cal, F.col("t.u"), F.col("t.v")))
+    out = faces
+    for k in range(3):
+        corner = placed.select(
+            F.col("vid").alias(f"i{k}"), (F.col("u") / shrink).alias(f"pu{k}"), (F.col("v") / shrink).alias(f"pv{k}"),
+            F.col("t.u").alias(f"tu{k}"), F.col("t.v").alias(f"tv{k}"), F.col("depth").alias(f"rz{k}")
+        )
+        out = out.join(corner, f"i{k}")
+    return rasterise(out.drop("i0", "i1", "i2").withColumn("img", F.lit(source).cast("long")), cal.width // shrink, cal.height // shrink, cal)

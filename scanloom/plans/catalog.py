@@ -756,3 +756,61 @@ def doc1_world_points(spark, sf):
     """Coloured points of keyframes in the world, from deflated scans and poses."""
     totals = [F.round(F.sum(a), 4).alias(f"s{a}") for a in "xyz"] + [F.sum(c).alias(c) for c in "rgb"]
     return slam.world_points(proxy_slam.nodes(spark, sf)).groupBy("node_id").agg(F.count("*").alias("n"), *totals)
+
+
+DOTS = PROJECTED.replace("SELECT scan_id, x, y, z,", "SELECT scan_id, point_id, x, y, z,").replace("AS scan_id, ((l_quantity", "AS scan_id, l_orderkey * 8 + l_linenumber AS point_id, ((l_quantity")
+
+
+@query(
+    "q7_overlay_frames",
+    DOTS.rstrip() + f""", s AS (SELECT scan_id, row_number() OVER (ORDER BY scan_id) AS n FROM (SELECT DISTINCT scan_id FROM points)), f AS (SELECT a.scan_id AS frame, b.scan_id, b.n FROM s a JOIN s b ON b.n BETWEEN a.n - 24 AND a.n),
+r AS (SELECT frame, min(cz) AS lo, max(cz) AS hi FROM f JOIN uv USING (scan_id) GROUP BY frame),
+i AS (SELECT scan_id, point_id, cz, round_even(u, 0)::BIGINT AS u, round_even(v, 0)::BIGINT AS v FROM uv WHERE round_even(u, 0) >= 0 AND round_even(u, 0) < {C.WIDTH} AND round_even(v, 0) >= 0 AND round_even(v, 0) < {C.HEIGHT}),
+o AS (SELECT scan_id, point_id, cz, u + du AS u, v + dv AS v FROM i, (VALUES (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) t(du, dv) WHERE u + du >= 0 AND u + du < {C.WIDTH} AND v + dv >= 0 AND v + dv < {C.HEIGHT}),
+k AS (SELECT frame, u, v, cz FROM f JOIN o USING (scan_id) QUALIFY row_number() OVER (PARTITION BY frame, u, v ORDER BY n DESC, point_id DESC, cz DESC) = 1),
+d AS (SELECT frame, u, v, (cz - lo) / greatest(hi - lo, 1e-3) AS ratio FROM k JOIN r USING (frame))
+SELECT frame, count(*) AS n, sum(u)::BIGINT AS u, sum(v)::BIGINT AS v, sum(trunc(round(255 * ratio, 6)))::BIGINT AS b, sum(trunc(round(255 * (1 - ratio), 6)))::BIGINT AS r FROM d GROUP BY frame""",
+)
+def q7_overlay_frames(spark, sf):
+    """Pixels of the overlay with dots of radius 1."""
+    line = proxy.table(spark, sf, "lineitem")
+    seen = cloud.overlay_pixels(proxy.points_of(line, (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("point_id")), CAL)
+    return seen.groupBy("frame").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in "uvbr"])
+
+
+@query(
+    "doc8_accumulation",
+    prelude("points") + """, s AS (SELECT scan_id, row_number() OVER (ORDER BY scan_id) AS n FROM (SELECT DISTINCT scan_id FROM points)), f AS (SELECT a.scan_id AS frame, b.scan_id FROM s a JOIN s b ON b.n BETWEEN a.n - 29 AND a.n)
+SELECT frame, count(*) AS n, count(DISTINCT scan_id) AS scans, round(min(z), 6) AS near, round(max(z), 6) AS far, round(sum(x), 4) AS sx FROM f JOIN points USING (scan_id) GROUP BY frame""",
+)
+def doc8_accumulation(spark, sf):
+    whole = cloud.accumulated(proxy.points(spark, sf))
+    return whole.groupBy("frame").agg(F.count("*").alias("n"), F.countDistinct("scan_id").alias("scans"), F.min("z").alias("near"), F.max("z").alias("far"), F.round(F.sum("x"), 4).alias("sx"))
+
+
+def top_sql() -> str:
+    """Image 0 on the mesh from above at an eighth of its size, in plain steps."""
+    w, h, ks = C.WIDTH // 8, C.HEIGHT // 8, range(3)
+    p = lambda n: ", ".join(f"{n}{k}" for k in ks)
+    mixed = lambda n: f"(a * {n}0 + b * {n}1 + (1 - a - b) * {n}2)"
+    camera = ", ".join(f"{e} AS c{a}" for e, a in zip(transform_sql(R, T, *[f"d{a}" for a in "xyz"]), "xyz"))
+    gathered = ", ".join(f"q{k}.pu AS pu{k}, q{k}.pv AS pv{k}, q{k}.rz AS rz{k}, q{k}.tu AS tu{k}, q{k}.tv AS tv{k}" for k in ks)
+    # the mesh's upper edge lies on pixel row 0, so coordinates must be doubles all the way, as decimals would differ in their last bit
+    exact = SCENE.replace("* 0.1 - 0.95)::DOUBLE", "* 0.1::DOUBLE - 0.95::DOUBLE)").replace("* 0.1 - 1.2)::DOUBLE", "* 0.1::DOUBLE - 1.2::DOUBLE)")
+    return exact + f""", ends AS (SELECT min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy, min(z) AS lz FROM vertices),
+t1 AS (SELECT vid, {', '.join(f'{a} - t[{i}] AS d{a}' for i, a in enumerate('xyz', 1))}, (x - lx) / (hx - lx + 1e-9) * {C.WIDTH} / 8 AS pu, (y - ly) / (hy - ly + 1e-9) * {C.HEIGHT} / 8 AS pv, z - lz + 0.1 AS rz FROM vertices, ends, (SELECT t FROM images WHERE idx = 0)),
+t2 AS (SELECT vid, pu, pv, rz, {camera} FROM t1), t3 AS (SELECT *, cx / cz AS a, cy / cz AS b FROM t2 WHERE cz <> 0), t4 AS (SELECT vid, pu, pv, rz, {PX} AS tu, {PY} AS tv FROM t3),
+t5 AS (SELECT * FROM t4 WHERE tu >= 0 AND tu < {C.WIDTH} AND tv >= 0 AND tv < {C.HEIGHT}),
+t6 AS (SELECT fid, {gathered} FROM faces JOIN t5 q0 ON i0 = q0.vid JOIN t5 q1 ON i1 = q1.vid JOIN t5 q2 ON i2 = q2.vid),
+t7 AS (SELECT *, greatest(floor(least({p('pu')})), 0)::BIGINT AS minx, least(ceil(greatest({p('pu')})), {w - 1})::BIGINT AS maxx, greatest(floor(least({p('pv')})), 0)::BIGINT AS miny, least(ceil(greatest({p('pv')})), {h - 1})::BIGINT AS maxy,
+  (pv1 - pv2) * (pu0 - pu2) + (pu2 - pu1) * (pv0 - pv2) AS d FROM t6),
+t8 AS (SELECT *, unnest(range(miny, maxy + 1)) AS yy FROM t7 WHERE maxx >= minx AND maxy >= miny AND (maxx - minx) * (maxy - miny) <= {texture.MAX_TRIANGLE_PIXELS} AND abs(d) >= 1e-6),
+t9 AS (SELECT *, unnest(range(minx, maxx + 1)) AS xx FROM t8),
+t10 AS (SELECT *, ((pv1 - pv2) * (xx - pu2) + (pu2 - pu1) * (yy - pv2)) / d AS a, ((pv2 - pv0) * (xx - pu2) + (pu0 - pu2) * (yy - pv2)) / d AS b FROM t9),
+t11 AS (SELECT yy, xx, fid, 0 AS img, round({mixed('rz')}, 9) AS z, least(greatest(trunc({mixed('tu')} + 1e-6), 0), {C.WIDTH - 1})::BIGINT AS u, least(greatest(trunc({mixed('tv')} + 1e-6), 0), {C.HEIGHT - 1})::BIGINT AS v FROM t10 WHERE a >= 0 AND b >= 0 AND 1 - a - b >= 0),
+done AS (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY yy, xx ORDER BY z, fid) AS k FROM t11) WHERE k = 1)"""
+
+
+@query("q5_top_render", f"{top_sql()} {RENDERED}")
+def q5_top_render(spark, sf):
+    return texture.render_top(*scene(spark, sf), CAL, source=0, shrink=8)
