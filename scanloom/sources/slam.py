@@ -121,9 +121,15 @@ def coloured_points(rows: np.ndarray) -> dict[str, np.ndarray]:
 POINTS = "file string, node_id long, point_id long, x double, y double, z double, r long, g long, b long"
 
 
+def together(parts: list[dict[str, np.ndarray]]) -> pd.DataFrame:
+    return pd.DataFrame({c: np.concatenate([p[c] for p in parts]) for c in parts[0]})
+
+
 def _points(nodes: DataFrame, world: bool) -> DataFrame:
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            held: list[dict] = []
+            size = 0
             for n in batch.itertuples():
                 try:
                     columns = coloured_points(scan_rows(None if n.scan is None else bytes(n.scan)))
@@ -134,11 +140,17 @@ def _points(nodes: DataFrame, world: bool) -> DataFrame:
                     own = [columns[a] for a in "xyz"]
                     columns |= {a: sum(turn[i, j] * own[j] for j in range(3)) + turn[i, 3] for i, a in enumerate("xyz")}
                 for at in range(0, len(columns["x"]), SLICE):
-                    part = {"file": n.file, "node_id": n.node_id} | {c: v[at : at + SLICE] for c, v in columns.items()}
-                    yield pd.DataFrame(part)
-
-    held = nodes.filter("pose IS NOT NULL") if world else nodes
-    return held.select("file", "node_id", "scan", *(["pose"] if world else [])).mapInPandas(decode, POINTS)
+                    part = {c: v[at : at + SLICE] for c, v in columns.items()}
+                    held.append({"file": np.full(len(part["x"]), n.file, object), "node_id": np.full(len(part["x"]), n.node_id)} | part)
+                    size += len(part["x"])
+                    if size >= SLICE:
+                        yield together(held)
+                        held, size = [], 0
+            if held:
+                yield together(held)
+
+    taken = nodes.filter("pose IS NOT NULL") if world else nodes
+    return taken.select("file", "node_id", "scan", *(["pose"] if world else [])).mapInPandas(decode, POINTS)
 
 
 def scan_points(nodes: DataFrame) -> DataFrame:
