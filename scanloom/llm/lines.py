@@ -9,7 +9,7 @@ Data flow: exact copies meet first, aggregated map-side to one row (digest, line
 a third of all documents share is one row from there on; one join on the key follows. All lines of a block are compared
 with one of them, then all pairs that are still in different classes, in cells of bounded size (blocks.py). With one edit, a block of very many lines is first split again by the same rule on
 what the shared segment leaves of the lines, which halves it each round; that finds the same links. Pairs, links and
-classes stay in tables in the shared folder.
+classes are tables in the shared folder, and go as soon as what follows from them is written.
 
 Every line whose class occurs more than once is reported, with its class and the class's number of copies. A class with
 a line of more than `long_words` words keeps only its first line, by (document id, place), from the second copy on; one
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scanloom.llm import blocks
-from scanloom.llm.common import WORD, materialise, n_words, text_of
+from scanloom.llm.common import WORD, materialise, n_words, scratch, text_of
 from scanloom.llm.components import components
 
 MIN_CHARS = 16
@@ -109,38 +109,40 @@ def line_links(distinct: DataFrame, edits: int, split_rows: int = blocks.SPLIT_R
     """(a, b): digests of different lines, with the classes that all links within `edits` give. distinct: (digest, line, n).
 
     Keys are made once and kept as numbers; what follows reads lines of blocks of two and more only."""
-    keys = segment_keys(F.col("line"), F.col("n"), edits)
-    numbers = distinct.select(F.col("digest").alias("node"), *[key.alias(f"k{j}") for j, (key, _, _, _) in enumerate(keys)])
-    numbers = materialise(numbers, "line-keys")
-    each = [F.struct(F.col(f"k{j}").alias("key"), F.lit(owns).alias("owns"), F.lit(j).alias("j")) for j, (_, owns, _, _) in enumerate(keys)]
-    rows = numbers.select("node", F.explode(F.array(*each)).alias("x")).select("node", "x.*").filter("key IS NOT NULL")
-    first = materialise(blocks.sized(rows), "line-blocks")
-    needed = materialise(first.select(F.col("node").alias("digest")).distinct(), "line-needed")
-    # while these are few they are broadcast, so that the texts of all other lines needn't be shuffled to be dropped
-    few = needed.count() <= blocks.BROADCAST_KEYS
-    texts = distinct.select("digest", "line").join(F.broadcast(needed) if few else needed, "digest", "left_semi")
-    texts = materialise(texts, "line-texts")
-
-    held = first.select("key", "node", "owns", "n")
-    huge = first.filter(F.col("n") > split_rows)
-    if edits == 1 and not huge.isEmpty():
-        held, text, n = held.filter(F.col("n") <= split_rows), F.col("line"), F.length("line")
-        spans = F.array(*[F.struct(at.alias("at"), size.alias("size")) for _, _, at, size in segment_keys(text, n, 1)])
-        at, size = F.get(spans, F.col("j"))["at"], F.get(spans, F.col("j"))["size"]
-        rest = F.when(F.col("j") % 2 == 0, F.substring(text, at + size + 1, n)).otherwise(F.substring(text, F.lit(1), at))
-        level = huge.join(texts.withColumnRenamed("digest", "node"), "node").select("key", "node", rest.alias("rest"))
-        while not level.isEmpty():
-            now = materialise(blocks.sized(_halves(level)), "line-halves")
-            small = (F.col("n") <= split_rows) | F.col("last")
-            held = held.unionByName(now.filter(small).select("key", "node", "owns", "n"))
-            level = now.filter(~small).select("key", "node", "rest")
-    held = materialise(blocks.with_middle(held.withColumn("part", F.lit(0))), "line-middles")
-    items = texts.select(F.col("digest").alias("node"), F.encode("line", "UTF-32").alias("codes"))
-    items = items.withColumns({"band": F.lit(0).cast("long"), "sketch": F.lit(None).cast("array<long>")})
-    most = lambda longer, shorter: 0 * longer + edits
-    links = materialise(blocks.aligned(materialise(blocks.star_pairs(held), "line-pairs"), items, most), "line-links")
-    roots = blocks.classes(held, items, links, most)
-    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b")
+    with scratch(distinct.sparkSession) as tables:
+        keys = segment_keys(F.col("line"), F.col("n"), edits)
+        numbers = distinct.select(F.col("digest").alias("node"), *[key.alias(f"k{j}") for j, (key, _, _, _) in enumerate(keys)])
+        each = [F.struct(F.col(f"k{j}").alias("key"), F.lit(owns).alias("owns"), F.lit(j).alias("j")) for j, (_, owns, _, _) in enumerate(keys)]
+        with scratch(distinct.sparkSession) as inner:
+            numbers = materialise(numbers, "line-keys")
+            rows = numbers.select("node", F.explode(F.array(*each)).alias("x")).select("node", "x.*").filter("key IS NOT NULL")
+            first = inner.result(blocks.sized(rows), "line-blocks")
+        needed = materialise(first.select(F.col("node").alias("digest")).distinct(), "line-needed")
+        # while these are few they are broadcast, so that the texts of all other lines needn't be shuffled to be dropped
+        few = needed.count() <= blocks.BROADCAST_KEYS
+        texts = distinct.select("digest", "line").join(F.broadcast(needed) if few else needed, "digest", "left_semi")
+        texts = materialise(texts, "line-texts")
+
+        held = first.select("key", "node", "owns", "n")
+        huge = first.filter(F.col("n") > split_rows)
+        if edits == 1 and not huge.isEmpty():
+            held, text, n = held.filter(F.col("n") <= split_rows), F.col("line"), F.length("line")
+            spans = F.array(*[F.struct(at.alias("at"), size.alias("size")) for _, _, at, size in segment_keys(text, n, 1)])
+            at, size = F.get(spans, F.col("j"))["at"], F.get(spans, F.col("j"))["size"]
+            rest = F.when(F.col("j") % 2 == 0, F.substring(text, at + size + 1, n)).otherwise(F.substring(text, F.lit(1), at))
+            level = huge.join(texts.withColumnRenamed("digest", "node"), "node").select("key", "node", rest.alias("rest"))
+            while not level.isEmpty():
+                now = materialise(blocks.sized(_halves(level)), "line-halves")
+                small = (F.col("n") <= split_rows) | F.col("last")
+                held = held.unionByName(now.filter(small).select("key", "node", "owns", "n"))
+                level = now.filter(~small).select("key", "node", "rest")
+        held = materialise(blocks.with_middle(held.withColumn("part", F.lit(0))), "line-middles")
+        items = texts.select(F.col("digest").alias("node"), F.encode("line", "UTF-32").alias("codes"))
+        items = items.withColumns({"band": F.lit(0).cast("long"), "sketch": F.lit(None).cast("array<long>")})
+        most = lambda longer, shorter: 0 * longer + edits
+        links = materialise(blocks.aligned(materialise(blocks.star_pairs(held), "line-pairs"), items, most), "line-links")
+        roots = blocks.classes(held, items, links, most)
+        return tables.result(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b"), "line-merged")
 
 
 def repeated_lines(
@@ -156,25 +158,26 @@ def repeated_lines(
     removed (places of the lines to remove, from 0, ascending) and repeated (place, class and number of copies of each line
     whose class occurs more than once; a class is named by the md5 of one of its lines)."""
     lines = occurrences(docs, id_col, text_col)
-    distinct = materialise(distinct_lines(lines), "line-digests")
-    # two lines of which the shorter has `least` characters and more are left to the larger number of edits
-    longer = [(least, more) for least, more in LONGER if more > edits]
-    links = line_links(distinct.filter(F.col("n").between(min_chars, min((x + edits for x, _ in longer), default=1 << 31))), edits)
-    for i, (least, more) in enumerate(longer):
-        upto = longer[i + 1][0] + more if i + 1 < len(longer) else 1 << 31
-        links = links.unionByName(line_links(distinct.filter(F.col("n").between(max(least, min_chars), upto)), more))
-    roots = materialise(components(links).withColumnRenamed("node", "digest"), "line-roots")
-
-    classes = distinct.join(roots, "digest", "left").select(
-        "digest", "copies", "words", "n", F.coalesce("root", "digest").alias("class"), F.col("root").isNotNull().alias("linked")
-    )
-    totals = classes.groupBy("class").agg(F.sum("copies").alias("total"), F.max("words").alias("longest"))
-    totals = materialise(totals.filter("total > 1"), "line-totals")
-    often = F.col("total") > F.when(F.col("longest") > long_words, 1).otherwise(max_copies)
-    often &= F.col("n") >= min_chars
-    marks = classes.join(totals, "class").select("digest", "class", "linked", "total", often.alias("often"))
-    marked = lines.select("id", "row", "pos", "digest").join(materialise(marks, "line-marks"), "digest")
-    marked = materialise(marked, "line-marked")
+    with scratch(docs.sparkSession) as tables:
+        distinct = materialise(distinct_lines(lines), "line-digests")
+        # two lines of which the shorter has `least` characters and more are left to the larger number of edits
+        longer = [(least, more) for least, more in LONGER if more > edits]
+        links = line_links(distinct.filter(F.col("n").between(min_chars, min((x + edits for x, _ in longer), default=1 << 31))), edits)
+        for i, (least, more) in enumerate(longer):
+            upto = longer[i + 1][0] + more if i + 1 < len(longer) else 1 << 31
+            links = links.unionByName(line_links(distinct.filter(F.col("n").between(max(least, min_chars), upto)), more))
+        roots = materialise(components(links).withColumnRenamed("node", "digest"), "line-roots")
+
+        classes = distinct.join(roots, "digest", "left").select(
+            "digest", "copies", "words", "n", F.coalesce("root", "digest").alias("class"), F.col("root").isNotNull().alias("linked")
+        )
+        totals = classes.groupBy("class").agg(F.sum("copies").alias("total"), F.max("words").alias("longest"))
+        totals = materialise(totals.filter("total > 1"), "line-totals")
+        often = F.col("total") > F.when(F.col("longest") > long_words, 1).otherwise(max_copies)
+        often &= F.col("n") >= min_chars
+        marks = classes.join(totals, "class").select("digest", "class", "linked", "total", often.alias("often"))
+        marked = lines.select("id", "row", "pos", "digest").join(materialise(marks, "line-marks"), "digest")
+        marked = tables.result(marked, "line-marked")
     at = F.struct(F.col("id").isNull().alias("none"), "id", "row", "pos")
     first = marked.filter("often").groupBy("class").agg(F.min(at).alias("first"))
     decided = marked.join(materialise(first, "line-first"), "class", "left")
@@ -211,10 +214,11 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input with repeated lines removed from the text; documents without any to remove are unchanged."""
-    found = repeated_lines(docs, id_col, text_col, **options).filter(F.size("removed") > 0)
     of, row, gone = (f"{name}_{uuid.uuid4().hex}" for name in ("of", "row", "gone"))  # names that no input has
-    found = found.select(F.col(id_col).alias(of), F.col("row").alias(row), F.col("removed").alias(gone))
-    found = materialise(found, "line-removed")
+    with scratch(docs.sparkSession) as tables:
+        found = repeated_lines(docs, id_col, text_col, **options).filter(F.size("removed") > 0)
+        found = found.select(F.col(id_col).alias(of), F.col("row").alias(row), F.col("removed").alias(gone))
+        found = tables.result(found, "line-removed")
     kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(gone), i))
     text = F.when(F.col(gone).isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_col))
     same = F.col(id_col).eqNullSafe(F.col(of)) & (row_of(text_col) == F.col(row))

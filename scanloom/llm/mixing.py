@@ -21,15 +21,17 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanloom.llm.common import materialise, n_words, text_of
+from scanloom.llm.common import materialise, n_words, scratch, text_of
 
 #: Sources whose totals are fitted on the driver, one small row each; more than that raises.
 MAX_SOURCES = 200_000
 #: Rows of all lengths to a salt: a length that a third of all rows have is as many rows a group at most.
 SALT_ROWS = 1_000_000
+#: Lengths of sources up to which they are broadcast to the documents.
+BROADCAST_LENGTHS = 200_000
 
 
 def water_fill(sizes: Sequence[int], weights: Sequence[float], total: float, cap: float) -> list[float]:
@@ -96,32 +98,34 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int
     return take
 
 
-def mix_to_weights(
-    docs: DataFrame,
-    weights: Sequence[float] = (5.0, 2.0, 1.0),
-    share: float = 1.5,
-    cap: float = 2.0,
-    seed: int = 17,
-    salts: int | None = None,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-) -> DataFrame:
-    """Per document: id, source, size, source_size, target (of its source), copies, taken (= copies * size).
+def _named_source(source_col: str) -> Column:
+    return F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string")))
 
-    Sources by code point, null last, take the weights in turn. All targets together are `share` of all words;
-    none exceeds `cap` times its source."""
+
+def _ranked(sized: DataFrame, seed: int) -> DataFrame:
+    return sized.withColumn("rank", F.xxhash64(F.lit(seed), F.col("id").cast("string"), "src", "size"))
+
+
+def _salted(ranked: DataFrame, salts: int) -> DataFrame:
+    return ranked.withColumn("salt", F.pmod(F.shiftright("rank", 32), F.lit(salts)).cast("int"))
+
+
+def _decided(
+    docs: DataFrame, weights: Sequence[float], share: float, cap: float, seed: int, salts: int | None, id_col: str, text_col: str, source_col: str
+) -> tuple[DataFrame, int]:
+    """Per document: id, src, size, rank, salt, source_size, target, whole (copies that all of its source have) and more (whether it is
+    taken once more); and the number of salts. Of a source's length those come first whose (salt, rank, id) is least."""
     spark = docs.sparkSession
     sized = docs.select(
         F.col(id_col).alias("id"),
-        F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string"))).alias("src"),
+        _named_source(source_col).alias("src"),
         n_words(text_of(text_col)).alias("size"),
     )
     # the words are counted once; what follows reads (id, source, size) rows
-    sized = materialise(sized, "mix-sizes").withColumn("rank", F.xxhash64(F.lit(seed), F.col("id").cast("string"), "src", "size"))
+    sized = _ranked(materialise(sized, "mix-sizes"), seed)
     if salts is None:
         salts = max(16, -(-sized.count() // SALT_ROWS))
-    sized = sized.withColumn("salt", F.pmod(F.shiftright("rank", 32), F.lit(salts)).cast("int"))
+    sized = _salted(sized, salts)
     counts = sized.groupBy("src", "size", "salt").agg(F.count("*").alias("n"))
 
     totals = counts.groupBy("src").agg(F.sum(F.col("n") * F.col("size")).alias("words"))
@@ -153,36 +157,74 @@ def mix_to_weights(
         )
     )
     place = Window.partitionBy("src", "size", "salt").orderBy("rank", "id")
-    return (
-        sized.withColumn("place", F.row_number().over(place))
-        .join(quotas, ["src", "size", "salt"])
-        .withColumn("copies", F.col("whole") + (F.col("place") <= F.col("quota")).cast("long"))
-        .select(
-            F.col("id").alias(id_col),
-            F.when(F.col("src") != "n", F.expr("substr(src, 2)")).alias(source_col),
-            "size", "source_size", "target", "copies",
-            (F.col("copies") * F.col("size")).alias("taken"),
-        )
+    decided = sized.withColumn("place", F.row_number().over(place)).join(quotas, ["src", "size", "salt"])
+    return decided.withColumn("more", F.col("place") <= F.col("quota")), salts
+
+
+def mix_to_weights(
+    docs: DataFrame,
+    weights: Sequence[float] = (5.0, 2.0, 1.0),
+    share: float = 1.5,
+    cap: float = 2.0,
+    seed: int = 17,
+    salts: int | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """Per document: id, source, size, source_size, target (of its source), copies, taken (= copies * size).
+
+    Sources by code point, null last, take the weights in turn. All targets together are `share` of all words;
+    none exceeds `cap` times its source."""
+    decided, _ = _decided(docs, weights, share, cap, seed, salts, id_col, text_col, source_col)
+    return decided.withColumn("copies", F.col("whole") + F.col("more").cast("long")).select(
+        F.col("id").alias(id_col),
+        F.when(F.col("src") != "n", F.expr("substr(src, 2)")).alias(source_col),
+        "size", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"),
     )
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame,
+    weights: Sequence[float] = (5.0, 2.0, 1.0),
+    share: float = 1.5,
+    cap: float = 2.0,
+    seed: int = 17,
+    salts: int | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
     """The mix itself: the rows that it takes, with the input's columns and `copies`, how often each is taken.
 
-    Rows with the same id, source and size are told apart by their text's hash; which of them counts as which is all the same to
-    the mix."""
-    mixed = mix_to_weights(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    key = [F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"), F.col("size").alias("_size")]
-    place = F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("copies"))
-    taken = materialise(mixed.select(*key, "copies").withColumn("_place", place), "mix-taken").filter("copies > 0")
-    whole = F.struct(*[F.col(c) for c in docs.columns])
+    The texts stay where they are: of each length of a source those rows are taken once more that come up to its last one, and
+    that is a row for each length. Rows with the same id, source and size are one place in that order; where it ends among such
+    rows, they are told apart by their text's hash, and which of them counts as which is all the same to the mix."""
+    spark = docs.sparkSession
+    with scratch(spark) as tables:
+        decided, salts = _decided(docs, weights, share, cap, seed, salts, id_col, text_col, source_col)
+        places = decided.groupBy("src", "size", "salt", "rank", "id").agg(
+            F.max("whole").alias("whole"), F.count("*").alias("alike"), F.count_if("more").alias("upto")
+        )
+        last = F.struct(F.struct("salt", "rank", "id").alias("at"), "upto", "alike")
+        lengths = places.groupBy("src", "size").agg(F.max("whole").alias("whole"), F.max(F.when(F.col("upto") > 0, last)).alias("last"))
+        lengths = tables.result(lengths.withColumnsRenamed({"src": "_src", "size": "_size"}), "mix-lengths")
+    few = lengths.count() <= BROADCAST_LENGTHS
+    whole_row = F.struct(*[F.col(c) for c in docs.columns])
     own = docs.select(
-        F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"),
-        n_words(text_of(text_col)).alias("_size"), F.xxhash64(text_col).alias("_hash"), whole.alias("_row")
-    )
-    own = own.withColumn("_place", F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy("_hash")))
-    other = taken.select(*[F.col(c).alias(f"{c}2") for c in ("_id", "_source", "_size", "_place")], "copies")
-    same = F.col("_size") == F.col("_size2")
-    for c in ("_id", "_source", "_place"):
-        same &= F.col(c).eqNullSafe(F.col(f"{c}2"))
-    return own.join(other, same).select("_row.*", "copies")
+        whole_row.alias("row"), F.xxhash64(text_col).alias("hash"),
+        F.col(id_col).alias("id"), _named_source(source_col).alias("src"), n_words(text_of(text_col)).alias("size"),
+    )
+    own = _salted(_ranked(own, seed), salts).withColumn("at", F.struct("salt", "rank", "id"))
+    same = (F.col("src") == F.col("_src")) & (F.col("size") == F.col("_size"))
+    own = own.join(F.broadcast(lengths) if few else lengths, same)
+    within = F.col("at") < F.col("last.at")
+    among = F.col("at") == F.col("last.at")
+    split = F.coalesce(among & (F.col("last.upto") < F.col("last.alike")), F.lit(False))
+    out = own.withColumn("more", F.coalesce(within | among, F.lit(False)))
+    if not lengths.filter("last.upto < last.alike").isEmpty():
+        place = F.row_number().over(Window.partitionBy("src", "size").orderBy("hash"))
+        tied = own.filter(split).withColumn("more", place > F.col("last.alike") - F.col("last.upto"))
+        out = out.filter(~split).unionByName(tied)
+    return out.withColumn("copies", F.col("whole") + F.col("more").cast("long")).filter("copies > 0").select("row.*", "copies")

@@ -12,7 +12,7 @@ follows works on distinct texts, so a text that a third of all rows share is one
 Texts of a block are compared with one of them; then all pairs that are still in different classes are, in cells of bounded
 size, with a bound on the words in common before the alignment (blocks.py). No block is passed over, and all blocks go the
 same way: a pair that agrees in one sample ends in one class if it is similar, however large the block is. Pairs, links
-and classes stay in tables in the shared folder.
+and classes are tables in the shared folder, and go as soon as the classes are known.
 
 With 60 samples, a pair with Jaccard similarity J of its k-mers is a candidate with a probability of about
 1 - (1 - J^2)^60. Edits that are spread evenly over the text are the worst case: at an edit similarity of 0.80 that is
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scanloom.llm import blocks
-from scanloom.llm.common import materialise, text_of
+from scanloom.llm.common import materialise, scratch, text_of
 from scanloom.llm.tokens import Words, mix, steps, words
 
 K = 5
@@ -146,25 +146,27 @@ def near_duplicates(
     rows = materialise(sketch_table(docs, id_col, text_col, samples), "omh-sketches")
     most = most_edits(similarity)
 
-    nodes = rows.filter("words > 0").groupBy("digest").agg(F.any_value("sketch").alias("sketch"))
-    agree = nodes.select(F.posexplode("sketch").alias("part", "value"), F.col("digest").alias("node"))
-    agree = agree.select(F.xxhash64("part", "value").alias("key"), "part", "node", F.lit(True).alias("owns"))
-    held = materialise(blocks.sized(agree), "omh-agree")
-    held = materialise(blocks.with_middle(held), "omh-blocks")
-
-    met = held.select(F.col("node").alias("digest")).distinct()
-    copies = rows.filter("words > 0").groupBy("digest")  # copies of a text come together before it travels
-    items = copies.agg(*[F.any_value(c).alias(c) for c in ("words", "sketch", "codes")]).join(met, "digest", "left_semi")
-    band = F.floor(F.log("words") / -math.log(min(similarity, 0.999)))
-    items = materialise(items.select(F.col("digest").alias("node"), "codes", "sketch", band.alias("band")), "omh-items")
-
-    links = blocks.aligned(materialise(blocks.star_pairs(held), "omh-pairs"), items, most)
-    roots = blocks.classes(held, items, materialise(links, "omh-links"), most, 1 - similarity, **cells)
-
-    lowest = rows.groupBy("digest").agg(F.min("id").alias("low")).join(roots.withColumnRenamed("node", "digest"), "digest", "left")
-    lowest = lowest.withColumn("root", F.coalesce("root", "digest"))
-    named = materialise(lowest.groupBy("root").agg(F.min("low").alias("class_id")), "omh-named")
-    of = materialise(lowest.join(named, "root").select("digest", "class_id", "root"), "omh-classes")
+    with scratch(docs.sparkSession) as tables:
+        nodes = rows.filter("words > 0").groupBy("digest").agg(F.any_value("sketch").alias("sketch"))
+        agree = nodes.select(F.posexplode("sketch").alias("part", "value"), F.col("digest").alias("node"))
+        agree = agree.select(F.xxhash64("part", "value").alias("key"), "part", "node", F.lit(True).alias("owns"))
+        with scratch(docs.sparkSession) as inner:
+            held = materialise(blocks.sized(agree), "omh-agree")
+            held = inner.result(blocks.with_middle(held), "omh-blocks")
+
+        met = held.select(F.col("node").alias("digest")).distinct()
+        copies = rows.filter("words > 0").groupBy("digest")  # copies of a text come together before it travels
+        items = copies.agg(*[F.any_value(c).alias(c) for c in ("words", "sketch", "codes")]).join(met, "digest", "left_semi")
+        band = F.floor(F.log("words") / -math.log(min(similarity, 0.999)))
+        items = materialise(items.select(F.col("digest").alias("node"), "codes", "sketch", band.alias("band")), "omh-items")
+
+        links = blocks.aligned(materialise(blocks.star_pairs(held), "omh-pairs"), items, most)
+        roots = blocks.classes(held, items, materialise(links, "omh-links"), most, 1 - similarity, **cells)
+
+        lowest = rows.groupBy("digest").agg(F.min("id").alias("low")).join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+        lowest = lowest.withColumn("root", F.coalesce("root", "digest"))
+        named = materialise(lowest.groupBy("root").agg(F.min("low").alias("class_id")), "omh-named")
+        of = tables.result(lowest.join(named, "root").select("digest", "class_id", "root"), "omh-classes")
     name = lambda c: F.lower(F.hex(c))
     return rows.join(of, "digest").select(F.col("id").alias(id_col), "class_id", name("digest").alias("digest"), name("root").alias("class_digest"))
 
@@ -172,10 +174,13 @@ def near_duplicates(
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input without near duplicates: of each class the row with the smallest id stays, rows without id coming last. Rows are told
     apart by id and text: one of several texts under one id may go while the others stay; rows equal in both stay together."""
-    found = near_duplicates(docs, id_col, text_col)
-    row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "digest")
-    kept = found.groupBy("class_digest").agg(F.min(row).alias("kept"))
-    gone = found.select("class_digest", row.alias("row")).distinct().join(kept, "class_digest").filter(~F.col("row").eqNullSafe(F.col("kept")))
-    gone = materialise(gone.select(F.col("row.id").alias("__near_id"), F.unhex("row.digest").alias("__near_text")).distinct(), "omh-gone")
+    with scratch(docs.sparkSession) as tables:
+        found = near_duplicates(docs, id_col, text_col)
+        row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "digest")
+        kept = found.groupBy("class_digest").agg(F.min(row).alias("kept"))
+        gone = found.select("class_digest", row.alias("row")).distinct().join(kept, "class_digest").filter(~F.col("row").eqNullSafe(F.col("kept")))
+        gone = tables.result(gone.select(F.col("row.id").alias("__near_id"), F.unhex("row.digest").alias("__near_text")).distinct(), "omh-gone")
+    # while these are few they are broadcast, so that the texts needn't be shuffled to drop some
+    few = gone.count() <= blocks.BROADCAST_KEYS
     same = docs[id_col].eqNullSafe(gone["__near_id"]) & (digest_of(text_of(docs[text_col])) == gone["__near_text"])
-    return docs.join(gone, same, "left_anti")
+    return docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
