@@ -71,12 +71,16 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.withColumn("digest", F.unhex(F.md5(F.col("line").cast("binary"))))
 
 
+def words_of(line: Column) -> Column:
+    """Number of words where there may be more than LONG_WORDS, else 0: n characters hold (n + 1) / 2 words at most."""
+    return F.when(F.length(line) >= 2 * LONG_WORDS, n_words(line)).otherwise(F.lit(0).cast("long"))
+
+
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """(digest, line, n, copies, words): words are counted where there may be more than LONG_WORDS."""
-    # n characters hold (n + 1) / 2 words at most
-    words = F.when(F.col("n") >= 2 * LONG_WORDS, n_words(F.col("line"))).otherwise(F.lit(0).cast("long"))
-    held = lines.groupBy("digest").agg(F.count("*").alias("copies"), F.any_value("line").alias("line"))
-    return held.withColumn("n", F.length("line")).withColumn("words", words)
+    """(digest, line, n, copies, words). The words of a line without a copy only matter if it is linked, and are left to `line_links`."""
+    # the line is a part of the key, as aggregations sort if they have to keep a string beside it
+    held = lines.groupBy("digest", "line").agg(F.count("*").alias("copies")).withColumn("n", F.length("line"))
+    return held.withColumn("words", F.when(F.col("copies") > 1, words_of(F.col("line"))).otherwise(F.lit(0).cast("long")))
 
 
 def _halves(large: DataFrame) -> DataFrame:
@@ -106,7 +110,8 @@ def _halves(large: DataFrame) -> DataFrame:
 
 
 def line_links(distinct: DataFrame, edits: int, split_rows: int = blocks.SPLIT_ROWS) -> DataFrame:
-    """(a, b): digests of different lines, with the classes that all links within `edits` give. distinct: (digest, line, n).
+    """(a, b, words): digests of different lines, with the classes that all links within `edits` give, and the most words of a line
+    of the class. distinct: (digest, line, n).
 
     Keys are made once and kept as numbers; what follows reads lines of blocks of two and more only."""
     with scratch(distinct.sparkSession) as tables:
@@ -118,10 +123,8 @@ def line_links(distinct: DataFrame, edits: int, split_rows: int = blocks.SPLIT_R
             rows = numbers.select("node", F.explode(F.array(*each)).alias("x")).select("node", "x.*").filter("key IS NOT NULL")
             first = inner.result(blocks.sized(rows), "line-blocks")
         needed = materialise(first.select(F.col("node").alias("digest")).distinct(), "line-needed")
-        # while these are few they are broadcast, so that the texts of all other lines needn't be shuffled to be dropped
-        few = needed.count() <= blocks.BROADCAST_KEYS
-        texts = distinct.select("digest", "line").join(F.broadcast(needed) if few else needed, "digest", "left_semi")
-        texts = materialise(texts, "line-texts")
+        texts = distinct.select("digest", "line").join(_few(needed), "digest", "left_semi")
+        texts = materialise(texts.withColumn("words", words_of(F.col("line"))), "line-texts")
 
         held = first.select("key", "node", "owns", "n")
         huge = first.filter(F.col("n") > split_rows)
@@ -142,7 +145,16 @@ def line_links(distinct: DataFrame, edits: int, split_rows: int = blocks.SPLIT_R
         most = lambda longer, shorter: 0 * longer + edits
         links = materialise(blocks.aligned(materialise(blocks.star_pairs(held), "line-pairs"), items, most), "line-links")
         roots = blocks.classes(held, items, links, most)
-        return tables.result(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b"), "line-merged")
+        long = texts.filter("words > 0").select(F.col("digest").alias("node"), "words")
+        longest = roots.join(long, "node").groupBy("root").agg(F.max("words").alias("words"))
+        merged = roots.filter("node <> root").join(longest, "root", "left")
+        words = F.coalesce("words", F.lit(0).cast("long")).alias("words")
+        return tables.result(merged.select(F.col("node").alias("a"), F.col("root").alias("b"), words), "line-merged")
+
+
+def _few(table: DataFrame) -> DataFrame:
+    """The table, broadcast while it has few rows, so that the lines that it is joined to needn't be shuffled."""
+    return F.broadcast(table) if table.count() <= blocks.BROADCAST_KEYS else table
 
 
 def repeated_lines(
@@ -168,15 +180,19 @@ def repeated_lines(
             links = links.unionByName(line_links(distinct.filter(F.col("n").between(max(least, min_chars), upto)), more))
         roots = materialise(components(links).withColumnRenamed("node", "digest"), "line-roots")
 
-        classes = distinct.join(roots, "digest", "left").select(
+        # a line without a copy or a link is alone in its class
+        classes = distinct.join(_few(roots), "digest", "left").filter("copies > 1 OR root IS NOT NULL").select(
             "digest", "copies", "words", "n", F.coalesce("root", "digest").alias("class"), F.col("root").isNotNull().alias("linked")
         )
-        totals = classes.groupBy("class").agg(F.sum("copies").alias("total"), F.max("words").alias("longest"))
-        totals = materialise(totals.filter("total > 1"), "line-totals")
+        classes = materialise(classes, "line-classes")
+        long = links.filter("words > 0").select(F.col("a").alias("digest"), "words").join(roots, "digest")
+        each = classes.select("class", "copies", "words").unionAll(long.select("root", F.lit(0).cast("long"), "words"))
+        totals = each.groupBy("class").agg(F.sum("copies").alias("total"), F.max("words").alias("longest"))
+        totals = materialise(totals, "line-totals")
         often = F.col("total") > F.when(F.col("longest") > long_words, 1).otherwise(max_copies)
         often &= F.col("n") >= min_chars
         marks = classes.join(totals, "class").select("digest", "class", "linked", "total", often.alias("often"))
-        marked = lines.select("id", "row", "pos", "digest").join(materialise(marks, "line-marks"), "digest")
+        marked = lines.select("id", "row", "pos", "digest").join(_few(materialise(marks, "line-marks")), "digest")
         marked = tables.result(marked, "line-marked")
     at = F.struct(F.col("id").isNull().alias("none"), "id", "row", "pos")
     first = marked.filter("often").groupBy("class").agg(F.min(at).alias("first"))

@@ -21,3 +21,17 @@ def test_long_passages_go_from_the_second_copy_on(spark):
     assert got[5]["n_linked"] == got[6]["n_linked"] == 1 and got[5]["repeated"][0]["copies"] == 2
     kept = {r["doc_id"]: r["text"] for r in lines.drop_repeated_lines(docs).collect()}
     assert kept[1] == rows[0][1] and kept[2] == "two" and kept[3] == kept[4] == short
+
+
+def test_words_are_counted_where_they_matter(spark):
+    words = [f"word{i}" for i in range(60)]
+    near = " ".join(["wurd0", *words[1:]])
+    alone, short = " ".join(reversed(words)), "two of these lines with few words are no passage"
+    rows = [(1, f"{' '.join(words)}\n{short}"), (2, f"{near}\n{short}"), (3, alone), (4, " ".join(["x"] * 70)), (5, " ".join(["x"] * 70))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    distinct = lines.distinct_lines(lines.occurrences(docs, "doc_id", "text"))
+    assert {(r["line"][:5], r["copies"]): r["words"] for r in distinct.collect()} == {("word0", 1): 0, ("wurd0", 1): 0, ("two o", 2): 0, ("word5", 1): 0, ("x x x", 2): 70}
+    assert "SortAggregate" not in distinct._jdf.queryExecution().executedPlan().toString()
+    # passages that are linked, but have no copy, are long all the same
+    kept = {r["doc_id"]: r["text"] for r in lines.drop_repeated_lines(docs).collect()}
+    assert kept == {1: rows[0][1], 2: short, 3: alone, 4: rows[3][1], 5: ""}
