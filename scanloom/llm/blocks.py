@@ -267,8 +267,8 @@ def classes(
     more = materialise(more.distinct(), "block-merges")
     if more.isEmpty():
         return roots
-    above = components(more).select(F.col("node").alias("root"), F.col("root").alias("above"))
+    above = materialise(components(more).select(F.col("node").alias("root"), F.col("root").alias("above")), "block-above")
     # a class without a link before is one of a single node
     single = above.join(roots.select("root").distinct(), "root", "left_anti").select(F.col("root").alias("node"), "above")
     merged = roots.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
-    return merged.unionByName(single.withColumnRenamed("above", "root"))
+    return materialise(merged.unionByName(single.withColumnRenamed("above", "root")), "block-classes")

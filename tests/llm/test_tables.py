@@ -1,14 +1,18 @@
 """Tables of a job's steps go when they have been read; the mix leaves texts where they are."""
 
 import os
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("scanloom.llm")
 
 from scanloom.llm import lines, mixing, omh
 from scanloom.llm.common import materialise, scratch, shared_dir
+from scanloom.llm.components import components
+from scanloom.shared import FREE_SHUFFLES
 
 NEAR = [" ".join(f"w{(i * 7 + k) % 90}" for k in range(60)) for i in range(3)]
 
@@ -70,3 +74,37 @@ def test_the_mix_takes_what_was_decided(spark, ids):
     assert all(tuple(r)[:4] == source[r["at"]] for r in got)
     want = Counter((r["doc_id"], r["source"], r["size"], r["copies"]) for r in mixing.mix_to_weights(docs, salts=3).collect() if r["copies"])
     assert Counter((r["doc_id"], r["source"], size(r["text"]), r["copies"]) for r in got) == want
+
+
+def test_tables_leave_no_shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffled = lambda: {f for top in folders for _, _, files in os.walk(top) for f in files if f.startswith("shuffle_")}
+    was, before = spark.conf.get(FREE_SHUFFLES), shuffled()
+    many = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with scratch(spark):
+        assert materialise(many, "counted").count() == 7
+        until = time.time() + 20  # executors remove files on their own time
+        while {f for f in shuffled() - before if f.endswith(".data")} and time.time() < until:
+            time.sleep(0.1)
+        # the count of the table has one file of its own
+        assert len([f for f in shuffled() - before if f.endswith(".data")]) <= 1
+    assert spark.conf.get(FREE_SHUFFLES) == was
+
+
+@pytest.mark.parametrize("chunk, broadcast_nodes", [(1 << 18, 500_000), (1, 500_000), (3, 0)])
+def test_components_of_paths_and_hubs(spark, left, chunk, broadcast_nodes):
+    links = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(30)] + [(130 + i, 200 - i) for i in range(20)] + [(7, 7), (300, 299), (299, 300)]
+    want = {i: 0 for i in range(41)} | {i: 100 for i in range(100, 131)} | {299: 299, 300: 299}
+    want |= {i: 100 if i in (130, 200) else min(i, 330 - i) for i in [*range(130, 150), *range(181, 201)]}
+    frame = spark.createDataFrame(links * 2, "a long, b long").repartition(3)
+    with scratch(spark):
+        got = components(frame, chunk, broadcast_nodes).collect()
+        assert dict(got) == want and len(got) == len(want)
+
+
+def test_links_of_one_task_take_no_round(spark):
+    before = set(os.listdir(shared_dir(spark)))
+    with scratch(spark):
+        got = components(spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long").coalesce(1)).collect()
+        made = sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(shared_dir(spark))) - before)
+    assert {r["root"] for r in got} == {0} and made == ["component-lows", "components"]
