@@ -27,13 +27,14 @@ def interval_stats(df: DataFrame, by: Sequence[str], order: str, us: str, limits
 
 
 def normal_and_gaps(df: DataFrame, by: Sequence[str], order: str, us: str, gap_ms: float, period_ms: float) -> DataFrame:
-    """Intervals below `gap_ms` by count, mean and deviation; the others as a sorted list, and in periods."""
+    """Intervals below `gap_ms` by count, mean and deviation; the others as a sorted list, and in periods: null for a stream without any."""
     d = F.col("dt_ms")
     normal = F.when(d < gap_ms, d)
     out = with_intervals(df, by, order, us).filter(d.isNotNull()).groupBy(*by).agg(
         F.count(normal).alias("n_normal"), F.avg(normal).alias("mean_normal_ms"), F.stddev_pop(normal).alias("std_normal_ms"),
         F.count_if(d >= gap_ms).alias("n_gaps"), F.sort_array(F.collect_list(F.when(d >= gap_ms, d))).alias("gaps_ms"),
     )
+    out = out.withColumn("gaps_ms", F.when(F.col("n_gaps") > 0, F.col("gaps_ms")))
     return out.withColumn("gap_periods", F.transform("gaps_ms", lambda x: F.bround(x / period_ms, 1)))
 
 
