@@ -41,7 +41,8 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to six places, integers to long, as the oracles give them."""
-    kinds = {"double": lambda c: F.round(c, 6), "float": lambda c: F.round(c.cast("double"), 6), "int": lambda c: c.cast("long"), "array<double>": lambda c: F.transform(c, lambda x: F.round(x, 6))}
+    six = lambda x: geo.round_signed(x, 6)
+    kinds = {"double": six, "float": lambda c: six(c.cast("double")), "int": lambda c: c.cast("long"), "array<double>": lambda c: F.transform(c, six)}
     return df.select(*[kinds[k](F.col(c)).alias(c) if k in kinds else F.col(c) for c, k in df.dtypes])
 
 

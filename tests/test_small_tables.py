@@ -38,3 +38,20 @@ def events(minutes, kinds, values=None):
 def test_streams_with_and_without_gaps(spark, tmp_path):
     table = events([0, 1, 2, 4, 5, 6, 61, 62, 200, 201], "ababccaabb")
     assert differing(spark, tmp_path, "agg3_normal_gaps", events=table) == ([], [])
+
+
+def embeddings(*rows):
+    """vec_id, and embeddings of ten floats from the first ones given."""
+    filled = [[*r, *([0.25] * (10 - len(r)))] for r in rows]
+    return pa.table({"vec_id": pa.array(range(len(rows)), pa.int64()), "embedding": pa.array(filled, pa.list_(pa.float32())), "label": pa.array([0] * len(rows), pa.int32())})
+
+
+#: Quaternion and position. Products of their terms are zeros of either sign, and values that round to them.
+SMALL = [
+    (0.0, 0.0, 0.0, 1.0, 1.0, 0.0, 0.0), (-1e-8, 0.0, 0.0, 1.0, 1.0, -1e-8, 0.0), (1e-8, 1e-8, -1e-8, 1.0, -1.0, 1e-8, -1e-8),
+    (0.3, -0.3, 1e-8, -0.9, 0.5, -0.0, -0.5), (-0.3, 1e-8, 0.0, 0.9, -1e-8, 1.0, 1e-8), (0.7, 0.1, -0.2, 0.6, -0.1, 0.4, 0.3),
+]
+
+
+def test_axis_angles_keep_the_sign_of_zero(spark, tmp_path):
+    assert differing(spark, tmp_path, "geo11_axis_angle", embeddings=embeddings(*SMALL)) == ([], [])
