@@ -3,9 +3,11 @@
 import datetime as dt
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 
+from scanloom.functions import calibration as C
 from scanloom.plans import catalog
 
 
@@ -55,3 +57,16 @@ SMALL = [
 
 def test_axis_angles_keep_the_sign_of_zero(spark, tmp_path):
     assert differing(spark, tmp_path, "geo11_axis_angle", embeddings=embeddings(*SMALL)) == ([], [])
+
+
+def rig_poses():
+    """Poses at which the camera stands in the world's origin and looks along its axes, up to the floats' last digits and a little more."""
+    r = np.array(C.LIDAR_TO_CAM)
+    w = np.sqrt(1 + np.trace(r)) / 2
+    q = np.array([r[2, 1] - r[1, 2], r[0, 2] - r[2, 0], r[1, 0] - r[0, 1], 4 * w * w]) / (4 * w)
+    off = [np.zeros(4), *(s * 1e-7 * np.eye(4)[k] for s in (1, -1) for k in range(3))]
+    return [(*(q + o).tolist(), *C.LIDAR_TO_CAM_SHIFT) for o in off]
+
+
+def test_camera_transforms_keep_the_sign_of_zero(spark, tmp_path):
+    assert differing(spark, tmp_path, "geo8_world_to_camera", embeddings=embeddings(*rig_poses(), *SMALL)) == ([], [])
