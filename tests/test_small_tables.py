@@ -70,3 +70,7 @@ def rig_poses():
 
 def test_camera_transforms_keep_the_sign_of_zero(spark, tmp_path):
     assert differing(spark, tmp_path, "geo8_world_to_camera", embeddings=embeddings(*rig_poses(), *SMALL)) == ([], [])
+
+
+def test_cameras_in_the_map_keep_the_sign_of_zero(spark, tmp_path):
+    assert differing(spark, tmp_path, "geo9_camera_in_map", embeddings=embeddings(*rig_poses(), *SMALL)) == ([], [])
