@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from scanloom.functions import geo
 
 #: Columns after kind and stamp.
 LAYOUTS = {1: ("board_x", "extra"), 2: ("board_x", "extra"), 3: ("a", "b", "c"), 4: ("a", "b")}
 
 
-def _fixed(c: str, decimals: int) -> Column:
-    return F.format_string(f"%.{decimals}f", F.round(c, 9))
+def _fixed(x: Column | str, decimals: int) -> Column:
+    """Text with so many decimals as C and Python write it, which is the double's exact value to the nearest; Java takes its shortest decimal
+    form, half up. Null stays null."""
+
+    def text(x: pd.Series) -> pd.Series:
+        return x.map(f"%.{decimals}f".__mod__)
+
+    x = F.col(x) if isinstance(x, str) else x
+    return F.when(x.isNotNull(), F.pandas_udf(text, StringType())(geo.round_signed(x, 9)))
 
 
 def tagged_curves(camera: DataFrame, lidar: DataFrame, inertial: DataFrame | None = None, layout: int = 4) -> DataFrame:
@@ -24,7 +35,7 @@ def tagged_curves(camera: DataFrame, lidar: DataFrame, inertial: DataFrame | Non
     elif layout == 3:
         cam, lid = ("x", zero), (_fixed("t", 6), _fixed("depth", 3))
     else:
-        cam, lid = ("x", zero), (F.format_string("%.6f", F.round(F.col("t") + F.col("mean_time"), 9)), _fixed("t", 6))
+        cam, lid = ("x", zero), (_fixed(F.col("t") + F.col("mean_time"), 6), _fixed("t", 6))
     names = LAYOUTS[layout]
 
     def row(df: DataFrame, kind: str, stamp: Column, *values: Column) -> DataFrame:

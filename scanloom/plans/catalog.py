@@ -414,8 +414,8 @@ def krn1_board_plane(spark, sf):
 
 def curve_parts(spark, sf):
     """Camera, LiDAR and inertial curves of the test tables."""
-    lid = scan.core_centroid(proxy.points(spark, sf), FLAT).select((F.col("scan_id") * 0.1).alias("t"), F.round("board_x", 6).alias("x"), "depth", "mean_time")
-    w = proxy.imu(spark, sf).select((F.col("us") / 1e6).alias("t"), *[F.round(F.col("gyro")[i], 5).alias(f"w{a}") for i, a in enumerate("xyz")])
+    lid = scan.core_centroid(proxy.points(spark, sf), FLAT).select((F.col("scan_id") * 0.1).alias("t"), geo.round_signed(F.col("board_x"), 6).alias("x"), "depth", "mean_time")
+    w = proxy.imu(spark, sf).select((F.col("us") / 1e6).alias("t"), *[geo.round_signed(F.col("gyro")[i], 5).alias(f"w{a}") for i, a in enumerate("xyz")])
     return proxy.camera_curve(spark, sf), lid, w
 
 

@@ -74,3 +74,15 @@ def test_camera_transforms_keep_the_sign_of_zero(spark, tmp_path):
 
 def test_cameras_in_the_map_keep_the_sign_of_zero(spark, tmp_path):
     assert differing(spark, tmp_path, "geo9_camera_in_map", embeddings=embeddings(*rig_poses(), *SMALL)) == ([], [])
+
+
+def curve_tables():
+    """Rates that round to zero from below, camera values halfway between two texts or missing, a scan whose depth is 1.0005."""
+    values = [0.015625, 0.046875, 0.2500625, -0.000025, -0.015625, 0.0, None, 1.1]
+    scan = {"l_orderkey": [7] * 60, "l_quantity": [20.0, 31.0] * 30, "l_extendedprice": [40020.0] * 60, "l_discount": [0.05] * 60, "l_tax": [0.0012345] * 60}
+    rates = [(0.1, 0.2, 0.3, 0.9, *r) for r in ((-1e-7, 1e-7, -0.0), (-4e-6, 0.5, -6e-6), (0.0, -0.1, 0.1))]
+    return {"events": events(range(8), "a" * 8, values), "lineitem": scan, "embeddings": embeddings(*rates)}
+
+
+def test_curves_are_written_as_by_printf(spark, tmp_path):
+    assert differing(spark, tmp_path, "q2_dump_curves", **curve_tables()) == ([], [])
