@@ -86,3 +86,9 @@ def curve_tables():
 
 def test_curves_are_written_as_by_printf(spark, tmp_path):
     assert differing(spark, tmp_path, "q2_dump_curves", **curve_tables()) == ([], [])
+
+
+def test_curves_of_layout_3_are_written_as_by_printf(spark, tmp_path):
+    assert differing(spark, tmp_path, "q2_dump_curves_v3", **curve_tables()) == ([], [])
+    rows = catalog.QUERIES["q2_dump_curves_v3"](spark, str(tmp_path)).filter("kind = 'LID'").collect()
+    assert [r["b"] for r in rows] == ["1.000"]
