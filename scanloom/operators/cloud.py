@@ -100,7 +100,7 @@ def rolling_overlay(points: DataFrame, cal: Calibration, scans: int = 25, by: st
     frames = frames_of(points, scans, by).drop("place")
     front, ranges = _in_front(points, cal, frames, by)
     dots = front.filter(geo.in_frame(cal, F.col("u"), F.col("v"))).select(by, "u", "v", "d").join(frames, by).join(ranges, "frame")
-    b, g, r = geo.depth_colour(F.col("d"), F.col("lo"), F.col("hi"))
+    b, g, r = geo.depth_colour(F.col("d"), F.col("lo"), F.col("hi"), steady=True)
     return dots.select("frame", "u", "v", b.alias("b"), g.alias("g"), r.alias("red"))
 
 
@@ -142,7 +142,7 @@ def overlay_pixels(points: DataFrame, cal: Calibration, scans: int = 25, by: str
     ).filter(geo.in_frame(cal, F.col("u"), F.col("v")))
     top = dots.groupBy(by, "u", "v").agg(F.max(F.struct(order, "d")).alias("t")).select(by, "u", "v", F.col("t.d").alias("d"))
     seen = top.join(frames, by).groupBy("frame", "u", "v").agg(F.max(F.struct("place", "d"))["d"].alias("d")).join(ranges, "frame")
-    b, g, r = geo.depth_colour(F.col("d"), F.col("lo"), F.col("hi"))
+    b, g, r = geo.depth_colour(F.col("d"), F.col("lo"), F.col("hi"), steady=True)
     return seen.select("frame", "u", "v", b.alias("b"), g.alias("g"), r.alias("r"))
 
 

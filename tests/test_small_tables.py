@@ -92,3 +92,20 @@ def test_curves_of_layout_3_are_written_as_by_printf(spark, tmp_path):
     assert differing(spark, tmp_path, "q2_dump_curves_v3", **curve_tables()) == ([], [])
     rows = catalog.QUERIES["q2_dump_curves_v3"](spark, str(tmp_path)).filter("kind = 'LID'").collect()
     assert [r["b"] for r in rows] == ["1.000"]
+
+
+def near_whole_colours():
+    """One scan, each point on pixels of its own, with colours 3e-7 beside whole numbers: some round up to them, and are then not cut to the one below."""
+    colours = np.array([0.0, *(k + s for k in range(5, 250, 10) for s in (-3e-7, 3e-7)), 255.0])
+    n, r, t = len(colours), np.array(C.LIDAR_TO_CAM), C.LIDAR_TO_CAM_SHIFT
+    quantity = 20.0 + 10 * np.arange(n) / n
+    x, depth = (quantity - 25.5) / 50, 1 + colours / 255
+    z = (depth - t[2] - r[2, 0] * x) / r[2, 2]
+    return {"l_orderkey": [8] * n, "l_linenumber": pa.array(range(n), pa.int32()), "l_quantity": quantity, "l_extendedprice": z * 40000, "l_discount": [0.05] * n, "l_tax": [0.0] * n}
+
+
+def test_overlay_colours_are_rounded_before_they_are_cut(spark, tmp_path):
+    assert differing(spark, tmp_path, "q7_overlay", lineitem=near_whole_colours()) == ([], [])
+    row = catalog.QUERIES["q7_overlay"](spark, str(tmp_path)).first()
+    k = np.repeat(np.arange(5, 250, 10), 2)
+    assert (row["n"], row["b"], row["red"]) == (len(k) + 2, k.sum() + 255, (255 - k).sum() + 255)
