@@ -109,3 +109,7 @@ def test_overlay_colours_are_rounded_before_they_are_cut(spark, tmp_path):
     row = catalog.QUERIES["q7_overlay"](spark, str(tmp_path)).first()
     k = np.repeat(np.arange(5, 250, 10), 2)
     assert (row["n"], row["b"], row["red"]) == (len(k) + 2, k.sum() + 255, (255 - k).sum() + 255)
+
+
+def test_colours_of_overlay_frames_are_rounded_before_they_are_cut(spark, tmp_path):
+    assert differing(spark, tmp_path, "q7_overlay_frames", lineitem=near_whole_colours()) == ([], [])
