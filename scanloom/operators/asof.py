@@ -43,12 +43,16 @@ def bracket(samples: DataFrame, queries: DataFrame, stamp: str = "ns", by: Seque
     near = both.withColumn("before", F.last("_s", ignorenulls=True).over(past)).withColumn(
         "after", F.last("_s", ignorenulls=True).over(coming)
     ).filter("_kind = 1")
-    ends = both.groupBy(*by, "_b").agg(F.min("_s").alias("_low"), F.max("_s").alias("_high"))
-    across = Window.partitionBy(*by).orderBy("_b")
+    # samples alone are aggregated by row; queries tell their bucket only
+    told = both.filter("_kind = 0").groupBy(*by, "_b").agg(F.min("_s").alias("_low"), F.max("_s").alias("_high"))
+    asked = both.filter("_kind = 1").select(*by, "_b").distinct().select(*by, "_b", *[F.lit(None).cast(told.schema[c].dataType).alias(c) for c in ("_low", "_high")])
+    ends = told.unionByName(asked).groupBy(*by, "_b").agg(F.max("_low").alias("_low"), F.max("_high").alias("_high"))
+    # both windows end before their row: one that begins after it would look at all later buckets again for each of them
+    across, back = Window.partitionBy(*by).orderBy("_b"), Window.partitionBy(*by).orderBy(F.desc("_b"))
     ends = ends.select(
         *by, "_b",
         F.last("_high", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"),
-        F.first("_low", ignorenulls=True).over(across.rowsBetween(1, Window.unboundedFollowing)).alias("_later"),
+        F.last("_low", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)).alias("_later"),
     )
     # a query without a stamp has nothing around it; one without `by` belongs with samples without it
     near = near.withColumns({"before": F.when(F.col("_t").isNotNull(), F.col("before")), "after": F.when(F.col("_t").isNotNull(), F.col("after"))})

@@ -107,3 +107,15 @@ def test_calibration_guard():
     with pytest.raises(ValueError, match="cx"):
         Calibration(cx=970.0)
     assert Calibration(paired_intrinsics="a.yaml").provenance_warning("/x/b.yaml") and not Calibration(paired_intrinsics="a.yaml").provenance_warning("/x/a.yaml")
+
+
+def test_many_buckets_are_looked_at_once(spark):
+    """Queries far beyond the samples, a bucket for each: a window that reaches to the last bucket would see all later ones again for each."""
+    rng = np.random.default_rng(3)
+    stamps, asked = np.unique(rng.integers(10**6, 10**8, 300)), rng.integers(0, 4 * 10**8, 20_000)
+    samples = spark.createDataFrame([(int(t),) for t in stamps], "ns long")
+    near = bracket(samples, spark.createDataFrame([(i, int(t)) for i, t in enumerate(asked)], "idx long, ns long"), bucket=20_000)
+    assert "unboundedfollowing" not in near._jdf.queryExecution().toString().lower()
+    got = {r["idx"]: (r["before"] and r["before"]["ns"], r["after"] and r["after"]["ns"]) for r in near.collect()}
+    left, right = np.searchsorted(stamps, asked, "right") - 1, np.searchsorted(stamps, asked, "left")
+    assert got == {i: (int(stamps[a]) if a >= 0 else None, int(stamps[b]) if b < len(stamps) else None) for i, (a, b) in enumerate(zip(left, right))}
